@@ -13,8 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import stable
-from ..operators import marts, staging
+from ..operators import alerts, marts, reports, staging
 from ..sources import adapter
+from ..sources.rules import rules_frame
+from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +67,141 @@ def q_price_anomalies(spark, sf_dir):
     return _stable(marts.price_anomalies(_snaps(spark, sf_dir)), "mean_price", "stddev_price")
 
 
+# ------------------------------------------------------------------ alerts
+
+def _rules(spark):
+    return rules_frame(spark, P.RULES)
+
+
+def q_latest_snapshot(spark, sf_dir):
+    return alerts.latest_snapshot(_raw(spark, sf_dir)).drop(*NO_EXPORT)
+
+
+def q_price_alerts(spark, sf_dir):
+    return alerts.price_alerts(_raw(spark, sf_dir), _rules(spark))
+
+
+def _latest_anomalies(spark, sf_dir):
+    return alerts.latest_anomalies(_raw(spark, sf_dir), P.Z_THRESHOLD, P.ANOMALY_ALERT_LIMIT,
+                                   P.MIN_SNAPSHOTS)
+
+
+def q_latest_anomalies(spark, sf_dir):
+    return _stable(_latest_anomalies(spark, sf_dir), "current_price", "mean_price", "z_score")
+
+
+def q_mark_triggered(spark, sf_dir):
+    hits = alerts.price_alerts(_raw(spark, sf_dir), _rules(spark))
+    return alerts.mark_triggered(_rules(spark), hits, P.AS_OF)
+
+
+def q_mark_triggered_compat(spark, sf_dir):
+    hits = alerts.price_alerts(_raw(spark, sf_dir), _rules(spark))
+    return alerts.mark_triggered(_rules(spark), hits, P.AS_OF, compat=True)
+
+
+def q_alert_digest(spark, sf_dir):
+    hits = alerts.price_alerts(_raw(spark, sf_dir), _rules(spark))
+    return alerts.alert_digest(hits, _latest_anomalies(spark, sf_dir), P.DIGEST_LINES_PER_KIND)
+
+
+# ------------------------------------------------------------------ reports
+
+def q_row_count(spark, sf_dir):
+    return reports.row_count(_raw(spark, sf_dir))
+
+
+def q_kpi_summary(spark, sf_dir):
+    return reports.kpi_summary(_raw(spark, sf_dir))
+
+
+def q_filter_values(spark, sf_dir):
+    return reports.filter_values(_raw(spark, sf_dir))
+
+
+def q_curve_report(spark, sf_dir):
+    return reports.curve_report(_raw(spark, sf_dir))
+
+
+def q_curve_report_filtered(spark, sf_dir):
+    return reports.curve_report(_raw(spark, sf_dir), P.GENRE, P.CITY)
+
+
+def q_curve_summary(spark, sf_dir):
+    return reports.curve_summary(reports.curve_report(_raw(spark, sf_dir)))
+
+
+def q_sellout_report(spark, sf_dir):
+    return reports.sellout_report(_raw(spark, sf_dir), limit=P.SELLOUT_LIMIT)
+
+
+def q_sellout_report_filtered(spark, sf_dir):
+    return reports.sellout_report(_raw(spark, sf_dir), P.GENRE, P.CITY, limit=P.SELLOUT_LIMIT)
+
+
+def q_sellout_top15(spark, sf_dir):
+    return reports.sellout_table(_raw(spark, sf_dir), rows=P.SELLOUT_TABLE_ROWS)
+
+
+def q_sellout_summary(spark, sf_dir):
+    return reports.sellout_summary(reports.sellout_report(_raw(spark, sf_dir),
+                                                          limit=P.SELLOUT_LIMIT))
+
+
+def q_sellout_histogram(spark, sf_dir):
+    return reports.sellout_histogram(
+        reports.sellout_report(_raw(spark, sf_dir), limit=P.SELLOUT_LIMIT), P.HISTOGRAM_MAX_BINS)
+
+
+def q_weekday_report(spark, sf_dir):
+    return reports.weekday_report(_raw(spark, sf_dir), min_observations=P.MIN_OBSERVATIONS)
+
+
+def q_weekday_report_filtered(spark, sf_dir):
+    return reports.weekday_report(_raw(spark, sf_dir), P.GENRE, P.CITY,
+                                  min_observations=P.MIN_OBSERVATIONS)
+
+
+def q_weekday_summary(spark, sf_dir):
+    return reports.weekday_summary(reports.weekday_report(_raw(spark, sf_dir)))
+
+
+def q_event_explorer(spark, sf_dir):
+    return reports.event_explorer(_raw(spark, sf_dir), P.AS_OF)
+
+
+def q_event_explorer_search(spark, sf_dir):
+    return reports.event_explorer(_raw(spark, sf_dir), P.AS_OF, search=P.SEARCH)
+
+
+def q_explorer_page(spark, sf_dir):
+    return reports.explorer_page(_raw(spark, sf_dir), P.AS_OF, rows=P.EXPLORER_PAGE_ROWS)
+
+
+def q_explorer_summary(spark, sf_dir):
+    page = reports.explorer_page(_raw(spark, sf_dir), P.AS_OF, rows=P.EXPLORER_PAGE_ROWS)
+    return _stable(reports.explorer_summary(page), "avg_min_price", "avg_max_price")
+
+
+def _anomaly_report(spark, sf_dir, genre=None, city=None):
+    return reports.anomaly_report(_raw(spark, sf_dir), genre, city, P.Z_THRESHOLD,
+                                  P.ANOMALY_REPORT_LIMIT, P.MIN_SNAPSHOTS)
+
+
+def q_anomaly_report(spark, sf_dir):
+    return _stable(_anomaly_report(spark, sf_dir), "mean_price", "stddev_price", "z_score")
+
+
+def q_anomaly_report_filtered(spark, sf_dir):
+    return _stable(_anomaly_report(spark, sf_dir, P.GENRE, P.CITY),
+                   "mean_price", "stddev_price", "z_score")
+
+
+def q_anomaly_summary(spark, sf_dir):
+    return _stable(reports.anomaly_summary(_anomaly_report(spark, sf_dir)),
+                   "best_deal_mean_price", "best_deal_z_score")
+
+
 def queries() -> dict[str, Query]:
     return {
         "snapshots": q_snapshots,
@@ -75,4 +212,31 @@ def queries() -> dict[str, Query]:
         "soldout_velocity": q_soldout_velocity,
         "event_stats": q_event_stats,
         "price_anomalies": q_price_anomalies,
+        "latest_snapshot": q_latest_snapshot,
+        "price_alerts": q_price_alerts,
+        "latest_anomalies": q_latest_anomalies,
+        "mark_triggered": q_mark_triggered,
+        "mark_triggered_compat": q_mark_triggered_compat,
+        "alert_digest": q_alert_digest,
+        "row_count": q_row_count,
+        "kpi_summary": q_kpi_summary,
+        "filter_values": q_filter_values,
+        "curve_report": q_curve_report,
+        "curve_report_filtered": q_curve_report_filtered,
+        "curve_summary": q_curve_summary,
+        "sellout_report": q_sellout_report,
+        "sellout_report_filtered": q_sellout_report_filtered,
+        "sellout_top15": q_sellout_top15,
+        "sellout_summary": q_sellout_summary,
+        "sellout_histogram": q_sellout_histogram,
+        "weekday_report": q_weekday_report,
+        "weekday_report_filtered": q_weekday_report_filtered,
+        "weekday_summary": q_weekday_summary,
+        "event_explorer": q_event_explorer,
+        "event_explorer_search": q_event_explorer_search,
+        "explorer_page": q_explorer_page,
+        "explorer_summary": q_explorer_summary,
+        "anomaly_report": q_anomaly_report,
+        "anomaly_report_filtered": q_anomaly_report_filtered,
+        "anomaly_summary": q_anomaly_summary,
     }
