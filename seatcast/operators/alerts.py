@@ -169,37 +169,47 @@ def rule_status(rules: DataFrame) -> DataFrame:
 
 
 def price_alert_digest(hits: DataFrame) -> DataFrame:
-    """One message line per hit (no unbounded string), with the subject
-    naming the total number of hits."""
-    n = hits.select(F.count(F.lit(1))).scalar()
-    subject = F.format_string("Price Alert: %d ticket(s) hit your target!", n)
+    """Message rows for the price hits: position 0 is the subject (naming
+    the number of hits, from a plain aggregate), then one line per hit in
+    rule order (position = rule_id + 1).  No row holds more than one hit."""
+    subject = (hits.agg(F.count(F.lit(1)).alias("n"))
+               .filter(F.col("n") > 0)
+               .select(F.lit("price").alias("section"), F.lit(0).cast("long").alias("position"),
+                       F.format_string("Price Alert: %d ticket(s) hit your target!", F.col("n"))
+                       .alias("line")))
     line = F.concat(
         F.lit("  "), F.coalesce("artist_name", F.lit("None")), F.lit(" — "),
         F.coalesce("event_name", F.lit("None")), F.lit("\n  Current price: $"),
         py_format_0f("current_price"), F.lit(" (target: $"), py_format_0f("target_price"),
         F.lit(")\n  "), F.coalesce("venue_city", F.lit("None")), F.lit(" | "),
         F.col("event_date"), F.lit("\n"))
-    return hits.select(F.lit("price").alias("section"), F.col("rule_id").alias("position"),
-                       subject.alias("subject"), line.alias("line"))
+    lines = hits.select(F.lit("price").alias("section"),
+                        (F.col("rule_id") + 1).alias("position"), line.alias("line"))
+    return subject.unionByName(lines)
 
 
 def anomaly_digest(anomalies: DataFrame, lines_per_kind: int = 10) -> DataFrame:
-    """Per kind (drop / spike) the first ``lines_per_kind`` lines in |z|
-    order; the subject counts all anomalies of each kind.  The input is the
-    top-k of ``latest_anomalies`` (bounded)."""
-    drops = anomalies.select(F.count_if(F.col("kind") == F.lit(DROP))).scalar()
-    spikes = anomalies.select(F.count_if(F.col("kind") == F.lit(SPIKE))).scalar()
-    subject = F.format_string("Price Anomalies: %d drops, %d spikes detected", drops, spikes)
+    """Message rows for the anomalies: an 'anomaly' subject row counting
+    drops and spikes, then per kind ('drop', 'spike') its first
+    ``lines_per_kind`` lines in |z| order.  The input is the top-k of
+    ``latest_anomalies`` (bounded)."""
+    subject = (anomalies.agg(F.count_if(F.col("kind") == F.lit(DROP)).alias("d"),
+                             F.count_if(F.col("kind") == F.lit(SPIKE)).alias("s"))
+               .filter(F.col("d") + F.col("s") > 0)
+               .select(F.lit("anomaly").alias("section"), F.lit(0).cast("long").alias("position"),
+                       F.format_string("Price Anomalies: %d drops, %d spikes detected",
+                                       F.col("d"), F.col("s")).alias("line")))
     w = Window.partitionBy("kind").orderBy(F.abs("z_score").desc(), F.asc("event_id"))
     line = F.concat(
         F.lit("  "), F.coalesce("artist_name", F.lit("None")), F.lit(" — $"),
         py_format_0f("current_price"), F.lit(" (avg $"), py_format_0f("mean_price"),
         F.lit(", z="), F.col("z_rounded").cast("string"), F.lit(")"))
-    return (anomalies.select("*", F.row_number().over(w).cast("long").alias("position"))
-            .filter(F.col("position") <= lines_per_kind)
-            .select(F.col("kind").alias("section"), "position", subject.alias("subject"),
-                    line.alias("line")))
+    lines = (anomalies.select("*", F.row_number().over(w).cast("long").alias("position"))
+             .filter(F.col("position") <= lines_per_kind)
+             .select(F.col("kind").alias("section"), "position", line.alias("line")))
+    return subject.unionByName(lines)
 
 
 def alert_digest(hits: DataFrame, anomalies: DataFrame, lines_per_kind: int = 10) -> DataFrame:
+    """Both digests as (section, position, line) rows."""
     return price_alert_digest(hits).unionByName(anomaly_digest(anomalies, lines_per_kind))

@@ -25,7 +25,7 @@ as its number of ``_``.  Those are answered from a per-length table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Q = 3
@@ -75,9 +75,9 @@ def cheapest_per_pattern(rows: DataFrame, text_col: str, patterns: DataFrame,
 
     Never enumerates all (pattern, row) pairs: rows are first reduced to the
     first row per distinct text, literal patterns then join the gram index
-    (see module doc), and wildcard-only patterns join a per-length table of
-    "first row among texts at least this long" (one row per length, built
-    with a running minimum over at most max-text-length rows)."""
+    (see module doc), and wildcard-only patterns join a table of "first row
+    among texts at least k characters long" keyed by k (bounded by the
+    longest text, not by the number of rows)."""
     row = F.struct(*[F.col(c) for c in rows.columns])
     okey = F.struct(*[F.col(c) for c in order])
     per_text = (rows.filter(F.col(text_col).isNotNull())
@@ -103,20 +103,18 @@ def cheapest_per_pattern(rows: DataFrame, text_col: str, patterns: DataFrame,
                 .groupBy(pattern_key)
                 .agg(F.min_by("_row", "_key").alias("_row")))
 
-    # wildcard-only: first row among texts with length >= need
+    # wildcard-only: first row among texts at least `need` characters long.
+    # Every text length L stands for the answers k = 0..L, so the lookup is an
+    # equi-join on k; the exploded table has at most (max length)^2 / 2 rows
+    # whatever the number of rows or texts.
     by_len = (per_text.groupBy(F.length("_text").alias("_len"))
               .agg(F.min_by("_row", "_key").alias("_row"), F.min("_key").alias("_key")))
-    max_len = by_len.agg(F.max("_len").alias("_m"))
-    lengths = max_len.select(F.explode(F.sequence(F.lit(0), F.col("_m"))).alias("_len"))
-    # suffix minimum over lengths (bounded by the longest text, not by rows)
-    suffix = Window.orderBy(F.desc("_len")).rowsBetween(Window.unboundedPreceding, 0)
-    at_least = (lengths.join(by_len, "_len", "left")
-                .select("_len",
-                        F.min_by(F.col("_row"), F.col("_key")).over(suffix).alias("_row")))
+    at_least = (by_len.select(F.explode(F.sequence(F.lit(0), F.col("_len"))).alias("_need"),
+                              "_row", "_key")
+                .groupBy("_need").agg(F.min_by("_row", "_key").alias("_row")))
     need = F.length(F.regexp_replace(F.col(pattern_col), "[^_]", "")).cast("int")
-    wild_best = (wild.select(pattern_key, need.alias("_len"))
-                 .join(at_least, "_len")
-                 .filter(F.col("_row").isNotNull())
+    wild_best = (wild.select(pattern_key, need.alias("_need"))
+                 .join(at_least, "_need")
                  .select(pattern_key, "_row"))
     return (lit_best.unionByName(wild_best)
             .select(pattern_key, "_row.*"))
