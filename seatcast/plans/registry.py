@@ -14,8 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import stable
 from ..operators import alerts, marts, reports, staging
-from ..sources import adapter
+from pyspark.sql import functions as F
+
+from ..schemas import API_EVENT
+from ..session import scratch_path
+from ..sources import adapter, pages, store
 from ..sources.rules import rules_frame
+from . import build
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +207,53 @@ def q_anomaly_summary(spark, sf_dir):
                    "best_deal_mean_price", "best_deal_z_score")
 
 
+# ------------------------------------------------------------------ ingestion
+
+INGEST_COLUMNS = pages.FLAT_COLUMNS + ["snapshot_date"]
+
+
+def q_flatten_events(spark, sf_dir):
+    """Snapshot rows -> API event JSON text -> parsed -> flattened."""
+    nested = pages.nest_events(_raw(spark, sf_dir))
+    parsed = nested.select("snapshot_date",
+                           F.from_json(F.to_json("event"), API_EVENT).alias("event"))
+    return pages.flatten_events(parsed).select(*INGEST_COLUMNS)
+
+
+def _landed(spark, sf_dir):
+    root = scratch_path(spark, "landing")
+    pages.land_pages(_raw(spark, sf_dir), root)
+    return root
+
+
+def q_ingest_pages(spark, sf_dir):
+    """Land the rows as result pages, read them back with the fetch rules."""
+    return pages.landed_rows(spark, _landed(spark, sf_dir)).select(*INGEST_COLUMNS)
+
+
+def q_snapshot_store(spark, sf_dir):
+    """Landed pages -> key check -> replace-day upsert -> read the store."""
+    root = _landed(spark, sf_dir)
+    path = scratch_path(spark, "store")
+    build.ingest_landed(spark, root, path, ingested_at=P.AS_OF)
+    return store.read_store(spark, path).select(*INGEST_COLUMNS)
+
+
+def q_stream_ingest(spark, sf_dir):
+    """The same through the streaming ingest (available-now trigger)."""
+    from ..streaming.ingest import start_ingest_stream
+    root = _landed(spark, sf_dir)
+    path = scratch_path(spark, "stream-store")
+    q = start_ingest_stream(spark, root, path, scratch_path(spark, "stream-ckpt"),
+                            ingested_at=P.AS_OF)
+    q.awaitTermination()
+    return store.read_store(spark, path).select(*INGEST_COLUMNS)
+
+
+def q_duplicate_keys(spark, sf_dir):
+    return store.duplicate_keys(_raw(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "snapshots": q_snapshots,
@@ -239,4 +291,9 @@ def queries() -> dict[str, Query]:
         "anomaly_report": q_anomaly_report,
         "anomaly_report_filtered": q_anomaly_report_filtered,
         "anomaly_summary": q_anomaly_summary,
+        "flatten_events": q_flatten_events,
+        "ingest_pages": q_ingest_pages,
+        "snapshot_store": q_snapshot_store,
+        "stream_ingest": q_stream_ingest,
+        "duplicate_keys": q_duplicate_keys,
     }
