@@ -46,6 +46,13 @@ def stable(c: ColumnLike, scale: int = 6) -> Column:
     return round_half_away(c, scale)
 
 
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive datetime (or ISO text), built from
+    its text so the session time zone never shifts it."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 # ---------------------------------------------------------------- prices
 
 def mid_price(min_c: ColumnLike = "min_price", max_c: ColumnLike = "max_price") -> Column:

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (DROP, REPORT_LAST_LABEL, SPIKE, anomaly_type, bucket_order,
-                         days_between, days_bucket, mid_price, round_half_away,
-                         weekday_name, weekday_number, z_score)
+                         days_between, days_bucket, mid_price, ntz_literal,
+                         round_half_away, weekday_name, weekday_number, z_score)
 
 
 def _filtered(raw: DataFrame, genre: str | None = None, city: str | None = None) -> DataFrame:
@@ -203,7 +203,7 @@ EXPLORER_COLUMNS = ["artist_name", "event_name", "venue_name", "venue_city", "ev
 
 
 def _explorer_latest(raw: DataFrame, as_of: _dt.datetime, genre, city, search) -> DataFrame:
-    base = _filtered(raw.filter(F.col("event_date") > F.lit(as_of).cast("timestamp_ntz")),
+    base = _filtered(raw.filter(F.col("event_date") > ntz_literal(as_of)),
                      genre, city)
     if search:
         pat = contains_pattern(search)

@@ -30,7 +30,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import round_half_away
+from ..functions import ntz_literal, round_half_away
 from .tables import table
 
 # Fixed values of the bridge.
@@ -69,7 +69,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     id_text = uid.cast("string")
     event_date = F.when(uid % NO_DATE_MODULUS != 0,
                         F.timestamp_add("DAY", (uid % DATE_SPREAD_MODULUS).cast("int"),
-                                       F.lit(EVENT_DATE_BASE).cast("timestamp_ntz")))
+                                       ntz_literal(EVENT_DATE_BASE)))
     return joined.select(
         id_text.alias("event_id"),
         F.concat(F.col("p_name"), F.lit(" #"), id_text).alias("name"),

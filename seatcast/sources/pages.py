@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import blank_if_null, first_or_null
+from ..functions import blank_if_null, first_or_null, ntz_literal
 from ..schemas import API_EVENT, API_PAGE
 
 # Fixed values of the fetch contract.
@@ -135,7 +135,7 @@ def event_window(rows: DataFrame, as_of, days_ahead: int = 90, city: str | None
     """The optional search filters of the fetch, applied to flat rows:
     events dated within [as_of, as_of + days_ahead], and city / state /
     genre equality."""
-    start = F.lit(as_of).cast("timestamp_ntz")
+    start = ntz_literal(as_of)
     end = F.timestamp_add("DAY", F.lit(days_ahead), start)
     out = rows.filter((F.col("event_date") >= start) & (F.col("event_date") <= end))
     for c, v in (("venue_city", city), ("venue_state", state), ("genre", genre)):

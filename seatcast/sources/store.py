@@ -21,6 +21,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import ntz_literal
 from ..schemas import SNAPSHOT, SNAPSHOT_KEY
 
 
@@ -37,9 +38,9 @@ def duplicate_keys(rows: DataFrame) -> DataFrame:
 
 def conform(rows: DataFrame, ingested_at: _dt.datetime | None = None) -> DataFrame:
     """Cast/order to ``SNAPSHOT``; ``ingested_at`` defaults to the given stamp
-    or, without one, to current_timestamp()."""
-    stamp = (F.lit(ingested_at) if ingested_at is not None
-             else F.current_timestamp()).cast("timestamp_ntz")
+    or, without one, to the session's local time."""
+    stamp = (ntz_literal(ingested_at) if ingested_at is not None
+             else F.localtimestamp())
     cols = []
     for f in SNAPSHOT.fields:
         if f.name == "ingested_at" and "ingested_at" not in rows.columns:
