@@ -56,15 +56,17 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.count_if(sold_out).alias("_big_buys")))
 
     part = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    geo = (table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-           .join(table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey"),
-                 F.col("n_nationkey") == F.col("c_nationkey"), "left")
-           .join(table(spark, sf_dir, "region", "r_regionkey", "r_name"),
-                 F.col("r_regionkey") == F.col("n_regionkey"), "left")
-           .select("c_custkey", "n_name", "r_name"))
+    customer = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region", "r_regionkey", "r_name")
 
+    # Each dimension joins the aggregated rows directly, so each keeps its own
+    # size estimate for the broadcast threshold (an estimate of a join of
+    # dimensions is the product of their sizes and would never qualify).
     joined = (daily.join(part, uid == F.col("p_partkey"), "left")
-              .join(geo, uid == F.col("c_custkey"), "left"))
+              .join(customer, uid == F.col("c_custkey"), "left")
+              .join(nation, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+              .join(region, F.col("r_regionkey") == F.col("n_regionkey"), "left"))
 
     id_text = uid.cast("string")
     event_date = F.when(uid % NO_DATE_MODULUS != 0,
