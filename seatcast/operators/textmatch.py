@@ -84,21 +84,25 @@ def cheapest_per_pattern(rows: DataFrame, text_col: str, patterns: DataFrame,
                 .groupBy(F.col(text_col).alias("_text"))
                 .agg(F.min_by(row, okey).alias("_row"), F.min(okey).alias("_key")))
 
-    lt = F.lower(F.col("_text"))
-    gram_index = per_text.select("_text", F.explode(text_grams(lt, q)).alias("_g"))
-    freq = gram_index.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
-
     lp = F.lower(F.col(pattern_col))
     pats = patterns.select(pattern_key, pattern_col, pattern_grams(lp, q).alias("_gs"))
     literal = pats.filter(F.size("_gs") > 0)
     wild = pats.filter(F.size("_gs") == 0)
+    rule_grams = literal.select(pattern_key, pattern_col, F.explode("_gs").alias("_g"))
+
+    # gram index: (gram, text, first row of that text), restricted to grams
+    # some pattern needs, so the frequency count and the candidate join only
+    # see those
+    lt = F.lower(F.col("_text"))
+    gram_index = (per_text.select(F.explode(text_grams(lt, q)).alias("_g"),
+                                  "_text", "_row", "_key")
+                  .join(rule_grams.select("_g").distinct(), "_g", "left_semi"))
+    freq = gram_index.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
 
-    chosen = (literal.select(pattern_key, pattern_col, F.explode("_gs").alias("_g"))
-              .join(freq, "_g", "left")
+    chosen = (rule_grams.join(freq, "_g", "left")
               .groupBy(pattern_key, pattern_col)
               .agg(F.min_by("_g", F.struct(F.coalesce("_f", F.lit(0)), F.col("_g"))).alias("_g")))
     lit_best = (chosen.join(gram_index, "_g")
-                .join(per_text, "_text")
                 .filter(like_contains(F.col("_text"), F.col(pattern_col)))
                 .groupBy(pattern_key)
                 .agg(F.min_by("_row", "_key").alias("_row")))
