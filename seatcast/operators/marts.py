@@ -72,8 +72,9 @@ def best_buy_windows(snaps: DataFrame, *, min_observations: int = 5) -> DataFram
 def soldout_velocity(snaps: DataFrame) -> DataFrame:
     """First day seen, first sold-out day, and the smallest days-until-event
     among sold-out rows, per event *and* event date (a rescheduled event gives
-    two rows).  Grouped on keys led by event_id, so the aggregation reuses the
-    history's event_id partitioning (no extra exchange)."""
+    two rows).  None of the history window's columns is needed, so Catalyst
+    drops the window: the snapshots are aggregated straight from the scan,
+    partially map-side, with one exchange of the combined rows."""
     off = F.col("status") == F.lit("offsale")
     return (snaps.groupBy(*VELOCITY_KEYS)
             .agg(F.min("snapshot_date").alias("first_seen_date"),
@@ -102,9 +103,11 @@ def price_anomalies(snaps: DataFrame, *, min_snapshots: int = 3,
 
     Joined on event_id only while the statistics are grouped by event_id and
     four descriptive columns: an event seen under two names with enough rows
-    under each gets one output row per name group (kept on purpose).  Both
-    sides are hash-partitioned on event_id by the history window, so the join
-    needs no further exchange."""
+    under each gets one output row per name group (kept on purpose).  The
+    statistics side aggregates straight from the scan (the window is pruned
+    there) to one row per event and name; AQE broadcasts it when it is
+    measured small, otherwise it is a sort-merge join on event_id whose history
+    side keeps the window's event_id partitioning."""
     stats = event_stats(snaps, min_snapshots=min_snapshots).select(
         "event_id", "mean_price", "stddev_price")
     s = _priced(snaps).select(

@@ -41,9 +41,10 @@ def price_snapshots(stg: DataFrame) -> DataFrame:
     absolute change and percent change (only when the previous price > 0,
     DECIMAL(18,2)).
 
-    One shuffle: hash partitioning on event_id, which the velocity and
-    anomaly aggregations downstream reuse.  A partition holds one event's
-    days, bounded by the number of snapshot days (the key is unique)."""
+    One shuffle: hash partitioning on event_id.  A window partition holds one
+    event's days, bounded by the number of snapshot days (the key is unique).
+    Consumers that use none of the window's columns (curves, weekdays,
+    velocity, statistics) get the window pruned away by Catalyst."""
     w = Window.partitionBy("event_id").orderBy("snapshot_date")
     hist = stg.select(
         "event_id", "event_name", "artist_name", "genre", "venue_name", "venue_city",
