@@ -19,26 +19,30 @@ MARTS = {
 }
 
 
-def build_marts(raw: DataFrame, out_dir: str, *, names=None) -> dict[str, str]:
+def build_marts(raw: DataFrame, out_dir: str, *, names=None,
+                stage_history: bool = False) -> dict[str, str]:
     """Rebuild every mart in full (overwrite) under ``out_dir/<name>``.
 
-    The staged history is computed once and persisted (memory, spilling to
-    disk) for the four marts; a lost executor recomputes its blocks from
-    lineage.  Persisting keeps the history's event_id hash partitioning, so
-    the velocity and anomaly marts aggregate and join without another
-    exchange."""
-    snaps = staging.price_snapshots(staging.stg_events(raw)).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    By default each mart is its own plan over ``raw``: Catalyst prunes the
+    columns (and, where unused, the history window) per mart, so over the
+    Parquet store each mart reads only what it needs and aggregates
+    map-side.  Nothing caches the whole history (at scale that would be a
+    full copy on executor disks).  For an expensive ``raw`` (a derived
+    relation rather than the store) ``stage_history=True`` writes the history
+    once to ``out_dir/_history`` and builds the marts from that table -- a
+    lineage cut in shared storage that survives lost executors."""
+    snaps = staging.price_snapshots(staging.stg_events(raw))
+    if stage_history:
+        path = f"{out_dir.rstrip('/')}/_history"
+        snaps.write.mode("overwrite").parquet(path)
+        snaps = raw.sparkSession.read.parquet(path)
     out = {}
-    try:
-        for name, fn in MARTS.items():
-            if names and name not in names:
-                continue
-            path = f"{out_dir.rstrip('/')}/{name}"
-            fn(snaps).write.mode("overwrite").parquet(path)
-            out[name] = path
-    finally:
-        snaps.unpersist()
+    for name, fn in MARTS.items():
+        if names and name not in names:
+            continue
+        path = f"{out_dir.rstrip('/')}/{name}"
+        fn(snaps).write.mode("overwrite").parquet(path)
+        out[name] = path
     return out
 
 

@@ -104,3 +104,15 @@ def test_stream_equals_batch_late_page_and_rerun(spark):
     batch = sorted((str(r.snapshot_date), r.event_id)
                    for r in pages.landed_rows(spark, root).collect())
     assert batch == streamed
+
+
+def test_event_window_filters(spark, raw_df):
+    raw = raw_df([snap("a", "2024-01-01", 1.0, 2.0, event_date="2024-01-10 20:00:00"),
+                  snap("b", "2024-01-01", 1.0, 2.0, event_date="2024-05-10 20:00:00"),
+                  snap("c", "2024-01-01", 1.0, 2.0, event_date="2023-12-31 20:00:00"),
+                  snap("d", "2024-01-01", 1.0, 2.0, event_date="2024-01-11 20:00:00",
+                       city="Bergen")])
+    as_of = dt.datetime(2024, 1, 1, 0, 0, 0)
+    assert ids(pages.event_window(raw, as_of)) == ["a", "d"]                  # 90-day window
+    assert ids(pages.event_window(raw, as_of, city="Bergen")) == ["d"]
+    assert ids(pages.event_window(raw, as_of, days_ahead=200, genre="Rock")) == ["a", "b", "d"]

@@ -19,11 +19,14 @@ def _raw(raw_df):
 
 
 def test_build_marts(spark, raw_df):
-    out = build.build_marts(_raw(raw_df), tempfile.mkdtemp(prefix="marts-"))
-    assert set(out) == {"price_curves", "best_buy_windows", "soldout_velocity", "price_anomalies"}
-    an = spark.read.parquet(out["price_anomalies"])
-    assert an.filter("anomaly_type = 'spike'").count() == 1
-    assert spark.read.parquet(out["soldout_velocity"]).count() == 2
+    for staged in (False, True):
+        out = build.build_marts(_raw(raw_df), tempfile.mkdtemp(prefix="marts-"),
+                                stage_history=staged)
+        assert set(out) == {"price_curves", "best_buy_windows", "soldout_velocity",
+                            "price_anomalies"}
+        an = spark.read.parquet(out["price_anomalies"])
+        assert an.filter("anomaly_type = 'spike'").count() == 1
+        assert spark.read.parquet(out["soldout_velocity"]).count() == 2
 
 
 def test_rules_file_and_alert_check(spark, raw_df):
