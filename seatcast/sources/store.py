@@ -29,11 +29,16 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def duplicate_keys(rows: DataFrame) -> DataFrame:
+def duplicate_keys(rows: DataFrame, include_missing: bool = False) -> DataFrame:
     """Key pairs that occur more than once, with their count (partial
-    aggregation: a hot key is counted map-side before the shuffle)."""
-    return (rows.groupBy(*SNAPSHOT_KEY).agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") > 1))
+    aggregation: a hot key is counted map-side before the shuffle).
+    ``include_missing`` also reports keys with a NULL part (an event without
+    an id cannot be stored)."""
+    counted = rows.groupBy(*SNAPSHOT_KEY).agg(F.count(F.lit(1)).alias("n"))
+    bad = F.col("n") > 1
+    if include_missing:
+        bad = bad | F.col("event_id").isNull() | F.col("snapshot_date").isNull()
+    return counted.filter(bad)
 
 
 def conform(rows: DataFrame, ingested_at: _dt.datetime | None = None) -> DataFrame:
@@ -63,15 +68,19 @@ def upsert_days(rows: DataFrame, store: str, *, days: list[_dt.date] | None = No
                 dedupe: bool = False, ingested_at: _dt.datetime | None = None) -> dict:
     """Replace the batch's days in the store (see module doc).
 
-    Duplicate keys raise ``DuplicateKeyError`` before anything is written
-    (``dedupe=True`` keeps one row per key instead).  Returns counters:
+    Duplicate or missing keys raise ``DuplicateKeyError`` before anything is
+    written (``dedupe=True`` keeps one row per key instead of raising on
+    duplicates).  Returns counters:
     rows written and days replaced."""
     spark = rows.sparkSession
     rows = conform(rows, ingested_at)
     if dedupe:
         rows = rows.dropDuplicates(SNAPSHOT_KEY)
-    elif not duplicate_keys(rows).isEmpty():
-        raise DuplicateKeyError(f"duplicate (event_id, snapshot_date) in batch for {store}")
+    # one aggregation pass finds both duplicate and missing keys
+    bad = duplicate_keys(rows, include_missing=True)
+    if not bad.isEmpty():
+        raise DuplicateKeyError(
+            f"missing or duplicate (event_id, snapshot_date) in batch for {store}")
     obs = Observation("ingest")
     obs_rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import snap
 from seatcast.sources import pages, store
@@ -78,6 +79,13 @@ def test_replace_day_rerun_empty_and_duplicates(spark, raw_df):
     store.upsert_days(raw_df([snap("q", "2024-01-03", 1.0, 1.0),
                               snap("q", "2024-01-03", 2.0, 2.0)]), path, dedupe=True)
     assert ids(store.read_store(spark, path)) == ["q", "z"]
+    # an event without an id cannot be stored
+    from seatcast.schemas import SNAPSHOT
+    no_id = spark.createDataFrame([snap("n", "2024-01-04", 1.0, 1.0)], SNAPSHOT.fieldNames()) \
+        .withColumn("event_id", F.lit(None).cast("string"))
+    with pytest.raises(store.DuplicateKeyError):
+        store.upsert_days(no_id, path)
+    assert ids(store.read_store(spark, path)) == ["q", "z"]
 
 
 def test_stream_equals_batch_late_page_and_rerun(spark):
