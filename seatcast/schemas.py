@@ -82,6 +82,6 @@ RULES = T.StructType([
 ])
 
 GENRE_SEED = T.StructType([
-    T.StructField("ticketmaster_genre", S),
+    T.StructField("source_genre", S),
     T.StructField("display_genre", S),
 ])

@@ -34,7 +34,8 @@ def genre_seed(spark: SparkSession) -> DataFrame:
 
 
 def read_genre_seed(spark: SparkSession, path: str) -> DataFrame:
-    """A seed CSV with a header line (ticketmaster_genre,display_genre)."""
+    """A seed CSV with a header line; columns are taken by position
+    (source genre, display genre)."""
     return spark.read.schema(GENRE_SEED).option("header", True).csv(path)
 
 

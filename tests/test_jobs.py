@@ -56,6 +56,6 @@ def test_rules_file_and_alert_check(spark, raw_df):
 def test_genre_seed(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="seed-"), "genres")
     seeds.write_genre_seed(spark, path)
-    got = {r.ticketmaster_genre: r.display_genre for r in
+    got = {r.source_genre: r.display_genre for r in
            seeds.read_genre_seed(spark, path).collect()}
     assert len(got) == 15 and got["Hip-Hop/Rap"] == "Hip-Hop"
