@@ -124,3 +124,38 @@ def test_event_window_filters(spark, raw_df):
     assert ids(pages.event_window(raw, as_of)) == ["a", "d"]                  # 90-day window
     assert ids(pages.event_window(raw, as_of, city="Bergen")) == ["d"]
     assert ids(pages.event_window(raw, as_of, days_ahead=200, genre="Rock")) == ["a", "b", "d"]
+
+
+def _simulated_fetch(landed: dict[int, tuple[int | None, list[str]]]) -> list[str]:
+    """The paged fetch loop: follow pages from 0 while they exist, stop on an
+    empty page, at the announced page count (default 1) or after 5 pages."""
+    out, page = [], 0
+    while page in landed:
+        total, events = landed[page]
+        if not events:
+            break
+        out += events
+        page += 1
+        if page >= (total if total is not None else 1) or page >= 5:
+            break
+    return out
+
+
+def test_fetch_rules_match_simulation(spark):
+    import random
+    rnd = random.Random(5)
+    root = tempfile.mkdtemp(prefix="pages-rnd-")
+    want = []
+    for c in range(40):
+        landed = {}
+        for n in range(rnd.randint(0, 8)):
+            if rnd.random() < 0.15:
+                continue                                   # a page that never landed
+            total = rnd.choice([None, 1, 2, 3, 5, 8])
+            evs = [] if rnd.random() < 0.1 else [f"c{c}p{n}e{k}" for k in range(rnd.randint(1, 3))]
+            landed[n] = (total, evs)
+            land(root, "2024-02-02", f"city{c}", n, [ev(e) for e in evs], total=total)
+        want += ["e" + e for e in _simulated_fetch(landed)]
+    land(root, "2024-02-03", "other", 0, [ev("x")], total=1)     # keep the folder non-empty
+    got = [e for e in ids(pages.landed_rows(spark, root)) if e != "ex"]
+    assert got == sorted(want)
