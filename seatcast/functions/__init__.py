@@ -46,6 +46,37 @@ def stable(c: ColumnLike, scale: int = 6) -> Column:
     return round_half_away(c, scale)
 
 
+# ---------------------------------------------------------------- price means
+
+def price_micros(c: ColumnLike) -> Column:
+    """A price as an exact integer number of millionths (DECIMAL(38,0))."""
+    return F.round(col(c) * F.lit(1e6), 0).cast("decimal(38,0)")
+
+
+def exact_avg(c: ColumnLike, window=None) -> Column:
+    """Mean of a price column, correctly rounded to a double: the sum is an
+    exact integer (millionths, DECIMAL), then one IEEE division.
+
+    A floating-point sum depends on the order rows arrive in, and where the
+    true mean sits on a rounding boundary (48.8445 at 3 decimals) that noise
+    decides the rounded result; this value does not depend on partitioning,
+    so reruns and other engines agree.  ``window`` makes it a window
+    aggregate."""
+    total = F.sum(price_micros(c))
+    n = F.count(col(c))
+    if window is not None:
+        total, n = total.over(window), n.over(window)
+    return F.try_divide(total.cast("double"), n.cast("double") * F.lit(1e6))
+
+
+def exact_median(c: ColumnLike) -> Column:
+    """Interpolated median (percentile 0.5) of a price column, taken over
+    the exact integer millionths (the midpoint of two integers is exact in a
+    double) and scaled back with one division."""
+    micros = F.round(col(c) * F.lit(1e6), 0).cast("long")
+    return F.percentile(micros, F.lit(0.5)) / F.lit(1e6)
+
+
 def ntz_literal(value) -> Column:
     """A TIMESTAMP_NTZ literal from a naive datetime (or ISO text), built from
     its text so the session time zone never shifts it."""

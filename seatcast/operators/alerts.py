@@ -13,8 +13,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import (DROP, SPIKE, mid_price, nonblank, py_format_0f, py_str_timestamp,
-                         z_score)
+from ..functions import (DROP, SPIKE, exact_avg, mid_price, nonblank, py_format_0f,
+                         py_str_timestamp, z_score)
 from .textmatch import cheapest_per_pattern
 
 HIT_COLUMNS = ["rule_id", "target_price", "event_id", "event_name", "artist_name",
@@ -81,7 +81,7 @@ def latest_anomalies(raw: DataFrame, threshold: float = 2.0, limit: int = 20,
     small at runtime."""
     priced = raw.filter(F.col("min_price").isNotNull())
     stats = (priced.groupBy("event_id")
-             .agg(F.avg(mid_price()).alias("mean_price"),
+             .agg(exact_avg(mid_price()).alias("mean_price"),
                   F.stddev_samp(mid_price()).alias("stddev_price"),
                   F.count(F.lit(1)).alias("_n"))
              .filter((F.col("_n") >= min_snapshots) & (F.col("stddev_price") > 0))

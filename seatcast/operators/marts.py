@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (MART_LAST_LABEL, anomaly_type, bucket_order, days_bucket, dec2,
-                         weekday_name_of_number, weekday_number)
+                         exact_avg, exact_median, weekday_name_of_number, weekday_number)
 
 VELOCITY_KEYS = ["event_id", "event_name", "artist_name", "genre", "venue_name",
                  "venue_city", "event_date"]
@@ -25,10 +25,11 @@ def price_curves(snaps: DataFrame, *, approx: bool = False,
                  last_label: str = MART_LAST_LABEL) -> DataFrame:
     """Prices by genre x city x days-until-event bucket.
 
-    The exact median keeps a value->count map per group (Spark's
-    ``percentile``): its size is bounded by the distinct half-cent prices of a
-    group, not by its row count, and partial aggregation merges the maps
-    map-side.  ``approx=True`` switches to ``percentile_approx`` (fixed-size
+    Means and medians are exact (``functions.exact_avg`` /
+    ``exact_median``) before the rounding recipe.  The exact median keeps a
+    value->count map per group (Spark's ``percentile``): its size is bounded
+    by the distinct half-cent prices of a group, not by its row count, and
+    partial aggregation merges the maps map-side.  ``approx=True`` switches to ``percentile_approx`` (fixed-size
     sketch) for unbounded price domains."""
     days = F.col("days_until_event")
     bucketed = _priced(snaps).select(
@@ -38,10 +39,10 @@ def price_curves(snaps: DataFrame, *, approx: bool = False,
         "avg_price", "min_price", "max_price",
     )
     median = (F.percentile_approx("avg_price", 0.5, 10000) if approx
-              else F.percentile("avg_price", F.lit(0.5)))
+              else exact_median("avg_price"))
     return (bucketed.groupBy("genre", "venue_city", "days_bucket", "bucket_order")
             .agg(F.count(F.lit(1)).alias("num_observations"),
-                 dec2(F.avg("avg_price")).alias("mean_price"),
+                 dec2(exact_avg("avg_price")).alias("mean_price"),
                  dec2(median).alias("median_price"),
                  dec2(F.min("min_price")).alias("lowest_price_seen"),
                  dec2(F.max("max_price")).alias("highest_price_seen"))
@@ -59,8 +60,8 @@ def best_buy_windows(snaps: DataFrame, *, min_observations: int = 5) -> DataFram
         "avg_price", "min_price")
     by_day = (daily.groupBy("genre", "venue_city", "day_of_week")
               .agg(F.count(F.lit(1)).alias("num_observations"),
-                   dec2(F.avg("avg_price")).alias("mean_price"),
-                   dec2(F.avg("min_price")).alias("mean_min_price")))
+                   dec2(exact_avg("avg_price")).alias("mean_price"),
+                   dec2(exact_avg("min_price")).alias("mean_min_price")))
     w = Window.partitionBy("genre", "venue_city").orderBy(F.asc_nulls_last("mean_price"))
     return (by_day.filter(F.col("num_observations") >= min_observations)
             .select("genre", "venue_city", "day_of_week",
@@ -90,7 +91,7 @@ def event_stats(snaps: DataFrame, *, min_snapshots: int = 3) -> DataFrame:
     over its whole history, per event_id and its descriptive columns; events
     with fewer than ``min_snapshots`` priced rows are dropped."""
     return (_priced(snaps).groupBy(*STATS_KEYS)
-            .agg(F.avg("avg_price").alias("mean_price"),
+            .agg(exact_avg("avg_price").alias("mean_price"),
                  F.stddev_samp("avg_price").alias("stddev_price"),
                  F.count(F.lit(1)).alias("num_snapshots"))
             .filter(F.col("num_snapshots") >= min_snapshots))

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (DROP, REPORT_LAST_LABEL, SPIKE, anomaly_type, bucket_order,
-                         days_between, days_bucket, mid_price, ntz_literal,
+                         days_between, days_bucket, exact_avg, exact_median, mid_price,
+                         ntz_literal,
                          round_half_away, weekday_name, weekday_number, z_score)
 
 
@@ -61,7 +62,7 @@ def kpi_summary(raw: DataFrame) -> DataFrame:
         F.count_distinct("event_id").alias("total_events"),
         F.count_distinct("artist_name").alias("total_artists"),
         F.count_distinct("snapshot_date").alias("days_tracked"),
-        round_half_away(F.avg(mid_price()), 0).alias("avg_price"),
+        round_half_away(exact_avg(mid_price()), 0).alias("avg_price"),
         round_half_away(F.min("min_price"), 0).alias("lowest_price"),
         F.max("snapshot_date").alias("last_updated"),
     )
@@ -89,8 +90,8 @@ def curve_report(raw: DataFrame, genre: str | None = None, city: str | None = No
                     mid_price().alias("avg_price"))
     return (b.groupBy("days_bucket", "bucket_order")
             .agg(F.count(F.lit(1)).alias("num_observations"),
-                 round_half_away(F.avg("avg_price"), 2).alias("mean_price"),
-                 round_half_away(F.median("avg_price"), 2).alias("median_price"))
+                 round_half_away(exact_avg("avg_price"), 2).alias("mean_price"),
+                 round_half_away(exact_median("avg_price"), 2).alias("median_price"))
             .orderBy("bucket_order"))
 
 
@@ -175,8 +176,8 @@ def weekday_report(raw: DataFrame, genre: str | None = None, city: str | None =
                     mid_price().alias("avg_price"), "min_price")
     return (d.groupBy("day_name", "day_of_week")
             .agg(F.count(F.lit(1)).alias("num_observations"),
-                 round_half_away(F.avg("avg_price"), 2).alias("mean_price"),
-                 round_half_away(F.avg("min_price"), 2).alias("mean_min_price"))
+                 round_half_away(exact_avg("avg_price"), 2).alias("mean_price"),
+                 round_half_away(exact_avg("min_price"), 2).alias("mean_min_price"))
             .filter(F.col("num_observations") >= min_observations)
             .orderBy("day_of_week"))
 
@@ -239,8 +240,8 @@ def explorer_summary(page: DataFrame) -> DataFrame:
     (NULLs skipped); no row for an empty page."""
     return (page.agg(F.count(F.lit(1)).alias("upcoming_events"),
                      F.count_if(F.col("status") == F.lit("onsale")).alias("on_sale"),
-                     F.avg("min_price").alias("avg_min_price"),
-                     F.avg("max_price").alias("avg_max_price"))
+                     exact_avg("min_price").alias("avg_min_price"),
+                     exact_avg("max_price").alias("avg_max_price"))
             .filter(F.col("upcoming_events") > 0))
 
 
@@ -265,7 +266,7 @@ def anomaly_report(raw: DataFrame, genre: str | None = None, city: str | None =
     s = priced.select(
         "event_id", F.col("name").alias("event_name"), "artist_name", "genre", "venue_city",
         "min_price", "max_price", mid.alias("avg_price"), "snapshot_date", "event_date",
-        F.avg(mid).over(w).alias("mean_price"),
+        exact_avg(mid, window=w).alias("mean_price"),
         F.stddev_samp(mid).over(w).alias("stddev_price"),
         F.count(F.lit(1)).over(w).alias("_n"))
     s = _filtered(s.filter((F.col("_n") >= min_snapshots) & (F.col("stddev_price") > 0)),
