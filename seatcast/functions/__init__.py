@@ -20,13 +20,30 @@ def col(c: ColumnLike) -> Column:
 
 # ---------------------------------------------------------------- rounding
 
+TWO_POW_52 = 4503599627370496.0
+
+
+def _nearest_integer_of_nonneg(a: Column) -> Column:
+    """Nearest integer to a >= 0, halves up, on the binary value, as DOUBLE.
+    floor(a + 0.5) is exact for 0.5 <= a < 2^52 (the sum stays in a binade
+    whose spacing divides 0.5); below 0.5 the answer is 0 (the one double
+    just under 0.5 would otherwise round up in the addition); from 2^52 on
+    every double is already an integer."""
+    return (F.when(a >= F.lit(TWO_POW_52), a)
+            .when(a < F.lit(0.5), F.lit(0.0))
+            .otherwise(F.floor(a + F.lit(0.5)).cast("double")))
+
+
 def round_half_away(c: ColumnLike, scale: int) -> Column:
     """``round(double, scale)`` as the models expect it: scale the binary
     value, round half away from zero, scale back (1.005 -> 1.0, because
-    1.005*100 is 100.49999...).  Spark's own ``round`` on a double rounds the
-    shortest decimal text instead (1.005 -> 1.01)."""
+    1.005*100 is 100.49999...).  Plain double arithmetic (no per-row
+    BigDecimal); NaN and infinities pass through."""
     f = float(10 ** scale)
-    return F.round(col(c) * F.lit(f), 0) / F.lit(f)
+    v = col(c) * F.lit(f)
+    r = _nearest_integer_of_nonneg(F.abs(v))
+    return (F.when(F.isnan(v) | (F.abs(v) == F.lit(float("inf"))), v)
+            .when(v < 0, F.negative(r)).otherwise(r)) / F.lit(f)
 
 
 def to_numeric(c: ColumnLike) -> Column:
@@ -48,33 +65,45 @@ def stable(c: ColumnLike, scale: int = 6) -> Column:
 
 # ---------------------------------------------------------------- price means
 
+def _micros_parts(c: ColumnLike) -> tuple[Column, Column]:
+    """A price as whole units (LONG) plus millionths 0..10^6 (LONG, rounded
+    half up on the binary value): exact for prices with up to six decimals,
+    with no per-row decimal arithmetic."""
+    whole = F.floor(col(c))
+    frac = F.floor((col(c) - whole) * F.lit(1e6) + F.lit(0.5))
+    return whole, frac
+
+
 def price_micros(c: ColumnLike) -> Column:
-    """A price as an exact integer number of millionths (DECIMAL(38,0))."""
-    return F.round(col(c) * F.lit(1e6), 0).cast("decimal(38,0)")
+    """A price as an integer number of millionths (LONG; |price| < 9.2e12)."""
+    whole, frac = _micros_parts(c)
+    return whole * F.lit(1000000) + frac
 
 
 def exact_avg(c: ColumnLike, window=None) -> Column:
-    """Mean of a price column, correctly rounded to a double: the sum is an
-    exact integer (millionths, DECIMAL), then one IEEE division.
+    """Mean of a price column, correctly rounded to a double: whole units and
+    millionths are summed as two LONGs (neither can overflow: the whole-unit
+    sum would need 9.2e18 currency units in one group), combined exactly once
+    per group as DECIMAL, then one IEEE division.
 
     A floating-point sum depends on the order rows arrive in, and where the
     true mean sits on a rounding boundary (48.8445 at 3 decimals) that noise
     decides the rounded result; this value does not depend on partitioning,
     so reruns and other engines agree.  ``window`` makes it a window
     aggregate."""
-    total = F.sum(price_micros(c))
-    n = F.count(col(c))
+    whole, frac = _micros_parts(c)
+    sw, sf, n = F.sum(whole), F.sum(frac), F.count(col(c))
     if window is not None:
-        total, n = total.over(window), n.over(window)
+        sw, sf, n = sw.over(window), sf.over(window), n.over(window)
+    total = sw.cast("decimal(38,0)") * F.lit(1000000) + sf.cast("decimal(38,0)")
     return F.try_divide(total.cast("double"), n.cast("double") * F.lit(1e6))
 
 
 def exact_median(c: ColumnLike) -> Column:
     """Interpolated median (percentile 0.5) of a price column, taken over
-    the exact integer millionths (the midpoint of two integers is exact in a
+    the integer millionths (the midpoint of two integers is exact in a
     double) and scaled back with one division."""
-    micros = F.round(col(c) * F.lit(1e6), 0).cast("long")
-    return F.percentile(micros, F.lit(0.5)) / F.lit(1e6)
+    return F.percentile(price_micros(c), F.lit(0.5)) / F.lit(1e6)
 
 
 def ntz_literal(value) -> Column:
