@@ -83,13 +83,11 @@ def upsert_days(rows: DataFrame, store: str, *, days: list[_dt.date] | None = No
             f"missing or duplicate (event_id, snapshot_date) in batch for {store}")
     obs = Observation("ingest")
     obs_rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (obs_rows.write.mode("overwrite").partitionBy("snapshot_date")
-         .option("compression", "zstd").parquet(store))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # dynamic: only the partitions this batch writes are replaced (a write
+    # option, so concurrent jobs in the session are unaffected)
+    (obs_rows.write.mode("overwrite").partitionBy("snapshot_date")
+     .option("partitionOverwriteMode", "dynamic")
+     .option("compression", "zstd").parquet(store))
     counters = dict(obs.get)
     removed = 0
     if days:
