@@ -28,8 +28,14 @@ def rules_frame(spark: SparkSession, records) -> DataFrame:
                          r.get("triggered_price")))
         else:
             rows.append((i, *r) + (None,) * (7 - len(r)))
-    return spark.createDataFrame(
-        [(i, None if t is None else float(t), *rest) for i, t, *rest in rows], RULES)
+    import pandas as pd
+    data = [(i, None if t is None else float(t), *rest) for i, t, *rest in rows]
+    # from pandas (Arrow) the rules become a LocalRelation with its real size,
+    # so the planner's size checks can broadcast them; a Python list would
+    # give an RDD scan of unknown (maximal) size
+    pdf = pd.DataFrame(data, columns=RULES.fieldNames()).astype(object)
+    pdf = pdf.where(pd.notna(pdf), None)
+    return spark.createDataFrame(pdf, RULES)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
