@@ -82,18 +82,20 @@ def upsert_days(rows: DataFrame, store: str, *, days: list[_dt.date] | None = No
         raise DuplicateKeyError(
             f"missing or duplicate (event_id, snapshot_date) in batch for {store}")
     obs = Observation("ingest")
-    obs_rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
+    # the written days come back with the write's own metrics (a handful of
+    # dates per batch), no second pass over the rows
+    obs_rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"),
+                            F.collect_set("snapshot_date").alias("days"))
     # dynamic: only the partitions this batch writes are replaced (a write
     # option, so concurrent jobs in the session are unaffected)
     (obs_rows.write.mode("overwrite").partitionBy("snapshot_date")
      .option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd").parquet(store))
-    counters = dict(obs.get)
+    metrics = obs.get
+    written = set(metrics.get("days") or [])
+    counters = {"rows": metrics.get("rows", 0), "days": len(written)}
     removed = 0
     if days:
-        # days of the batch: a handful of dates, never rows
-        written = {r["snapshot_date"] for r in
-                   rows.select("snapshot_date").distinct().collect()}
         for d in days:
             if d not in written:
                 fs, p = _fs(spark, f"{store.rstrip('/')}/snapshot_date={d.isoformat()}")
