@@ -279,6 +279,17 @@ def anomaly_report(raw: DataFrame, genre: str | None = None, city: str | None =
             .limit(limit))
 
 
+def anomaly_chart(report: DataFrame) -> DataFrame:
+    """Chart rows of the anomaly report: kind, the short series label
+    (artist + ' — ' + the first 20 characters of the event name; NULL when
+    either is missing) and z, in report order (``position``)."""
+    label = F.concat(F.col("artist_name"), F.lit(" — "), F.substring("event_name", 1, 20))
+    w = Window.orderBy(F.abs(F.col("z_score")).desc(), F.asc("event_id"), F.asc("snapshot_date"))
+    # the report is a top-k (at most ``limit`` rows), so one ordered window is bounded
+    return report.select(F.row_number().over(w).cast("long").alias("position"),
+                         "anomaly_type", label.alias("label"), "z_score")
+
+
 def anomaly_summary(report: DataFrame) -> DataFrame:
     """Counts by kind and the first drop in report order (largest |z|):
     its artist, mid price, event mean and z; no row for an empty report."""

@@ -202,6 +202,10 @@ def q_anomaly_report_filtered(spark, sf_dir):
                    "mean_price", "stddev_price", "z_score")
 
 
+def q_anomaly_chart(spark, sf_dir):
+    return _stable(reports.anomaly_chart(_anomaly_report(spark, sf_dir)), "z_score")
+
+
 def q_anomaly_summary(spark, sf_dir):
     return _stable(reports.anomaly_summary(_anomaly_report(spark, sf_dir)),
                    "best_deal_mean_price", "best_deal_z_score")
@@ -290,6 +294,7 @@ def queries() -> dict[str, Query]:
         "explorer_summary": q_explorer_summary,
         "anomaly_report": q_anomaly_report,
         "anomaly_report_filtered": q_anomaly_report_filtered,
+        "anomaly_chart": q_anomaly_chart,
         "anomaly_summary": q_anomaly_summary,
         "flatten_events": q_flatten_events,
         "ingest_pages": q_ingest_pages,
