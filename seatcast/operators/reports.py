@@ -307,3 +307,25 @@ def anomaly_summary(report: DataFrame) -> DataFrame:
                     F.col("d.avg_price").alias("best_deal_price"),
                     F.col("d.mean_price").alias("best_deal_mean_price"),
                     F.col("d.z_score").alias("best_deal_z_score")))
+
+
+# Display headers of the report tables (column -> header).
+DISPLAY_HEADERS = {
+    "sellout": {"artist_name": "Artist", "event_name": "Event", "venue_city": "City",
+                "days_to_sellout": "Days to Sell Out"},
+    "explorer": {"artist_name": "Artist", "event_name": "Event", "venue_name": "Venue",
+                 "venue_city": "City", "event_date": "Date", "min_price": "Min $",
+                 "max_price": "Max $", "status": "Status", "genre": "Genre"},
+    "anomalies": {"artist_name": "Artist", "event_name": "Event", "venue_city": "City",
+                  "avg_price": "Current $", "mean_price": "Avg $", "z_score": "Z-Score",
+                  "anomaly_type": "Type", "snapshot_date": "Date"},
+}
+
+
+def with_display_headers(report: DataFrame, table: str) -> DataFrame:
+    """The table's columns under their display headers (the anomaly table
+    shows only its eight listed columns)."""
+    headers = DISPLAY_HEADERS[table]
+    if table == "anomalies":
+        report = report.select(*headers)
+    return report.withColumnsRenamed(headers)

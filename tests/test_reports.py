@@ -62,3 +62,13 @@ def test_anomaly_report_filters_after_stats(spark, raw_df):
     (s,) = reports.anomaly_summary(reports.anomaly_report(raw)).collect()
     assert (s.total_anomalies, s.price_drops, s.price_spikes) == (1, 0, 1)
     assert s.best_deal_artist is None
+
+
+def test_display_headers(spark, raw_df):
+    rows = [snap("z", f"2024-01-0{i + 1}", p, p) for i, p in enumerate([10.0] * 6 + [30.0])]
+    rep = reports.anomaly_report(raw_df(rows))
+    shown = reports.with_display_headers(rep, "anomalies")
+    assert shown.columns == ["Artist", "Event", "City", "Current $", "Avg $", "Z-Score", "Type",
+                             "Date"]
+    table = reports.with_display_headers(reports.sellout_table(raw_df(rows)), "sellout")
+    assert table.columns == ["Artist", "Event", "City", "Days to Sell Out"]
