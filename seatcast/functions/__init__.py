@@ -228,9 +228,3 @@ def py_str_timestamp(ts: ColumnLike) -> Column:
 def py_format_0f(x: ColumnLike) -> Column:
     """Python's ``f"{x:.0f}"``: round half to even, then print without decimals."""
     return F.format_string("%.0f", F.bround(col(x), 0))
-
-
-def escape_like_literal(c: ColumnLike) -> Column:
-    """Make backslashes literal inside a LIKE pattern (the rules' engine has
-    no default escape character, Spark's LIKE uses backslash)."""
-    return F.regexp_replace(col(c), r"\\", r"\\\\")

@@ -17,10 +17,6 @@ from ..functions import (DROP, SPIKE, exact_avg, mid_price, nonblank, py_format_
                          py_str_timestamp, z_score)
 from .textmatch import cheapest_per_pattern
 
-HIT_COLUMNS = ["rule_id", "target_price", "event_id", "event_name", "artist_name",
-               "current_price", "avg_price", "venue_city", "event_date"]
-
-
 def newest_day(raw: DataFrame):
     """Scalar subquery: the newest snapshot_date over all rows."""
     return raw.select(F.max("snapshot_date")).scalar()

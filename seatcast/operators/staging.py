@@ -1,7 +1,7 @@
 """Staging: the cleaned snapshot view and the per-event price history.
 
-Both are lazy; ``plans.build`` materialises the history once when all marts
-are built together.
+Both are lazy; ``plans.build.build_marts(stage_history=True)`` writes the
+history once when the marts should share it.
 """
 
 from __future__ import annotations
@@ -11,13 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions import days_between, dec2, mid_price
 
-STG_COLUMNS = [
-    "event_id", "event_name", "event_date", "venue_name", "venue_city", "venue_state",
-    "venue_capacity", "genre", "subgenre", "artist_name", "min_price", "max_price",
-    "avg_price", "currency", "status", "url", "snapshot_date", "ingested_at",
-    "days_until_event",
-]
-
 
 def stg_events(raw: DataFrame) -> DataFrame:
     """Raw snapshots with ``event_name``, mid ``avg_price`` and

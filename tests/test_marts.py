@@ -2,8 +2,6 @@
 
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from conftest import snap
 from seatcast.functions import bucket_order, days_bucket
 from seatcast.operators import marts, staging
@@ -132,4 +130,3 @@ def test_decimal_rounding_recipe(spark):
     assert [r.r for r in got] == [1.0, 2.68, 1.0, -1.0]
     assert [r.d for r in got] == [Decimal("1.01"), Decimal("2.68"), Decimal("1.01"),
                                   Decimal("-1.01")]        # via 3 dp first
-    _ = F
