@@ -96,7 +96,7 @@ def cheapest_per_pattern(rows: DataFrame, text_col: str, patterns: DataFrame,
     lt = F.lower(F.col("_text"))
     gram_index = (per_text.select(F.explode(text_grams(lt, q)).alias("_g"),
                                   "_text", "_row", "_key")
-                  .join(rule_grams.select("_g").distinct(), "_g", "left_semi"))
+                  .join(rule_grams.select("_g"), "_g", "left_semi"))
     freq = gram_index.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
 
     chosen = (rule_grams.join(freq, "_g", "left")
