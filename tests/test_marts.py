@@ -130,3 +130,17 @@ def test_decimal_rounding_recipe(spark):
     assert [r.r for r in got] == [1.0, 2.68, 1.0, -1.0]
     assert [r.d for r in got] == [Decimal("1.01"), Decimal("2.68"), Decimal("1.01"),
                                   Decimal("-1.01")]        # via 3 dp first
+
+
+def test_price_curves_approx_median_option(spark):
+    from seatcast.sources import adapter
+    snaps = hist(adapter.snapshots(spark, "/root/testdata/sf0.001"))
+    key = ["genre", "venue_city", "bucket_order"]
+    exact = {tuple(r[k] for k in key): r for r in marts.price_curves(snaps).collect()}
+    approx = {tuple(r[k] for k in key): r for r in marts.price_curves(snaps, approx=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k, r in exact.items():
+        assert approx[k].mean_price == r.mean_price                 # only the median changes
+        assert approx[k].num_observations == r.num_observations
+        if r.num_observations % 2 == 1:                             # odd counts: a real element
+            assert approx[k].median_price == r.median_price
