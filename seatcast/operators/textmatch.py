@@ -5,22 +5,24 @@ where ``%`` and ``_`` inside the pattern are wildcards and there is no escape
 character.  Evaluating that predicate for every (rule, row) pair is a nested
 loop join; here it becomes two equi-joins:
 
-1. The texts are reduced first to one row per distinct text (the caller
-   pre-aggregates whatever it needs per text, e.g. the cheapest row).
+1. Rows are reduced first to one row per distinct text (the first row in
+   the requested order), partially aggregated map-side.
 2. Every distinct text is indexed by its grams: all substrings of length
-   1..Q of its lower-case form.
+   1..Q of its lower-case form; only grams some pattern needs are kept (a
+   left-semi join against the patterns' grams).
 3. Every pattern lists the grams its literal pieces (the runs between
    wildcards) force a matching text to contain: the Q-grams of each piece,
    or the whole piece when it is shorter than Q.  A text can only match if it
    contains all of them, so one suffices as a join key; the rarest one (by
-   number of texts containing it) is chosen, which keeps the candidate list
-   short.
+   number of texts containing it) is chosen, so a gram held by a large share
+   of the texts is avoided whenever the pattern has a rarer one.
 4. Candidates (pattern, text) sharing that gram are verified with the real
    ILIKE predicate, so the result is exact.
 
 Patterns without any literal character (only wildcards) constrain the text
 length alone: ``'%' || pattern || '%'`` matches every text at least as long
-as its number of ``_``.  Those are answered from a per-length table.
+as its number of ``_``.  Those are answered from a table keyed by that
+minimum length, whose size is bounded by the longest text.
 """
 
 from __future__ import annotations
