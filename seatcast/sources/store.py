@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +77,17 @@ def upsert_days(rows: DataFrame, store: str, *, days: list[_dt.date] | None = No
     rows = conform(rows, ingested_at)
     if dedupe:
         rows = rows.dropDuplicates(SNAPSHOT_KEY)
+    # the key check and the write both read the batch (a few days of rows):
+    # keep it once, spilling to disk; a lost block is recomputed from lineage
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _check_and_write(spark, rows, store, days)
+    finally:
+        rows.unpersist()
+
+
+def _check_and_write(spark: SparkSession, rows: DataFrame, store: str,
+                     days: list[_dt.date] | None) -> dict:
     # one aggregation pass finds both duplicate and missing keys
     bad = duplicate_keys(rows, include_missing=True)
     if not bad.isEmpty():
