@@ -4,6 +4,8 @@ Every entry reads the driver tables through ``sources.adapter`` (so its work
 grows with them) and applies one operator from ``operators``.  Column names
 match ``seatcast.oracle``; float aggregates are passed through
 ``functions.stable`` where the last bits depend on the summation order.
+The ingestion entries land pages and build stores in fresh folders under the
+session's checkpoint folder before returning the lazy read of the result.
 """
 
 from __future__ import annotations
@@ -11,11 +13,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import stable
 from ..operators import alerts, marts, reports, staging
-from pyspark.sql import functions as F
-
 from ..schemas import API_EVENT
 from ..session import scratch_path
 from ..sources import adapter, pages, store
