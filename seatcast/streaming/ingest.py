@@ -4,9 +4,9 @@
 micro-batch (``foreachBatch``) replaces the snapshot days it touches.  A day
 can arrive in several micro-batches (a late page), and replacing a day with
 only the new batch's pages would lose the earlier ones, so the batch function
-re-reads *all* landed pages of the touched days (a left-semi join of the
-landing folder on the batch's days) and replaces those days with that full
-set.  Reprocessing is idempotent: a rerun over the same files gives the same
+re-reads *all* landed pages of the touched days (through a partition
+filter, so other days' directories are never listed or read) and replaces
+those days with that full set.  Reprocessing is idempotent: a rerun over the same files gives the same
 store.  The file-source checkpoint records which files were seen, so a
 restart after a lost driver or executor resumes without duplicates.
 """
@@ -25,13 +25,17 @@ from ..sources import pages, store
 def _replace_touched_days(spark: SparkSession, landing_root: str, store_path: str,
                           ingested_at: _dt.datetime | None):
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        touched = batch.select("snapshot_date").filter(F.col("snapshot_date").isNotNull()) \
-            .distinct()
-        # the touched days are a handful of dates per micro-batch
-        days = [r["snapshot_date"] for r in touched.collect()]
+        # the touched days: a handful of dates per micro-batch (the batch is
+        # an RDD scan here, so its file names are not available as metadata)
+        days = sorted(r["snapshot_date"] for r in
+                      batch.select("snapshot_date").filter(F.col("snapshot_date").isNotNull())
+                      .distinct().collect())
         if not days:
             return
-        full = pages.landed_rows(spark, landing_root).join(touched, "snapshot_date", "left_semi")
+        # all landed pages of those days: a partition filter, so only their
+        # directories are listed and read however large the landing grows
+        full = (pages.landed_rows(spark, landing_root)
+                .filter(F.col("snapshot_date").isin(days)))
         store.upsert_days(full, store_path, days=days, ingested_at=ingested_at)
     return handle
 
