@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import packing, quality, records
+from . import decontam, linedup, neardup, packing, quality, records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,18 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, dropped lines and the digest of what is left."""
+    left = linedup.drop_templates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return left.select("doc_id", "n_lines", "n_dropped",
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op6_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                  table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
 def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "records")
     records.write_records(table(spark, sf_dir, "documents", "doc_id", "text"), path,
@@ -43,9 +56,14 @@ def op9_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.compression_bands(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op8_binary_records,
-                                    op9_compression_bands)}
+    return {f.__name__: f for f in (
+        op1_best_fit_packing, op5_line_templates, op6_prefix_decontamination,
+        op8_binary_records, op9_compression_bands, op10_hyperminhash)}
 
 
 def oracle_sql() -> dict[str, str]:
