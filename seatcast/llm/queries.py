@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import decontam, linedup, neardup, packing, quality, records
+from . import decontam, linedup, neardup, packing, pii, quality, records, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(
+        table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
+
+
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, dropped lines and the digest of what is left."""
     left = linedup.drop_templates(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -45,6 +50,17 @@ def op6_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   table(spark, sf_dir, "benchmark")).drop("row_key")
 
 
+def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.render(F.col("base")), 256)
+                        .alias("base_sha256"), pii.render(F.col("spans")).alias("spans"))
+
+
 def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "records")
     records.write_records(table(spark, sf_dir, "documents", "doc_id", "text"), path,
@@ -62,8 +78,8 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op5_line_templates, op6_prefix_decontamination,
-        op8_binary_records, op9_compression_bands, op10_hyperminhash)}
+        op1_best_fit_packing, op3_suffix_dedup, op5_line_templates, op6_prefix_decontamination,
+        op7_bootstrapped_pii, op8_binary_records, op9_compression_bands, op10_hyperminhash)}
 
 
 def oracle_sql() -> dict[str, str]:

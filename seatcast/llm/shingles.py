@@ -43,7 +43,9 @@ _SHIFT = mix(np.arange(1000, 1000 + WORDS, dtype="u8")) | np.uint64(1)
 def _powers(n: int) -> np.ndarray:
     global _POWERS
     if len(_POWERS) < n:
-        _POWERS = np.cumprod(np.concatenate([[1], np.full(2 * n, _BASE)]).astype("u8"))
+        steps = np.full(2 * n + 1, _BASE, "u8")
+        steps[0] = 1
+        _POWERS = np.cumprod(steps)
     return _POWERS
 
 

@@ -7,8 +7,11 @@ A stage takes (spark, docs, sf_dir).  All but the last return the columns of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, quality
+from ..sources.tables import table
+from . import decontam, linedup, neardup, packing, quality
+from .common import materialize, without
 from .queries import END_ID, _vocabulary
 
 
@@ -17,6 +20,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_passing(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring lines go; so does a document that has no word left, as every
+    line of it stands in others.  n_chars follows the text."""
+    left = linedup.drop_templates(docs).where(
+        (F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    out = left.select(*docs.columns)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
+            F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return out
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group of near duplicates stays."""
+    out = materialize(neardup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct(),
+                      "near-copies")
+    return without(docs, out, "doc_id").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated by ``benchmark`` go."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(
+        *docs.columns)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of every remaining document goes."""
     return packing.pack(docs, _vocabulary("byte_bpe_50k.json"), end_id=END_ID).drop("ids")
