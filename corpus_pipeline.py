@@ -11,6 +11,9 @@ from seatcast.sources.tables import table
 
 STAGES = [
     ("quality", stages.quality_rules),
+    ("line_dedup", stages.line_dedup),
+    ("near_dedup", stages.near_dedup),
+    ("decontaminate", stages.decontaminate),
     ("pack", stages.pack),
 ]
 
