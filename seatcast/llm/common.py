@@ -51,24 +51,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-# Ids that are sent to every executor at most; a long takes some 50 bytes there.
-BROADCAST_IDS = 1_000_000
+# Narrow rows that are sent to every executor at most; a row of two longs takes
+# some 60 bytes there.
+BROADCAST_ROWS = 1_000_000
 
 
-def lookup(df: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST_IDS) -> DataFrame:
-    """The rows of ``df`` whose ``key`` is in ``ids`` (one distinct column).  Up
-    to ``limit`` ids are broadcast, so ``df`` is not shuffled; more ids mean an
-    ordinary join."""
-    if ids.limit(limit + 1).count() <= limit:
-        ids = F.broadcast(ids)
-    return df.join(ids, key, "left_semi")
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, marked to be broadcast if it has at most ``limit`` rows; with
+    more rows the join shuffles both sides."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def without(df: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST_IDS) -> DataFrame:
-    """The rows of ``df`` whose ``key`` is not in ``ids``; as ``lookup``."""
-    if ids.limit(limit + 1).count() <= limit:
-        ids = F.broadcast(ids)
-    return df.join(ids, key, "left_anti")
+def lookup(df: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is in ``ids`` (one distinct column)."""
+    return df.join(small(ids, limit), key, "left_semi")
+
+
+def without(df: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is not in ``ids``."""
+    return df.join(small(ids, limit), key, "left_anti")
 
 
 def text_slices(batches: Iterable[pa.RecordBatch], columns: list[str], text: str = "text",

@@ -13,7 +13,18 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import decontam, linedup, neardup, packing, pii, quality, records, substrings
+from . import (
+    decontam,
+    langid,
+    linedup,
+    neardup,
+    packing,
+    pii,
+    quality,
+    records,
+    substrings,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,11 +44,22 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op2_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page; the text models are counted over documents."""
+    return langid.identify(table(spark, sf_dir, "pages"),
+                           table(spark, sf_dir, "documents", "lang", "text"))
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(
         table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
 
 
+def op4_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents", "doc_id", "text"),
+                             table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, dropped lines and the digest of what is left."""
     left = linedup.drop_templates(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -78,7 +100,8 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_best_fit_packing, op3_suffix_dedup, op5_line_templates, op6_prefix_decontamination,
+        op1_best_fit_packing, op2_evidence_fusion, op3_suffix_dedup,
+        op4_noisy_channel_toxicity, op5_line_templates, op6_prefix_decontamination,
         op7_bootstrapped_pii, op8_binary_records, op9_compression_bands, op10_hyperminhash)}
 
 
