@@ -71,7 +71,7 @@ class PieceEncoder:
         cut = [self.pieces(t) for t in texts]
         if len(self.known) > MAX_KNOWN:
             self.known.clear()
-        new = list(set().union(*cut) - self.known.keys())
+        new = [p for p in set().union(*cut) if p not in self.known]
         for i in range(0, len(new), 20_000):
             self._learn(new[i:i + 20_000])
         get = self.known.__getitem__

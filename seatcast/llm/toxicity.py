@@ -155,8 +155,9 @@ def score(docs: DataFrame, model: np.ndarray, weights: dict[str, float]) -> Data
             out = []
             for t in texts:
                 words = restorer.words(t)
-                for w in words - known.keys():
-                    known[w] = word_weight(w, weights)
+                for w in words:
+                    if w not in known:
+                        known[w] = word_weight(w, weights)
                 # in the order of the words, so that the product is the same anywhere
                 out.append(document_score([known[w] for w in sorted(
                     w for w in words if known[w])], len(t)))
