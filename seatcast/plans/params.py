@@ -24,6 +24,9 @@ ANOMALY_ALERT_LIMIT = 20
 EXPLORER_PAGE_ROWS = 100
 DIGEST_LINES_PER_KIND = 10
 HISTOGRAM_MAX_BINS = 15
+# Columns of the registered duplicate check (several events of an artist share
+# a day, so it returns rows; the store's own key never repeats here).
+DUPLICATE_KEY = ["artist_name", "snapshot_date"]
 
 # Alert rules the alert keys check: (target_price, created_at, triggered,
 # event_id, artist_name).  rule_id is the list position.  They cover: rule by
