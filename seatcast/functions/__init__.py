@@ -65,12 +65,22 @@ def stable(c: ColumnLike, scale: int = 6) -> Column:
 
 # ---------------------------------------------------------------- price means
 
+def finite(c: ColumnLike) -> Column:
+    """The price; NaN and infinities raise an error instead of turning into a
+    number somewhere in a mean."""
+    x = col(c)
+    odd = F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    return F.when(odd, F.raise_error(F.lit("a price is NaN or infinite")).cast("double")) \
+        .otherwise(x)
+
+
 def _micros_parts(c: ColumnLike) -> tuple[Column, Column]:
     """A price as whole units (LONG) plus millionths 0..10^6 (LONG, rounded
     half up on the binary value): exact for prices with up to six decimals,
-    with no per-row decimal arithmetic."""
-    whole = F.floor(col(c))
-    frac = F.floor((col(c) - whole) * F.lit(1e6) + F.lit(0.5))
+    with no per-row decimal arithmetic.  Prices must be finite and below 9e12."""
+    x = finite(c)
+    whole = F.floor(x)
+    frac = F.floor((x - whole) * F.lit(1e6) + F.lit(0.5))
     return whole, frac
 
 
@@ -95,15 +105,70 @@ def exact_avg(c: ColumnLike, window=None) -> Column:
     sw, sf, n = F.sum(whole), F.sum(frac), F.count(col(c))
     if window is not None:
         sw, sf, n = sw.over(window), sf.over(window), n.over(window)
-    total = sw.cast("decimal(38,0)") * F.lit(1000000) + sf.cast("decimal(38,0)")
+    return F.try_divide(_total_micros(sw, sf).cast("double"), n.cast("double") * F.lit(1e6))
+
+
+def weighted_avg(c: ColumnLike, count: ColumnLike) -> Column:
+    """``exact_avg`` where every row stands for ``count`` equal prices."""
+    whole, frac = _micros_parts(c)
+    total = _total_micros(F.sum(whole * col(count)), F.sum(frac * col(count)))
+    n = F.sum(F.when(col(c).isNotNull(), col(count)))
     return F.try_divide(total.cast("double"), n.cast("double") * F.lit(1e6))
 
 
-def exact_median(c: ColumnLike) -> Column:
+def _total_micros(whole: Column, frac: Column) -> Column:
+    return whole.cast("decimal(38,0)") * F.lit(1000000) + frac.cast("decimal(38,0)")
+
+
+def rounded_avg(c: ColumnLike, scale: int, count: ColumnLike | None = None) -> Column:
+    """Mean of a price column rounded half away from zero at ``scale``
+    decimals, decided on the exact sum in integers once per group (642.295
+    gives 642.30 whatever doubles make of it).  With ``count`` every row stands
+    for that many equal prices."""
+    whole, frac = _micros_parts(c)
+    if count is None:
+        sw, sf, n = F.sum(whole), F.sum(frac), F.count(col(c))
+    else:
+        k = F.when(col(c).isNotNull(), col(count))
+        sw, sf, n = F.sum(whole * k), F.sum(frac * k), F.sum(k)
+    total = _total_micros(sw, sf)
+    unit = n.cast("decimal(20,0)") * F.lit(1000000)
+    # floor(|total| * 10^scale / unit + 1/2) with one integer division
+    up = F.abs(total) * F.lit(2 * 10 ** scale) + unit
+    steps = F.call_function("div", up.cast("decimal(38,0)"), (unit * 2).cast("decimal(38,0)"))
+    return F.when(n > 0, F.when(total < 0, -steps).otherwise(steps) / F.lit(float(10 ** scale)))
+
+
+def exact_median(c: ColumnLike, count: ColumnLike | None = None) -> Column:
     """Interpolated median (percentile 0.5) of a price column, taken over
     the integer millionths (the midpoint of two integers is exact in a
-    double) and scaled back with one division."""
-    return F.percentile(price_micros(c), F.lit(0.5)) / F.lit(1e6)
+    double) and scaled back with one division.  With ``count`` every row
+    stands for that many equal prices: group by the price first and the rows of
+    a group are spread before they meet."""
+    freq = F.lit(1) if count is None else col(count)
+    return F.percentile(price_micros(c), F.lit(0.5), freq) / F.lit(1e6)
+
+
+def round_binary(c: ColumnLike, scale: int = 2) -> Column:
+    """Round the binary value half to even, as ``round(x, 2)`` of the original
+    does (2.675 is stored below the tie and gives 2.67).  Times a power of two,
+    2^62 below 1 and 2^52 from there to 1024, a double is a whole number (or far
+    below any tie), so the division is done in integers; larger values, which
+    carry few decimals, use the decimal text."""
+    x = col(c)
+
+    def by(bits: int) -> Column:
+        unit = F.lit(2 ** bits).cast("decimal(20,0)")
+        scaled = ((F.abs(x) * F.lit(float(2 ** bits))).cast("long").cast("decimal(20,0)")
+                  * F.lit(10 ** scale)).cast("decimal(38,0)")
+        steps = F.call_function("div", scaled, unit)
+        rest = (scaled - steps.cast("decimal(18,0)") * unit) * 2
+        up = (rest > unit) | ((rest == unit) & (steps % 2 == 1))
+        near = (steps + up.cast("long")).cast("double") / F.lit(float(10 ** scale))
+        return F.when(x < 0, -near).otherwise(near)
+
+    return (F.when(F.abs(x) < 1, by(62)).when(F.abs(x) < 1024, by(52))
+            .otherwise(F.bround(x, scale)))
 
 
 def ntz_literal(value) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (MART_LAST_LABEL, anomaly_type, bucket_order, days_bucket, dec2,
-                         exact_avg, exact_median, weekday_name_of_number, weekday_number)
+                         exact_avg, exact_median, weekday_name_of_number, weekday_number,
+                         weighted_avg)
 
 VELOCITY_KEYS = ["event_id", "event_name", "artist_name", "genre", "venue_name",
                  "venue_city", "event_date"]
@@ -21,31 +22,28 @@ def _priced(snaps: DataFrame) -> DataFrame:
     return snaps.filter(F.col("avg_price").isNotNull())
 
 
-def price_curves(snaps: DataFrame, *, approx: bool = False,
-                 last_label: str = MART_LAST_LABEL) -> DataFrame:
+def price_curves(snaps: DataFrame, *, last_label: str = MART_LAST_LABEL) -> DataFrame:
     """Prices by genre x city x days-until-event bucket.
 
-    Means and medians are exact (``functions.exact_avg`` /
-    ``exact_median``) before the rounding recipe.  The exact median keeps a
-    value->count map per group (Spark's ``percentile``): its size is bounded
-    by the distinct half-cent prices of a group, not by its row count, and
-    partial aggregation merges the maps map-side.  ``approx=True`` switches to ``percentile_approx`` (fixed-size
-    sketch) for unbounded price domains."""
+    Two levels: the rows of a group are counted per distinct price first, which
+    is combined map-side and spreads a large group over many tasks; the group
+    then sees each price once, with its count.  Mean and median are exact
+    before the rounding recipe.  Prices must be finite (an error otherwise) and
+    are taken to millionths."""
     days = F.col("days_until_event")
-    bucketed = _priced(snaps).select(
-        "genre", "venue_city",
-        days_bucket(days, last_label).alias("days_bucket"),
-        bucket_order(days).alias("bucket_order"),
-        "avg_price", "min_price", "max_price",
-    )
-    median = (F.percentile_approx("avg_price", 0.5, 10000) if approx
-              else exact_median("avg_price"))
-    return (bucketed.groupBy("genre", "venue_city", "days_bucket", "bucket_order")
-            .agg(F.count(F.lit(1)).alias("num_observations"),
-                 dec2(exact_avg("avg_price")).alias("mean_price"),
-                 dec2(median).alias("median_price"),
-                 dec2(F.min("min_price")).alias("lowest_price_seen"),
-                 dec2(F.max("max_price")).alias("highest_price_seen"))
+    group = ["genre", "venue_city", "days_bucket", "bucket_order"]
+    prices = (_priced(snaps).select(
+        "genre", "venue_city", days_bucket(days, last_label).alias("days_bucket"),
+        bucket_order(days).alias("bucket_order"), "avg_price", "min_price", "max_price")
+        .groupBy(*group, "avg_price")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("min_price").alias("lo"),
+             F.max("max_price").alias("hi")))
+    return (prices.groupBy(*group)
+            .agg(F.sum("n").alias("num_observations"),
+                 dec2(weighted_avg("avg_price", "n")).alias("mean_price"),
+                 dec2(exact_median("avg_price", "n")).alias("median_price"),
+                 dec2(F.min("lo")).alias("lowest_price_seen"),
+                 dec2(F.max("hi")).alias("highest_price_seen"))
             .orderBy(F.asc_nulls_last("genre"), F.asc_nulls_last("venue_city"),
                      F.asc_nulls_last("bucket_order")))
 

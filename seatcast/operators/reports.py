@@ -6,9 +6,9 @@ but no maximum is counted but not averaged), DOUBLE rounding instead of
 DECIMAL, 'Day of' as the last bucket label, coarser groupings.
 
 Optional ``genre`` / ``city`` / ``search`` parameters are bound as literals
-(never spliced into SQL text).  Summaries take the report DataFrame they
-summarise and stay lazy; each report is a small, bounded relation (at most
-seven buckets or weekdays, or a top-k).
+(never spliced into SQL text).  Summaries take the relation they summarise and
+stay lazy: the whole one, not the first rows that a list shows.  ``limit``
+belongs to the lists; ``limit=None`` gives the whole relation.
 """
 
 from __future__ import annotations
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions import (DROP, REPORT_LAST_LABEL, SPIKE, anomaly_type, bucket_order,
                          days_between, days_bucket, exact_avg, exact_median, mid_price,
-                         ntz_literal,
-                         round_half_away, weekday_name, weekday_number, z_score)
+                         ntz_literal, round_half_away, rounded_avg, weekday_name,
+                         weekday_number, z_score)
 
 
 def _filtered(raw: DataFrame, genre: str | None = None, city: str | None = None) -> DataFrame:
@@ -62,7 +62,7 @@ def kpi_summary(raw: DataFrame) -> DataFrame:
         F.count_distinct("event_id").alias("total_events"),
         F.count_distinct("artist_name").alias("total_artists"),
         F.count_distinct("snapshot_date").alias("days_tracked"),
-        round_half_away(exact_avg(mid_price()), 0).alias("avg_price"),
+        rounded_avg(mid_price(), 0).alias("avg_price"),
         round_half_away(F.min("min_price"), 0).alias("lowest_price"),
         F.max("snapshot_date").alias("last_updated"),
     )
@@ -81,17 +81,19 @@ def filter_values(raw: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ price curve
 
 def curve_report(raw: DataFrame, genre: str | None = None, city: str | None = None) -> DataFrame:
-    """Observations, mean and median mid price per days-until-event bucket."""
+    """Observations, mean and median mid price per days-until-event bucket;
+    prices are counted first, as in ``marts.price_curves``."""
     base = _filtered(raw.filter(F.col("event_date").isNotNull() & F.col("min_price").isNotNull()),
                      genre, city)
     days = days_between("snapshot_date", "event_date")
     b = base.select(days_bucket(days, REPORT_LAST_LABEL).alias("days_bucket"),
                     bucket_order(days).alias("bucket_order"),
                     mid_price().alias("avg_price"))
-    return (b.groupBy("days_bucket", "bucket_order")
-            .agg(F.count(F.lit(1)).alias("num_observations"),
-                 round_half_away(exact_avg("avg_price"), 2).alias("mean_price"),
-                 round_half_away(exact_median("avg_price"), 2).alias("median_price"))
+    prices = b.groupBy(*b.columns).agg(F.count(F.lit(1)).alias("n"))
+    return (prices.groupBy("days_bucket", "bucket_order")
+            .agg(F.sum("n").alias("num_observations"),
+                 rounded_avg("avg_price", 2, "n").alias("mean_price"),
+                 round_half_away(exact_median("avg_price", "n"), 2).alias("median_price"))
             .orderBy("bucket_order"))
 
 
@@ -110,7 +112,7 @@ def curve_summary(report: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ sell-outs
 
 def sellout_report(raw: DataFrame, genre: str | None = None, city: str | None = None,
-                   limit: int = 50) -> DataFrame:
+                   limit: int | None = 50) -> DataFrame:
     """Fastest sell-outs: days from first sighting to the first 'offsale'
     day per event (and name/artist/genre/city), sold-out events only,
     ascending, top ``limit`` (ties broken by event_id and the text columns).
@@ -122,10 +124,12 @@ def sellout_report(raw: DataFrame, genre: str | None = None, city: str | None =
          .agg(F.min("snapshot_date").alias("first_seen_date"),
               F.min(F.when(off, F.col("snapshot_date"))).alias("soldout_date")))
     days = F.datediff("soldout_date", "first_seen_date").cast("long")
-    return (g.filter(F.col("soldout_date").isNotNull())
+    sold = (g.filter(F.col("soldout_date").isNotNull())
             .select("event_id", "artist_name", "event_name", "venue_city", "genre",
-                    days.alias("days_to_sellout"))
-            .orderBy(*[F.asc_nulls_last(c) for c in
+                    days.alias("days_to_sellout")))
+    if limit is None:
+        return sold.drop("event_id")
+    return (sold.orderBy(*[F.asc_nulls_last(c) for c in
                        ("days_to_sellout", "event_id", "event_name", "artist_name", "genre",
                         "venue_city")])
             .limit(limit)
@@ -140,27 +144,30 @@ def sellout_table(raw: DataFrame, genre: str | None = None, city: str | None = N
 
 
 def sellout_summary(report: DataFrame) -> DataFrame:
-    """Median (interpolated, DOUBLE) and minimum days-to-sellout over the
-    report's rows; no row for an empty report."""
-    return (report.agg(F.median("days_to_sellout").alias("median_days"),
-                       F.min("days_to_sellout").alias("fastest_days"))
+    """Median (interpolated, DOUBLE) and minimum days-to-sellout over all
+    sell-outs of ``report``; no row for an empty one.  Days are counted first:
+    the last step sees each number of days once."""
+    days = report.groupBy("days_to_sellout").agg(F.count(F.lit(1)).alias("n"))
+    return (days.agg(F.percentile("days_to_sellout", F.lit(0.5), F.col("n")).alias("median_days"),
+                     F.min("days_to_sellout").alias("fastest_days"))
             .filter(F.col("fastest_days").isNotNull()))
 
 
 def sellout_histogram(report: DataFrame, max_bins: int = 15) -> DataFrame:
-    """Equal-width integer bins over the report's days-to-sellout: width is
-    the smallest integer giving at most ``max_bins`` bins over [lo, hi].
-    The report is a top-k (bounded), so the whole-frame window below sees at
-    most ``limit`` rows."""
-    whole = Window.partitionBy()
+    """Equal-width integer bins over all days-to-sellout of ``report``: width is
+    the smallest integer giving at most ``max_bins`` bins over [lo, hi].  The
+    sell-outs are counted per number of days; both ends come back as a scalar
+    subquery, so no task sees all rows."""
+    days = report.groupBy("days_to_sellout").agg(F.count(F.lit(1)).alias("n"))
     x = F.col("days_to_sellout")
-    lo = F.min(x).over(whole)
-    hi = F.max(x).over(whole)
-    width = F.ceil((hi - lo + F.lit(1)) / F.lit(max_bins)).cast("long")
-    b = report.select(x, lo.alias("_lo"), width.alias("_w"))
-    start = F.col("_lo") + F.floor((x - F.col("_lo")) / F.col("_w")).cast("long") * F.col("_w")
-    return (b.select(start.alias("bin_start"), (start + F.col("_w") - 1).alias("bin_end"))
-            .groupBy("bin_start", "bin_end").agg(F.count(F.lit(1)).alias("num_events"))
+    ends = days.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
+    width = F.ceil((F.col("hi") - F.col("lo") + F.lit(1)) / F.lit(max_bins)).cast("long")
+    shape = ends.select(F.struct("lo", width.alias("w")).alias("shape")).scalar()
+    b = days.select(x, "n", shape.alias("shape"))
+    lo, w = F.col("shape.lo"), F.col("shape.w")
+    start = lo + F.floor((x - lo) / w).cast("long") * w
+    return (b.select(start.alias("bin_start"), (start + w - 1).alias("bin_end"), "n")
+            .groupBy("bin_start", "bin_end").agg(F.sum("n").alias("num_events"))
             .orderBy("bin_start"))
 
 
@@ -176,8 +183,8 @@ def weekday_report(raw: DataFrame, genre: str | None = None, city: str | None =
                     mid_price().alias("avg_price"), "min_price")
     return (d.groupBy("day_name", "day_of_week")
             .agg(F.count(F.lit(1)).alias("num_observations"),
-                 round_half_away(exact_avg("avg_price"), 2).alias("mean_price"),
-                 round_half_away(exact_avg("min_price"), 2).alias("mean_min_price"))
+                 rounded_avg("avg_price", 2).alias("mean_price"),
+                 rounded_avg("min_price", 2).alias("mean_min_price"))
             .filter(F.col("num_observations") >= min_observations)
             .orderBy("day_of_week"))
 
@@ -235,10 +242,10 @@ def explorer_page(raw: DataFrame, as_of: _dt.datetime, genre: str | None = None,
             .limit(rows).drop("event_id"))
 
 
-def explorer_summary(page: DataFrame) -> DataFrame:
-    """Count, count on sale, mean minimum and mean maximum price of a page
-    (NULLs skipped); no row for an empty page."""
-    return (page.agg(F.count(F.lit(1)).alias("upcoming_events"),
+def explorer_summary(explorer: DataFrame) -> DataFrame:
+    """Count, count on sale, mean minimum and mean maximum price of all
+    explorer rows (NULLs skipped); no row without any."""
+    return (explorer.agg(F.count(F.lit(1)).alias("upcoming_events"),
                      F.count_if(F.col("status") == F.lit("onsale")).alias("on_sale"),
                      exact_avg("min_price").alias("avg_min_price"),
                      exact_avg("max_price").alias("avg_max_price"))
@@ -248,7 +255,7 @@ def explorer_summary(page: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ anomalies
 
 def anomaly_report(raw: DataFrame, genre: str | None = None, city: str | None = None,
-                   threshold: float = 2.0, limit: int = 50,
+                   threshold: float = 2.0, limit: int | None = 50,
                    min_snapshots: int = 3) -> DataFrame:
     """Snapshots whose mid price is at least ``threshold`` sample standard
     deviations from their event's mean over all priced days (events with at
@@ -272,10 +279,12 @@ def anomaly_report(raw: DataFrame, genre: str | None = None, city: str | None =
     s = _filtered(s.filter((F.col("_n") >= min_snapshots) & (F.col("stddev_price") > 0)),
                   genre, city).drop("_n")
     z = z_score("avg_price", "mean_price", "stddev_price")
-    return (s.withColumn("z_score", z)
-            .filter(F.abs(F.col("z_score")) >= F.lit(threshold))
-            .withColumn("anomaly_type", anomaly_type("z_score", threshold))
-            .orderBy(F.abs(F.col("z_score")).desc(), F.asc("event_id"), F.asc("snapshot_date"))
+    far = (s.withColumn("z_score", z)
+           .filter(F.abs(F.col("z_score")) >= F.lit(threshold))
+           .withColumn("anomaly_type", anomaly_type("z_score", threshold)))
+    if limit is None:
+        return far
+    return (far.orderBy(F.abs(F.col("z_score")).desc(), F.asc("event_id"), F.asc("snapshot_date"))
             .limit(limit))
 
 
@@ -291,8 +300,9 @@ def anomaly_chart(report: DataFrame) -> DataFrame:
 
 
 def anomaly_summary(report: DataFrame) -> DataFrame:
-    """Counts by kind and the first drop in report order (largest |z|):
-    its artist, mid price, event mean and z; no row for an empty report."""
+    """Counts by kind over all anomalies and the first drop in report order
+    (largest |z|): its artist, mid price, event mean and z; no row without
+    anomalies."""
     is_drop = F.col("anomaly_type") == F.lit(DROP)
     first_drop = _ordered_first(
         F.struct("artist_name", "avg_price", "mean_price", "z_score"),
