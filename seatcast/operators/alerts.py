@@ -14,27 +14,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import (DROP, SPIKE, exact_avg, mid_price, nonblank, py_format_0f,
-                         py_str_timestamp, z_score)
+                         py_str_timestamp, round_binary, z_score)
 from .textmatch import cheapest_per_pattern
 
-def newest_day(raw: DataFrame):
-    """Scalar subquery: the newest snapshot_date over all rows."""
-    return raw.select(F.max("snapshot_date")).scalar()
 
+def newest_day(raw: DataFrame) -> _dt.date | None:
+    """The newest snapshot_date of all rows: one small job.  Over the store use
+    ``store.newest_day``, which reads folder names only."""
+    return raw.agg(F.max("snapshot_date")).first()[0]
 
-def latest_snapshot(raw: DataFrame) -> DataFrame:
-    """Rows of the newest snapshot day.  The day is an uncorrelated scalar
-    subquery; on a store partitioned by snapshot_date it becomes a runtime
-    partition filter, so only that day's files are read."""
-    return raw.filter(F.col("snapshot_date") == newest_day(raw))
+
+def latest_snapshot(raw: DataFrame, day: _dt.date | None) -> DataFrame:
+    """Rows of ``day`` (the newest one): a literal filter, so a store opens that
+    day's folder alone.  No day, no rows."""
+    return raw.filter(F.col("snapshot_date") == F.lit(day).cast("date"))
 
 
 def active_rules(rules: DataFrame) -> DataFrame:
     return rules.filter(~F.coalesce(F.col("triggered"), F.lit(False)))
 
 
-def price_alerts(raw: DataFrame, rules: DataFrame) -> DataFrame:
-    """One trigger row per active rule whose target is met on the newest day.
+def price_alerts(today: DataFrame, rules: DataFrame) -> DataFrame:
+    """One trigger row per active rule whose target is met in ``today``, the
+    newest day's rows (``latest_snapshot``; write them once, they are read for
+    ids, texts and winners).
 
     * a rule naming an event id (non-empty) looks at that event's row only
       (the id wins when a rule names both);
@@ -43,7 +46,7 @@ def price_alerts(raw: DataFrame, rules: DataFrame) -> DataFrame:
       wildcards) -- cheapest by minimum price, then event id;
     * a hit needs a non-NULL minimum price <= target (inclusive).
     """
-    day = latest_snapshot(raw).select(
+    day = today.select(
         "event_id", F.col("name").alias("event_name"), "artist_name", "min_price",
         mid_price().alias("avg_price"), "venue_city", "event_date")
     act = active_rules(rules)
@@ -66,11 +69,12 @@ def price_alerts(raw: DataFrame, rules: DataFrame) -> DataFrame:
                     py_str_timestamp("event_date").alias("event_date")))
 
 
-def latest_anomalies(raw: DataFrame, threshold: float = 2.0, limit: int = 20,
-                     min_snapshots: int = 3) -> DataFrame:
+def latest_anomalies(raw: DataFrame, today: DataFrame, threshold: float = 2.0,
+                     limit: int | None = 20, min_snapshots: int = 3) -> DataFrame:
     """Newest-day priced rows at least ``threshold`` standard deviations from
     their event's mean over all days (events with >= ``min_snapshots`` priced
-    rows and a non-zero deviation), largest |z| first, top ``limit``.
+    rows and a non-zero deviation), largest |z| first, top ``limit``; None
+    gives all of them.
 
     The statistics aggregate (partial, map-side) to one row per event and join
     the newest day on event_id; AQE broadcasts whichever side is measured
@@ -82,20 +86,19 @@ def latest_anomalies(raw: DataFrame, threshold: float = 2.0, limit: int = 20,
                   F.count(F.lit(1)).alias("_n"))
              .filter((F.col("_n") >= min_snapshots) & (F.col("stddev_price") > 0))
              .drop("_n"))
-    day = latest_snapshot(raw).filter(F.col("min_price").isNotNull()).select(
+    day = today.filter(F.col("min_price").isNotNull()).select(
         "event_id", F.col("name").alias("event_name"), "artist_name", "venue_city",
         mid_price().alias("current_price"))
     z = z_score("current_price", "mean_price", "stddev_price")
-    return (day.join(stats, "event_id")
-            .withColumn("z_score", z)
-            .filter(F.abs("z_score") >= F.lit(threshold))
-            .orderBy(F.abs("z_score").desc(), F.asc("event_id"))
-            .limit(limit)
-            .select("event_id", "event_name", "artist_name", "venue_city", "current_price",
-                    "mean_price", "z_score",
-                    F.bround("z_score", 2).alias("z_rounded"),
-                    F.when(F.col("z_score") > 0, F.lit(SPIKE)).otherwise(F.lit(DROP))
-                    .alias("kind")))
+    far = (day.join(stats, "event_id")
+           .withColumn("z_score", z)
+           .filter(F.abs("z_score") >= F.lit(threshold)))
+    if limit is not None:
+        far = far.orderBy(F.abs("z_score").desc(), F.asc("event_id")).limit(limit)
+    return far.select("event_id", "event_name", "artist_name", "venue_city", "current_price",
+                      "mean_price", "z_score", round_binary("z_score", 2).alias("z_rounded"),
+                      F.when(F.col("z_score") > 0, F.lit(SPIKE)).otherwise(F.lit(DROP))
+                      .alias("kind"))
 
 
 def mark_triggered(rules: DataFrame, hits: DataFrame, as_of: _dt.datetime,
@@ -110,7 +113,9 @@ def mark_triggered(rules: DataFrame, hits: DataFrame, as_of: _dt.datetime,
     hit marks every rule without an event id), already triggered rules are
     stamped again, and the last hit in rule order sets the price.  That OR of
     two null-safe equalities runs as two equi-joins against hits aggregated
-    to one row per key (the last hit per key), never as rule x hit pairs."""
+    to one row per key (the last hit per key), never as rule x hit pairs; what
+    missing values share is one row, taken as a scalar subquery, so they are
+    no join key."""
     stamp = F.lit(as_of.isoformat(sep=" ")).alias("_at")
     if not compat:
         h = hits.select("rule_id", F.lit(True).alias("_hit"),
@@ -122,16 +127,17 @@ def mark_triggered(rules: DataFrame, hits: DataFrame, as_of: _dt.datetime,
                          F.col("artist_name").alias("_art"))
         h = hits.select("rule_id", "current_price").join(r, "rule_id")
 
-        def last_by(key):
-            return (h.groupBy(F.col(key).alias("_k"))
-                    .agg(F.max_by(F.struct("rule_id", "current_price"), "rule_id").alias("_last")))
+        last = F.max_by(F.struct("rule_id", "current_price"), "rule_id")
+
+        def mark(frame, column, key, name):
+            named = h.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
+                last.alias("_named"))
+            missing = h.filter(F.col(key).isNull()).agg(last.alias("l")).scalar()
+            joined = frame.join(named, F.col(column) == F.col("_k"), "left")
+            return joined.withColumn(name, F.when(F.col(column).isNull(), missing)
+                                     .otherwise(F.col("_named"))).drop("_k", "_named")
 
-        by_e, by_a = last_by("_eid"), last_by("_art")
-        marked = (rules
-                  .join(by_e.withColumnRenamed("_last", "_le"),
-                        rules["event_id"].eqNullSafe(by_e["_k"]), "left").drop("_k")
-                  .join(by_a.withColumnRenamed("_last", "_la"),
-                        rules["artist_name"].eqNullSafe(by_a["_k"]), "left").drop("_k"))
+        marked = mark(mark(rules, "event_id", "_eid", "_le"), "artist_name", "_art", "_la")
         last = F.when(F.col("_la").isNull() |
                       (F.col("_le.rule_id") >= F.col("_la.rule_id")), F.col("_le")) \
             .otherwise(F.col("_la"))
@@ -186,9 +192,9 @@ def price_alert_digest(hits: DataFrame) -> DataFrame:
 
 def anomaly_digest(anomalies: DataFrame, lines_per_kind: int = 10) -> DataFrame:
     """Message rows for the anomalies: an 'anomaly' subject row counting
-    drops and spikes, then per kind ('drop', 'spike') its first
-    ``lines_per_kind`` lines in |z| order.  The input is the top-k of
-    ``latest_anomalies`` (bounded)."""
+    drops and spikes of all anomalies, then per kind ('drop', 'spike') its first
+    ``lines_per_kind`` lines in |z| order (the rank filter keeps that many rows
+    a task before the shuffle)."""
     subject = (anomalies.agg(F.count_if(F.col("kind") == F.lit(DROP)).alias("d"),
                              F.count_if(F.col("kind") == F.lit(SPIKE)).alias("s"))
                .filter(F.col("d") + F.col("s") > 0)

@@ -5,8 +5,8 @@ where ``%`` and ``_`` inside the pattern are wildcards and there is no escape
 character.  Evaluating that predicate for every (rule, row) pair is a nested
 loop join; here it becomes two equi-joins:
 
-1. Rows are reduced first to one row per distinct text (the first row in
-   the requested order), partially aggregated map-side.
+1. Equal patterns become one, and rows one order key per distinct text
+   (the first in the requested order), partially aggregated map-side.
 2. Every distinct text is indexed by its grams: all substrings of length
    1..Q of its lower-case form; only grams some pattern needs are kept (a
    left-semi join against the patterns' grams).
@@ -75,52 +75,45 @@ def cheapest_per_pattern(rows: DataFrame, text_col: str, patterns: DataFrame,
     """For every pattern, the first row (by ``order`` ascending) among
     ``rows`` whose ``text_col`` contains the pattern.
 
-    Never enumerates all (pattern, row) pairs: rows are first reduced to the
-    first row per distinct text, literal patterns then join the gram index
-    (see module doc), and wildcard-only patterns join a table of "first row
-    among texts at least k characters long" keyed by k (bounded by the
-    longest text, not by the number of rows)."""
-    row = F.struct(*[F.col(c) for c in rows.columns])
+    Never enumerates all (pattern, row) pairs: equal patterns are answered
+    once, rows are reduced to the first order key per distinct text, and only
+    texts and order keys travel through the gram index.  The winning rows are
+    joined back at the end and fanned out to the patterns that asked."""
+    text, lp = F.col(text_col), F.lower(F.col(pattern_col))
     okey = F.struct(*[F.col(c) for c in order])
-    per_text = (rows.filter(F.col(text_col).isNotNull())
-                .groupBy(F.col(text_col).alias("_text"))
-                .agg(F.min_by(row, okey).alias("_row"), F.min(okey).alias("_key")))
-
-    lp = F.lower(F.col(pattern_col))
-    pats = patterns.select(pattern_key, pattern_col, pattern_grams(lp, q).alias("_gs"))
-    literal = pats.filter(F.size("_gs") > 0)
-    wild = pats.filter(F.size("_gs") == 0)
-    rule_grams = literal.select(pattern_key, pattern_col, F.explode("_gs").alias("_g"))
-
-    # gram index: (gram, text, first row of that text), restricted to grams
-    # some pattern needs, so the frequency count and the candidate join only
-    # see those
-    lt = F.lower(F.col("_text"))
-    gram_index = (per_text.select(F.explode(text_grams(lt, q)).alias("_g"),
-                                  "_text", "_row", "_key")
-                  .join(rule_grams.select("_g"), "_g", "left_semi"))
-    freq = gram_index.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
-
-    chosen = (rule_grams.join(freq, "_g", "left")
-              .groupBy(pattern_key, pattern_col)
+    texts = (rows.filter(text.isNotNull()).groupBy(text.alias("_text"))
+             .agg(F.min(okey).alias("_key")))
+    asked = patterns.select(lp.alias("_p")).distinct().select("_p", pattern_grams(F.col("_p"), q)
+                                                              .alias("_gs"))
+    need_grams = asked.filter(F.size("_gs") > 0).select("_p", F.explode("_gs").alias("_g"))
+
+    index = (texts.select(F.explode(text_grams(F.lower("_text"), q)).alias("_g"), "_text", "_key")
+             .join(need_grams.select("_g").distinct(), "_g", "left_semi"))
+    freq = index.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
+    # a pattern goes by its rarest gram; a gram that no text has rules it out
+    chosen = (need_grams.join(freq, "_g", "left").groupBy("_p")
               .agg(F.min_by("_g", F.struct(F.coalesce("_f", F.lit(0)), F.col("_g"))).alias("_g")))
-    lit_best = (chosen.join(gram_index, "_g")
-                .filter(like_contains(F.col("_text"), F.col(pattern_col)))
-                .groupBy(pattern_key)
-                .agg(F.min_by("_row", "_key").alias("_row")))
-
-    # wildcard-only: first row among texts at least `need` characters long.
-    # Every text length L stands for the answers k = 0..L, so the lookup is an
-    # equi-join on k; the exploded table has at most (max length)^2 / 2 rows
-    # whatever the number of rows or texts.
-    by_len = (per_text.groupBy(F.length("_text").alias("_len"))
-              .agg(F.min_by("_row", "_key").alias("_row"), F.min("_key").alias("_key")))
+    literal = (chosen.join(index, "_g").filter(like_contains(F.col("_text"), F.col("_p")))
+               .groupBy("_p").agg(F.min(F.struct("_key", "_text")).alias("_best")))
+
+    # wildcards only: the first row among texts with at least that many
+    # characters.  One row per length, joined with the few distinct needs
+    # through a running minimum over the lengths.
+    by_len = texts.groupBy(F.length("_text").alias("_len")).agg(
+        F.min(F.struct("_key", "_text")).alias("_best"))
     at_least = (by_len.select(F.explode(F.sequence(F.lit(0), F.col("_len"))).alias("_need"),
-                              "_row", "_key")
-                .groupBy("_need").agg(F.min_by("_row", "_key").alias("_row")))
-    need = F.length(F.regexp_replace(F.col(pattern_col), "[^_]", "")).cast("int")
-    wild_best = (wild.select(pattern_key, need.alias("_need"))
-                 .join(at_least, "_need")
-                 .select(pattern_key, "_row"))
-    return (lit_best.unionByName(wild_best)
+                              "_best").groupBy("_need").agg(F.min("_best").alias("_best")))
+    need = F.length(F.regexp_replace("_p", "[^_]", "")).cast("int")
+    wild = (asked.filter(F.size("_gs") == 0).select("_p", need.alias("_need"))
+            .join(at_least, "_need").select("_p", "_best"))
+
+    best = literal.unionByName(wild).select(
+        F.col("_p").alias("_asked"), F.col("_best._text").alias("_won"),
+        *[F.col(f"_best._key.{c}").alias(f"_k{i}") for i, c in enumerate(order)])
+    row = F.struct(*[F.col(c) for c in rows.columns])
+    same = text == F.col("_won")
+    for i, c in enumerate(order):
+        same = same & F.col(c).eqNullSafe(F.col(f"_k{i}"))
+    won = (best.join(rows, same).groupBy("_asked").agg(F.min(row).alias("_row")))
+    return (patterns.select(pattern_key, lp.alias("_asked")).join(won, "_asked")
             .select(pattern_key, "_row.*"))

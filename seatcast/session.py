@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session we create gets.  Timestamps are NTZ throughout, but
 # pinning UTC keeps date_format/to_date independent of the host zone.
@@ -49,10 +49,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the configured checkpoint folder; only when none is configured
-    (local tests) create a private one."""
+    """Return the configured checkpoint folder.  Without one, a session with a
+    local master gets a private folder; on a cluster that is an error, because
+    executors do not see the driver's folders."""
     d = checkpoint_dir(spark)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="seatcast-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -64,3 +68,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     token = os.urandom(6).hex()
     return f"{base}/seatcast-{name}-{token}"
+
+
+def write_scratch(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared checkpoint folder and read it back: cuts
+    the lineage, and what several plans read is computed once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -91,3 +91,8 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         "snapshot_date",
         F.col("snapshot_date").cast("timestamp_ntz").alias("ingested_at"),
     )
+
+
+def newest_day(spark: SparkSession, sf_dir: str) -> _dt.date | None:
+    """The newest snapshot day: one narrow column of ``events``."""
+    return table(spark, sf_dir, "events", "ts").agg(F.to_date(F.max("ts"))).first()[0]
