@@ -1,7 +1,10 @@
 """Command line for the daily jobs (each one Spark job chain, no driver loops).
 
     python -m seatcast ingest --landing L --store S [--day YYYY-MM-DD ...] [--dedupe]
+                              [--strict] [--as-of T [--days-ahead N]] [--city C] [--state S]
+                              [--genre G]
     python -m seatcast stream --landing L --store S --checkpoint C [--every "1 hour"]
+                              [--dedupe] [--files-per-trigger N]
     python -m seatcast build-marts --store S --out O [--stage-history]
     python -m seatcast check-alerts --store S --rules R [--save-to NEW] [--dry-run]
                                     [--as-of "YYYY-MM-DD HH:MM:SS"] [--compat]
@@ -44,11 +47,18 @@ def main(argv: list[str] | None = None) -> int:
     ing.add_argument("--store", required=True)
     ing.add_argument("--day", action="append", default=[])
     ing.add_argument("--dedupe", action="store_true")
+    ing.add_argument("--strict", action="store_true", help="fail on unreadable or missing pages")
+    ing.add_argument("--as-of", default=None, help="keep events from this time on")
+    ing.add_argument("--days-ahead", type=int, default=90)
+    for name in ("city", "state", "genre"):
+        ing.add_argument(f"--{name}", default=None)
 
     st = sub.add_parser("stream", help="incremental ingest of newly landed pages")
     st.add_argument("--landing", required=True)
     st.add_argument("--store", required=True)
     st.add_argument("--checkpoint", required=True)
+    st.add_argument("--dedupe", action="store_true")
+    st.add_argument("--files-per-trigger", type=int, default=None)
     st.add_argument("--every", default=None, help="poll interval; default: process and stop")
 
     bm = sub.add_parser("build-marts", help="rebuild the four marts from the store")
@@ -75,11 +85,17 @@ def main(argv: list[str] | None = None) -> int:
 
     if a.cmd == "ingest":
         days = [dt.date.fromisoformat(d) for d in a.day] or None
-        print(build.ingest_landed(spark, a.landing, a.store, days=days, dedupe=a.dedupe))
+        if a.as_of is None and (a.city or a.state or a.genre):
+            p.error("--city, --state and --genre need --as-of")
+        print(build.ingest_landed(
+            spark, a.landing, a.store, days=days, dedupe=a.dedupe, strict=a.strict,
+            as_of=dt.datetime.fromisoformat(a.as_of) if a.as_of else None,
+            days_ahead=a.days_ahead, city=a.city, state=a.state, genre=a.genre))
     elif a.cmd == "stream":
         from .streaming.ingest import start_ingest_stream
         q = start_ingest_stream(spark, a.landing, a.store, a.checkpoint,
-                                available_now=a.every is None, processing_time=a.every)
+                                available_now=a.every is None, processing_time=a.every,
+                                dedupe=a.dedupe, files_per_trigger=a.files_per_trigger)
         q.awaitTermination()
     elif a.cmd == "build-marts":
         raw = store_io.read_store(spark, a.store)
@@ -88,8 +104,8 @@ def main(argv: list[str] | None = None) -> int:
         as_of = dt.datetime.fromisoformat(a.as_of) if a.as_of else dt.datetime.now()
         raw = store_io.read_store(spark, a.store)
         out = build.run_alert_check(spark, raw, a.rules,
-                                    save_to=None if a.dry_run else a.save_to,
-                                    as_of=as_of, compat=a.compat)
+                                    save_to=None if a.dry_run else a.save_to, as_of=as_of,
+                                    day=store_io.newest_day(spark, a.store), compat=a.compat)
         out["digest"].orderBy("section", "position").show(truncate=False)
     elif a.cmd == "rules":
         from .operators.alerts import rule_status

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import alerts, marts, staging
+from ..session import write_scratch
 from ..sources import pages, rules as rules_io, store
 
 MARTS = {
@@ -46,31 +46,56 @@ def build_marts(raw: DataFrame, out_dir: str, *, names=None,
     return out
 
 
+class BadLandingError(ValueError):
+    pass
+
+
 def ingest_landed(spark: SparkSession, landing_root: str, store_path: str, *,
                   days: list[_dt.date] | None = None, dedupe: bool = False,
+                  strict: bool = False, as_of: _dt.datetime | None = None,
+                  days_ahead: int = 90, city: str | None = None, state: str | None = None,
+                  genre: str | None = None, max_pages: int | None = None,
                   ingested_at: _dt.datetime | None = None) -> dict:
     """Daily ingestion: landed pages -> flat rows -> key check -> replace the
     days in the store.  ``days`` restricts (and guarantees) the replaced
-    days: a listed day without rows is emptied."""
-    rows = pages.landed_rows(spark, landing_root)
-    if days:
-        rows = rows.filter(F.col("snapshot_date").isin(list(days)))
-    return store.upsert_days(rows, store_path, days=days, dedupe=dedupe, ingested_at=ingested_at)
+    days: a listed day without rows is emptied.  ``as_of`` and the filters
+    after it keep the events the search asked for (``pages.event_window``).
+
+    Returns counters: pages, repeats, unreadable lines, missing pages, events
+    fetched, rows written, rejected dates, days.  ``strict`` raises
+    ``BadLandingError`` before writing if lines are unreadable or pages miss."""
+    report = pages.page_report(pages.read_pages(spark, landing_root, days))
+    names = ["pages", "repeats", "unreadable", "missing", "events"]
+    found = report.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first().asDict()
+    if strict and (found["unreadable"] or found["missing"]):
+        raise BadLandingError(f"{found['unreadable']} unreadable lines and {found['missing']} "
+                              f"missing pages under {landing_root}")
+    rows = pages.landed_rows(spark, landing_root, days, max_pages)
+    if as_of is not None:
+        rows = pages.event_window(rows, as_of, days_ahead, city=city, state=state, genre=genre)
+    done = store.upsert_days(rows, store_path, days=days, dedupe=dedupe, ingested_at=ingested_at)
+    return found | done
 
 
 def run_alert_check(spark: SparkSession, raw: DataFrame, rules_path: str, *,
-                    save_to: str | None, as_of: _dt.datetime, compat: bool = False,
-                    threshold: float = 2.0, limit: int = 20) -> dict[str, DataFrame]:
+                    save_to: str | None, as_of: _dt.datetime, day: _dt.date | None = None,
+                    compat: bool = False, threshold: float = 2.0,
+                    limit: int = 20) -> dict[str, DataFrame]:
     """The alert job: price hits, anomaly list, digests and the marked rules.
 
-    The marked rules are written to ``save_to`` (a new path; never the file
-    that was read) only when there is a hit and ``save_to`` is given (a dry
-    run passes None).  Returns the result DataFrames."""
+    ``day`` is the newest day if the caller knows it (``store.newest_day`` reads
+    folder names only).  The newest day's rows and the hits are written once to
+    the shared scratch folder.  The marked rules are written to ``save_to`` (a
+    new path; never the file that was read) only when there is a hit and
+    ``save_to`` is given (a dry run passes None)."""
     rules = rules_io.read_rules(spark, rules_path)
-    hits = alerts.price_alerts(raw, rules).persist(StorageLevel.MEMORY_AND_DISK)
-    anomalies = alerts.latest_anomalies(raw, threshold, limit)
+    day = day or alerts.newest_day(raw)
+    today = write_scratch(alerts.latest_snapshot(raw, day), "newest-day")
+    hits = write_scratch(alerts.price_alerts(today, rules), "hits")
+    far = write_scratch(alerts.latest_anomalies(raw, today, threshold, None), "anomalies")
     marked = alerts.mark_triggered(rules, hits, as_of, compat=compat)
     if save_to is not None and not hits.isEmpty():
         rules_io.save_rules(marked, save_to)
-    return {"hits": hits, "anomalies": anomalies, "rules": marked,
-            "digest": alerts.alert_digest(hits, anomalies)}
+    listed = far.orderBy(F.abs("z_score").desc(), F.asc("event_id")).limit(limit)
+    return {"hits": hits, "anomalies": listed, "rules": marked,
+            "digest": alerts.alert_digest(hits, far)}

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import stable
 from ..operators import alerts, marts, reports, staging
 from ..schemas import API_EVENT
-from ..session import scratch_path
+from ..session import scratch_path, write_scratch
 from ..sources import adapter, pages, store
 from ..sources.rules import rules_frame
 from . import build
@@ -79,17 +79,29 @@ def _rules(spark):
     return rules_frame(spark, P.RULES)
 
 
+def _today(spark, sf_dir):
+    """The newest day's rows, written once: every alert query reads them."""
+    return write_scratch(alerts.latest_snapshot(_raw(spark, sf_dir),
+                                                adapter.newest_day(spark, sf_dir)), "newest-day")
+
+
 def q_latest_snapshot(spark, sf_dir):
-    return alerts.latest_snapshot(_raw(spark, sf_dir)).drop(*NO_EXPORT)
+    return alerts.latest_snapshot(_raw(spark, sf_dir),
+                                  adapter.newest_day(spark, sf_dir)).drop(*NO_EXPORT)
+
+
+def _hits(spark, sf_dir, today=None):
+    return alerts.price_alerts(_today(spark, sf_dir) if today is None else today, _rules(spark))
 
 
 def q_price_alerts(spark, sf_dir):
-    return alerts.price_alerts(_raw(spark, sf_dir), _rules(spark))
+    return _hits(spark, sf_dir)
 
 
-def _latest_anomalies(spark, sf_dir):
-    return alerts.latest_anomalies(_raw(spark, sf_dir), P.Z_THRESHOLD, P.ANOMALY_ALERT_LIMIT,
-                                   P.MIN_SNAPSHOTS)
+def _latest_anomalies(spark, sf_dir, today=None, limit=P.ANOMALY_ALERT_LIMIT):
+    return alerts.latest_anomalies(_raw(spark, sf_dir),
+                                   _today(spark, sf_dir) if today is None else today,
+                                   P.Z_THRESHOLD, limit, P.MIN_SNAPSHOTS)
 
 
 def q_latest_anomalies(spark, sf_dir):
@@ -97,18 +109,20 @@ def q_latest_anomalies(spark, sf_dir):
 
 
 def q_mark_triggered(spark, sf_dir):
-    hits = alerts.price_alerts(_raw(spark, sf_dir), _rules(spark))
+    hits = write_scratch(_hits(spark, sf_dir), "hits")
     return alerts.mark_triggered(_rules(spark), hits, P.AS_OF)
 
 
 def q_mark_triggered_compat(spark, sf_dir):
-    hits = alerts.price_alerts(_raw(spark, sf_dir), _rules(spark))
+    hits = write_scratch(_hits(spark, sf_dir), "hits")
     return alerts.mark_triggered(_rules(spark), hits, P.AS_OF, compat=True)
 
 
 def q_alert_digest(spark, sf_dir):
-    hits = alerts.price_alerts(_raw(spark, sf_dir), _rules(spark))
-    return alerts.alert_digest(hits, _latest_anomalies(spark, sf_dir), P.DIGEST_LINES_PER_KIND)
+    today = _today(spark, sf_dir)
+    hits = write_scratch(_hits(spark, sf_dir, today), "hits")
+    far = write_scratch(_latest_anomalies(spark, sf_dir, today, limit=None), "anomalies")
+    return alerts.alert_digest(hits, far, P.DIGEST_LINES_PER_KIND)
 
 
 # ------------------------------------------------------------------ reports
@@ -150,13 +164,12 @@ def q_sellout_top15(spark, sf_dir):
 
 
 def q_sellout_summary(spark, sf_dir):
-    return reports.sellout_summary(reports.sellout_report(_raw(spark, sf_dir),
-                                                          limit=P.SELLOUT_LIMIT))
+    return reports.sellout_summary(reports.sellout_report(_raw(spark, sf_dir), limit=None))
 
 
 def q_sellout_histogram(spark, sf_dir):
     return reports.sellout_histogram(
-        reports.sellout_report(_raw(spark, sf_dir), limit=P.SELLOUT_LIMIT), P.HISTOGRAM_MAX_BINS)
+        reports.sellout_report(_raw(spark, sf_dir), limit=None), P.HISTOGRAM_MAX_BINS)
 
 
 def q_weekday_report(spark, sf_dir):
@@ -185,13 +198,13 @@ def q_explorer_page(spark, sf_dir):
 
 
 def q_explorer_summary(spark, sf_dir):
-    page = reports.explorer_page(_raw(spark, sf_dir), P.AS_OF, rows=P.EXPLORER_PAGE_ROWS)
-    return _stable(reports.explorer_summary(page), "avg_min_price", "avg_max_price")
+    return _stable(reports.explorer_summary(reports.event_explorer(_raw(spark, sf_dir), P.AS_OF)),
+                   "avg_min_price", "avg_max_price")
 
 
-def _anomaly_report(spark, sf_dir, genre=None, city=None):
-    return reports.anomaly_report(_raw(spark, sf_dir), genre, city, P.Z_THRESHOLD,
-                                  P.ANOMALY_REPORT_LIMIT, P.MIN_SNAPSHOTS)
+def _anomaly_report(spark, sf_dir, genre=None, city=None, limit=P.ANOMALY_REPORT_LIMIT):
+    return reports.anomaly_report(_raw(spark, sf_dir), genre, city, P.Z_THRESHOLD, limit,
+                                  P.MIN_SNAPSHOTS)
 
 
 def q_anomaly_report(spark, sf_dir):
@@ -208,7 +221,7 @@ def q_anomaly_chart(spark, sf_dir):
 
 
 def q_anomaly_summary(spark, sf_dir):
-    return _stable(reports.anomaly_summary(_anomaly_report(spark, sf_dir)),
+    return _stable(reports.anomaly_summary(_anomaly_report(spark, sf_dir, limit=None)),
                    "best_deal_mean_price", "best_deal_z_score")
 
 
@@ -256,7 +269,8 @@ def q_stream_ingest(spark, sf_dir):
 
 
 def q_duplicate_keys(spark, sf_dir):
-    return store.duplicate_keys(_raw(spark, sf_dir))
+    """Repeats of a coarser key than the store's own, which never repeats."""
+    return store.duplicate_keys(_raw(spark, sf_dir), key=P.DUPLICATE_KEY)
 
 
 def queries() -> dict[str, Query]:

@@ -6,15 +6,17 @@ Pages are landed as JSON documents, one page per line, under
     <root>/snapshot_date=YYYY-MM-DD/city=<name>/<any file name>.json
 
 so the snapshot day and the city come from the path (partition discovery),
-never from the clock.  Reading applies the fetch rules: per day and city,
-pages 0..4 only (5 pages a city), and nothing after an empty page or past the
-page count the previous page announced.
+never from the clock.  Every landed page counts: what has been fetched is not
+dropped again by rules that were made to spare the API.  A page landed twice
+(a retry) counts once, the later file wins; unreadable lines, missing page
+numbers and page counts that do not fit are reported by ``page_report``.
 
 ``flatten_events`` turns one nested event into one row with column
 expressions only (no Python): the first venue / attraction / classification /
 price range; missing text -> '', missing prices and capacity -> NULL, missing
 currency -> 'USD'; the event date is the start dateTime, else the localDate
-(midnight), else NULL.  An empty venue, attraction or classification list
+(midnight), else NULL, read as local wall time whatever the session's zone;
+a text that is no date is NULL and counted as rejected.  An empty venue, attraction or classification list
 gives '' as well.
 """
 
@@ -26,15 +28,17 @@ from pyspark.sql import types as T
 
 from ..functions import blank_if_null, first_or_null, ntz_literal
 from ..schemas import API_EVENT, API_PAGE
+from ..session import exists
 
 # Fixed values of the fetch contract.
 PAGE_SIZE = 200
-MAX_PAGES_PER_CITY = 5
 DEFAULT_CURRENCY = "USD"
 
 FLAT_COLUMNS = ["event_id", "name", "event_date", "venue_name", "venue_city", "venue_state",
                 "venue_capacity", "genre", "subgenre", "artist_name", "min_price", "max_price",
                 "currency", "status", "url"]
+# Set on rows whose date text could not be read.
+DATE_REJECTED = "date_rejected"
 
 
 def _truthy_text(c: Column) -> Column:
@@ -51,13 +55,10 @@ def flatten_events(events: DataFrame, event_col: str = "event") -> DataFrame:
     price = first_or_null(e["priceRanges"])
     start = e["dates"]["start"]
     when_text = F.coalesce(_truthy_text(start["dateTime"]), _truthy_text(start["localDate"]))
-    # '2025-03-15T19:00:00Z' -> 2025-03-15 19:00:00 (zone designator dropped,
-    # no shift); '2025-03-15' -> midnight; unparseable -> NULL
-    event_date = F.coalesce(
-        F.try_to_timestamp(F.regexp_replace(when_text, "(Z|[+-][0-9]{2}:?[0-9]{2})$", ""),
-                           F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")),
-        F.try_to_timestamp(when_text, F.lit("yyyy-MM-dd")),
-    ).cast("timestamp_ntz")
+    # '2025-03-15T19:00:00Z' -> 2025-03-15 19:00:00: the zone designator goes,
+    # nothing is shifted, no zoned type in between
+    plain = F.regexp_replace(when_text, "(?<=T.{0,20})(Z|[+-][0-9]{2}:?[0-9]{2})$", "")
+    event_date = plain.try_cast("timestamp_ntz")
     keep = [c for c in events.columns if c != event_col]
     return events.select(
         *keep,
@@ -76,61 +77,98 @@ def flatten_events(events: DataFrame, event_col: str = "event") -> DataFrame:
         F.coalesce(price["currency"], F.lit(DEFAULT_CURRENCY)).alias("currency"),
         blank_if_null(e["dates"]["status"]["code"]).alias("status"),
         blank_if_null(e["url"]).alias("url"),
+        (when_text.isNotNull() & event_date.isNull()).alias(DATE_REJECTED),
     )
 
 
+UNREADABLE = "_unreadable"
+
 LANDED_PAGE = T.StructType(API_PAGE.fields + [
+    T.StructField(UNREADABLE, T.StringType()),
     T.StructField("snapshot_date", T.DateType()),
     T.StructField("city", T.StringType()),
 ])
 
+_PAGE_KEY = ["snapshot_date", "city", "page.number"]
+
 
-def read_pages(spark: SparkSession, root: str) -> DataFrame:
+def read_pages(spark: SparkSession, root: str, days=None) -> DataFrame:
     """Raw landed pages with their ``snapshot_date`` and ``city`` path keys
-    (typed by the schema, not inferred from the path text)."""
-    return spark.read.schema(LANDED_PAGE).json(root)
-
-
-def fetched_pages(pages: DataFrame, max_pages: int = MAX_PAGES_PER_CITY) -> DataFrame:
-    """The pages the paged fetch would have consumed, per day and city:
-    page numbers below ``max_pages``, none after the first empty page, none
-    at or past the page count announced by the previous page (default 1).
-
-    The page cap is a plain filter (pushed below the window), so the window
-    sees at most ``max_pages`` rows per day and city."""
-    n = F.col("page.number")
-    capped = pages.filter(n.isNotNull() & (n >= 0) & (n < max_pages))
-    w = Window.partitionBy("snapshot_date", "city").orderBy(n)
-    empty = F.coalesce(F.size(F.col("_embedded.events")), F.lit(0)) <= 0
-    seen_empty = F.max(empty.cast("int")).over(
-        w.rowsBetween(Window.unboundedPreceding, -1))
-    prev_total = F.lag(F.coalesce(F.col("page.totalPages"), F.lit(1))).over(w)
-    prev_number = F.lag(n).over(w)
-    gapless = F.coalesce(prev_number == n - 1, n == 0)
-    ok = (F.coalesce(seen_empty, F.lit(0)) == 0) & ~empty & F.coalesce(n < prev_total, n == 0) \
-        & gapless
-    # a missing page in the middle stops the fetch too: keep only the run of
-    # consecutive pages from 0 on
-    flagged = capped.select("*", ok.alias("_ok"))
-    run = F.min(F.col("_ok").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return (flagged.select("*", run.alias("_run"))
-            .filter(F.col("_run") == 1).drop("_ok", "_run"))
-
-
-def page_events(pages: DataFrame) -> DataFrame:
-    """One row per event of the consumed pages: snapshot_date, city, event."""
-    return (fetched_pages(pages)
+    (typed by the schema, not inferred from the path text).  With ``days`` only
+    those days' folders are listed."""
+    reader = spark.read.schema(LANDED_PAGE).option("columnNameOfCorruptRecord", UNREADABLE)
+    if days is None:
+        return reader.json(root)
+    paths = [f"{root.rstrip('/')}/snapshot_date={d.isoformat()}" for d in sorted(days)]
+    paths = [p for p in paths if exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], LANDED_PAGE)
+    return reader.option("basePath", root).json(paths)
+
+
+def page_report(pages: DataFrame) -> DataFrame:
+    """Per day and city: pages landed, repeats, unreadable lines, missing page
+    numbers (below the largest announced count or seen number) and events.
+    Only page numbers and sizes travel."""
+    number = F.col("page.number")
+    events = F.coalesce(F.size("_embedded.events"), F.lit(0))
+    narrow = pages.select("snapshot_date", "city", number.alias("number"),
+                          F.col("page.totalPages").alias("announced"),
+                          F.col(UNREADABLE).isNotNull().alias("bad"),
+                          F.greatest(events, F.lit(0)).alias("events"))
+    per_page = narrow.groupBy("snapshot_date", "city", "number").agg(
+        F.count_if(~F.col("bad")).alias("copies"), F.count_if("bad").alias("bad"),
+        F.max("announced").alias("announced"), F.max("events").alias("events"))
+    known = F.col("number").isNotNull() & (F.col("copies") > 0)
+    expected = F.greatest(F.coalesce(F.max("announced"), F.lit(0)),
+                          F.coalesce(F.max("number") + 1, F.lit(0)))
+    return per_page.groupBy("snapshot_date", "city").agg(
+        F.sum("copies").alias("pages"),
+        F.sum(F.when(known, F.col("copies") - 1).otherwise(0)).alias("repeats"),
+        F.sum("bad").alias("unreadable"),
+        (expected - F.count_if(known)).cast("long").alias("missing"),
+        F.sum("events").cast("long").alias("events"))
+
+
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """Every readable page once.  Pages pass straight from the scan; only if
+    some page number of a day and city landed more than once (one check on the
+    narrow keys) do those pages, and only those, meet to keep the last one."""
+    good = pages.filter(F.col(UNREADABLE).isNull() & F.col("_embedded").isNotNull())
+    key = [F.col(k) for k in _PAGE_KEY]
+    names = ["snapshot_date", "city", "number"]
+    again = (good.filter(F.col("page.number").isNotNull()).groupBy(*key)
+             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*names))
+    if again.isEmpty():
+        return good
+    marked = good.select("*", F.col("page.number").alias("number"),
+                         F.struct("_metadata.file_modification_time", "_metadata.file_path",
+                                  F.xxhash64(F.to_json("_embedded"))).alias("_last"))
+    last = Window.partitionBy(*names).orderBy(F.col("_last").desc())
+    kept = (marked.join(again, names, "left_semi")
+            .select("*", F.row_number().over(last).alias("_rank")).filter("_rank = 1"))
+    return marked.join(again, names, "left_anti").select(good.columns).unionByName(
+        kept.select(good.columns))
+
+
+def page_events(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """One row per event of the pages: snapshot_date, city, event.  By default
+    all pages count; ``max_pages`` keeps the numbers below it."""
+    if max_pages is not None:
+        pages = pages.filter(F.col("page.number") < max_pages)
+    return (distinct_pages(pages)
             .select("snapshot_date", "city", F.explode("_embedded.events").alias("event")))
 
 
-def landed_rows(spark: SparkSession, root: str) -> DataFrame:
-    """Landed pages -> flat rows with ``snapshot_date`` (SNAPSHOT minus
-    ``ingested_at``)."""
-    ev = page_events(read_pages(spark, root))
-    return flatten_events(ev).drop("city").select(*FLAT_COLUMNS, "snapshot_date")
+def landed_rows(spark: SparkSession, root: str, days=None,
+                max_pages: int | None = None) -> DataFrame:
+    """Landed pages -> flat rows with ``snapshot_date`` and ``date_rejected``
+    (SNAPSHOT minus ``ingested_at``)."""
+    ev = page_events(read_pages(spark, root, days), max_pages)
+    return flatten_events(ev).drop("city").select(*FLAT_COLUMNS, "snapshot_date", DATE_REJECTED)
 
 
-def event_window(rows: DataFrame, as_of, days_ahead: int = 90, city: str | None = None,
+def event_window(rows: DataFrame, as_of, days_ahead: int = 90, *, city: str | None = None,
                  state: str | None = None, genre: str | None = None) -> DataFrame:
     """The optional search filters of the fetch, applied to flat rows:
     events dated within [as_of, as_of + days_ahead], and city / state /
@@ -199,4 +237,6 @@ def land_pages(rows: DataFrame, root: str, page_size: int = PAGE_SIZE) -> None:
                               F.lit(page_size).alias("size"),
                               F.lit(None).cast("long").alias("totalElements")).alias("page"),
                      F.struct(F.col("_events").alias("events")).alias("_embedded")))
-    (pages.write.mode("errorifexists").partitionBy("snapshot_date", "city").json(root))
+    # a day's pages meet in few tasks; large days are split by size
+    (pages.hint("rebalance", "snapshot_date").write.mode("errorifexists")
+     .partitionBy("snapshot_date", "city").json(root))

@@ -1,20 +1,20 @@
 """Alert rules: build, read and save.
 
-A rule file is a JSON array of objects (``target_price``, ``created_at``,
-``triggered``, optional ``event_id`` / ``artist_name``, later
-``triggered_at`` / ``triggered_price``).  ``rule_id`` is the position in that
-list.  Large rule sets can also be kept as JSON lines carrying ``rule_id``.
+Saved rules are JSON lines, one object each: ``rule_id``, ``target_price``,
+``created_at``, ``triggered``, optional ``event_id`` / ``artist_name``, later
+``triggered_at`` / ``triggered_price``.  ``read_rules`` reads that form back, and
+also a hand-written JSON array of such objects, whose rules are numbered by
+their position where they have no ``rule_id``.  A file that cannot be parsed is
+an error, never "no rules".
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import RULES
-
-_ELEMENT = T.StructType([f for f in RULES.fields if f.name != "rule_id"])
+from ..session import exists
 
 
 def rules_frame(spark: SparkSession, records) -> DataFrame:
@@ -38,30 +38,25 @@ def rules_frame(spark: SparkSession, records) -> DataFrame:
     return spark.createDataFrame(pdf, RULES)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_rules(spark: SparkSession, path: str) -> DataFrame:
-    """Rules of a JSON-array file; a missing file means no rules."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], RULES)
-    doc = spark.read.text(path, wholetext=True)
-    return (doc.select(F.posexplode(F.from_json("value", T.ArrayType(_ELEMENT))))
-            .select(F.col("pos").cast("long").alias("rule_id"), "col.*"))
-
-
-def read_rules_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """Rules kept as JSON lines with their own ``rule_id`` (large rule sets)."""
-    if not _exists(spark, path):
+    """Rules of a saved folder or file; a missing one means no rules."""
+    if not exists(spark, path):
         return spark.createDataFrame([], RULES)
-    return spark.read.schema(RULES).json(path)
+    reader = spark.read.schema(RULES).option("mode", "FAILFAST")
+    first = (spark.read.text(path).filter(F.trim("value") != "").limit(1).collect())
+    if first and first[0][0].lstrip().startswith("["):
+        # an array in one file is read in order by one task
+        rules = reader.option("multiLine", True).json(path)
+    else:
+        rules = reader.json(path)
+    place = F.monotonically_increasing_id()
+    return rules.select(F.coalesce("rule_id", place).alias("rule_id"),
+                        *[c for c in RULES.fieldNames() if c != "rule_id"])
 
 
 def save_rules(rules: DataFrame, path: str) -> None:
-    """Write the rules as a new version (JSON lines, ordered by rule_id).
-    Refuses to overwrite: the caller picks a fresh path, never the one the
-    rules were read from (overwriting the input of a lazy plan loses it)."""
+    """Write the rules as a new version (JSON lines, ordered by rule_id), in the
+    form ``read_rules`` reads.  Refuses to overwrite: the caller picks a fresh
+    path, never the one the rules were read from (overwriting the input of a
+    lazy plan loses it)."""
     (rules.orderBy("rule_id").write.mode("errorifexists").json(path))

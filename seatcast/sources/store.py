@@ -18,33 +18,44 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ntz_literal
 from ..schemas import SNAPSHOT, SNAPSHOT_KEY
+from .pages import DATE_REJECTED
 
 
 class DuplicateKeyError(ValueError):
     pass
 
 
-def duplicate_keys(rows: DataFrame, include_missing: bool = False) -> DataFrame:
-    """Key pairs that occur more than once, with their count (partial
-    aggregation: a hot key is counted map-side before the shuffle).
-    ``include_missing`` also reports keys with a NULL part (an event without
-    an id cannot be stored)."""
-    counted = rows.groupBy(*SNAPSHOT_KEY).agg(F.count(F.lit(1)).alias("n"))
+def duplicate_keys(rows: DataFrame, include_missing: bool = False,
+                   key: list[str] | None = None) -> DataFrame:
+    """Keys (``SNAPSHOT_KEY`` by default) that occur more than once, with their
+    count (partial aggregation: a hot key is counted map-side before the
+    shuffle).  ``include_missing`` also reports keys with a NULL part (an event
+    without an id cannot be stored)."""
+    key = list(key or SNAPSHOT_KEY)
     bad = F.col("n") > 1
     if include_missing:
-        bad = bad | F.col("event_id").isNull() | F.col("snapshot_date").isNull()
-    return counted.filter(bad)
+        for c in key:
+            bad = bad | F.col(c).isNull()
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(bad)
 
 
-def conform(rows: DataFrame, ingested_at: _dt.datetime | None = None) -> DataFrame:
-    """Cast/order to ``SNAPSHOT``; ``ingested_at`` defaults to the given stamp
-    or, without one, to the session's local time."""
+def one_per_key(rows: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """One row per key, by a fixed order over all columns, so that reruns agree."""
+    key = list(key or SNAPSHOT_KEY)
+    rest = [F.col(c).asc_nulls_last() for c in rows.columns if c not in key]
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*rest))
+    return rows.select("*", rank.alias("_rank")).filter("_rank = 1").drop("_rank")
+
+
+def conform(rows: DataFrame, ingested_at: _dt.datetime | None = None,
+            keep: list[str] | None = None) -> DataFrame:
+    """Cast/order to ``SNAPSHOT`` (and the columns to ``keep``); ``ingested_at``
+    defaults to the given stamp or, without one, to the session's local time."""
     stamp = (ntz_literal(ingested_at) if ingested_at is not None
              else F.localtimestamp())
     cols = []
@@ -56,7 +67,7 @@ def conform(rows: DataFrame, ingested_at: _dt.datetime | None = None) -> DataFra
                         .alias("ingested_at"))
         else:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
-    return rows.select(*cols)
+    return rows.select(*cols, *(keep or []))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -70,52 +81,61 @@ def upsert_days(rows: DataFrame, store: str, *, days: list[_dt.date] | None = No
     """Replace the batch's days in the store (see module doc).
 
     Duplicate or missing keys raise ``DuplicateKeyError`` before anything is
-    written (``dedupe=True`` keeps one row per key instead of raising on
-    duplicates).  Returns counters:
-    rows written and days replaced."""
+    written (``dedupe=True`` keeps one row per key, see ``one_per_key``, instead
+    of raising on duplicates).  The check reads the key columns only; nothing
+    holds the batch between check and write.  Returns counters: rows written,
+    days replaced, days emptied, and date texts rejected if the rows say so."""
     spark = rows.sparkSession
-    rows = conform(rows, ingested_at)
+    rejected = F.count_if(F.col(DATE_REJECTED)) if DATE_REJECTED in rows.columns else F.lit(0)
+    own = conform(rows, ingested_at)
+    if DATE_REJECTED in rows.columns:
+        own = conform(rows, ingested_at, keep=[DATE_REJECTED])
     if dedupe:
-        rows = rows.dropDuplicates(SNAPSHOT_KEY)
-    # the key check and the write both read the batch (a few days of rows):
-    # keep it once, spilling to disk; a lost block is recomputed from lineage
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _check_and_write(spark, rows, store, days)
-    finally:
-        rows.unpersist()
-
-
-def _check_and_write(spark: SparkSession, rows: DataFrame, store: str,
-                     days: list[_dt.date] | None) -> dict:
-    # one aggregation pass finds both duplicate and missing keys
-    bad = duplicate_keys(rows, include_missing=True)
-    if not bad.isEmpty():
+        own = one_per_key(own)
+    if not duplicate_keys(own, include_missing=True).isEmpty():
         raise DuplicateKeyError(
             f"missing or duplicate (event_id, snapshot_date) in batch for {store}")
+    metrics: dict = {}
+    if not own.isEmpty():
+        metrics = _write(own, store, rejected)
+    written = set(metrics.get("days") or [])
+    emptied = 0
+    for d in days or []:
+        if d not in written:
+            fs, p = _fs(spark, f"{store.rstrip('/')}/snapshot_date={d.isoformat()}")
+            if fs.exists(p):
+                fs.delete(p, True)
+                emptied += 1
+    return {"rows": metrics.get("rows", 0), "days": len(written), "emptied_days": emptied,
+            "rejected_dates": metrics.get("rejected", 0) or 0}
+
+
+def _write(own: DataFrame, store: str, rejected) -> dict:
+    """Replace the batch's days; rows, rejected dates and days from the write's
+    own metrics."""
     obs = Observation("ingest")
     # the written days come back with the write's own metrics (a handful of
     # dates per batch), no second pass over the rows
-    obs_rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"),
-                            F.collect_set("snapshot_date").alias("days"))
-    # dynamic: only the partitions this batch writes are replaced (a write
-    # option, so concurrent jobs in the session are unaffected)
-    (obs_rows.write.mode("overwrite").partitionBy("snapshot_date")
-     .option("partitionOverwriteMode", "dynamic")
+    seen = own.observe(obs, F.count(F.lit(1)).alias("rows"), rejected.alias("rejected"),
+                       F.collect_set("snapshot_date").alias("days")).select(SNAPSHOT.fieldNames())
+    # rebalance: a day's rows meet in one task, so it gets few files; adaptive
+    # execution splits a day that is large.  dynamic: only the partitions this
+    # batch writes are replaced (a write option, so concurrent jobs in the
+    # session are unaffected)
+    (seen.hint("rebalance", "snapshot_date").write.mode("overwrite")
+     .partitionBy("snapshot_date").option("partitionOverwriteMode", "dynamic")
      .option("compression", "zstd").parquet(store))
-    metrics = obs.get
-    written = set(metrics.get("days") or [])
-    counters = {"rows": metrics.get("rows", 0), "days": len(written)}
-    removed = 0
-    if days:
-        for d in days:
-            if d not in written:
-                fs, p = _fs(spark, f"{store.rstrip('/')}/snapshot_date={d.isoformat()}")
-                if fs.exists(p):
-                    fs.delete(p, True)
-                    removed += 1
-    counters["emptied_days"] = removed
-    return counters
+    return obs.get
+
+
+def newest_day(spark: SparkSession, store: str) -> _dt.date | None:
+    """The newest stored day, from the folder names alone."""
+    fs, p = _fs(spark, store)
+    if not fs.exists(p):
+        return None
+    found = [s.getPath().getName() for s in fs.listStatus(p)]
+    return max((_dt.date.fromisoformat(n.partition("=")[2]) for n in found
+                if n.startswith("snapshot_date=")), default=None)
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:

@@ -4,10 +4,9 @@
 micro-batch (``foreachBatch``) replaces the snapshot days it touches.  A day
 can arrive in several micro-batches (a late page), and replacing a day with
 only the new batch's pages would lose the earlier ones, so the batch function
-re-reads *all* landed pages of the touched days (through a partition
-filter, so other days' directories are never listed or read) and replaces
-those days with that full set.  Reprocessing is idempotent: a rerun over the same files gives the same
-store.  The file-source checkpoint records which files were seen, so a
+re-reads *all* landed pages of the touched days (given as folders, so no other
+day is listed) and replaces those days with that full set.  Reprocessing is
+idempotent: a rerun over the same files gives the same store.  The file-source checkpoint records which files were seen, so a
 restart after a lost driver or executor resumes without duplicates.
 """
 
@@ -23,34 +22,34 @@ from ..sources import pages, store
 
 
 def _replace_touched_days(spark: SparkSession, landing_root: str, store_path: str,
-                          ingested_at: _dt.datetime | None):
+                          ingested_at: _dt.datetime | None, dedupe: bool):
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        # the touched days: a handful of dates per micro-batch (the batch is
-        # an RDD scan here, so its file names are not available as metadata)
+        # the touched days: a handful of dates per micro-batch
         days = sorted(r["snapshot_date"] for r in
                       batch.select("snapshot_date").filter(F.col("snapshot_date").isNotNull())
                       .distinct().collect())
-        if not days:
-            return
-        # all landed pages of those days: a partition filter, so only their
-        # directories are listed and read however large the landing grows
-        full = (pages.landed_rows(spark, landing_root)
-                .filter(F.col("snapshot_date").isin(days)))
-        store.upsert_days(full, store_path, days=days, ingested_at=ingested_at)
+        if days:
+            rows = pages.landed_rows(spark, landing_root, days)
+            store.upsert_days(rows, store_path, days=days, dedupe=dedupe,
+                              ingested_at=ingested_at)
     return handle
 
 
 def start_ingest_stream(spark: SparkSession, landing_root: str, store_path: str,
                         checkpoint: str, *, available_now: bool = True,
-                        processing_time: str | None = None,
+                        processing_time: str | None = None, dedupe: bool = False,
+                        files_per_trigger: int | None = None,
                         ingested_at: _dt.datetime | None = None) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what is landed and
-    stops, otherwise it polls every ``processing_time``."""
-    src = (spark.readStream.schema(pages.LANDED_PAGE)
-           .option("basePath", landing_root)
-           .json(landing_root))
-    writer = (src.writeStream
-              .foreachBatch(_replace_touched_days(spark, landing_root, store_path, ingested_at))
+    stops, otherwise it polls every ``processing_time``.  ``files_per_trigger``
+    bounds a micro-batch, so a first run over a large landing is not one batch;
+    ``dedupe`` keeps one row per key instead of failing on a repeated one."""
+    reader = spark.readStream.schema(pages.LANDED_PAGE).option("basePath", landing_root)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    writer = (reader.json(landing_root).writeStream
+              .foreachBatch(_replace_touched_days(spark, landing_root, store_path, ingested_at,
+                                                  dedupe))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
