@@ -12,8 +12,12 @@ from seatcast.sources.rules import rules_frame
 AS_OF = dt.datetime(2024, 2, 1, 9, 30, 0)
 
 
+def today_of(raw):
+    return alerts.latest_snapshot(raw, alerts.newest_day(raw))
+
+
 def newest_day_raw(raw_df):
-    return raw_df([
+    return today_of(raw_df([
         snap("old", "2024-01-01", 1.0, 2.0, artist="Blue Widgets"),     # not the newest day
         snap("1", "2024-01-02", 40.0, 60.0, artist="Blue Widgets"),
         snap("2", "2024-01-02", 30.0, None, artist="Red Widgets"),
@@ -21,7 +25,7 @@ def newest_day_raw(raw_df):
         snap("4", "2024-01-02", None, None, artist="Quiet Widgets"),
         snap("5", "2024-01-02", 12.5, 20.0, artist="U2"),
         snap("6", "2024-01-02", 99.0, 120.0, artist="back\\slash"),
-    ])
+    ]))
 
 
 RULES = [
@@ -134,6 +138,32 @@ def test_latest_anomalies_newest_day_only(spark, raw_df):
     prices = [10.0] * 6 + [30.0]
     rows = [snap("z", f"2024-01-0{i + 1}", p, p) for i, p in enumerate(prices)]
     rows += [snap("y", f"2024-01-0{i + 1}", p, p) for i, p in enumerate([30.0] + [10.0] * 6)]
-    out = alerts.latest_anomalies(raw_df(rows)).collect()
+    raw = raw_df(rows)
+    out = alerts.latest_anomalies(raw, today_of(raw)).collect()
     assert [(r.event_id, r.kind) for r in out] == [("z", "spike")]
     assert round(out[0].z_score, 6) == round((30 - 90 / 7) / 7.559289460184544, 6)
+
+
+def test_thousands_of_equal_and_one_letter_rules(spark, raw_df):
+    # equal patterns are answered once and fanned out; short ones stay exact
+    rules = rules_frame(spark, [(50.0, "c", False, None, p)
+                                for p in ["widgets"] * 1500 + ["e", "U", "%", "z"] * 300])
+    hits = alerts.price_alerts(newest_day_raw(raw_df), rules)
+    by_event = {r.event_id: r.n for r in hits.groupBy("event_id").count()
+                .withColumnRenamed("count", "n").collect()}
+    # "e" is cheapest at 25 (100% Pure), "U" and "%" at 12.5 (U2), "z" has none
+    assert by_event == {"2": 1500, "3": 300, "5": 600}
+
+
+def test_digest_counts_all_anomalies(spark, raw_df):
+    rows = []
+    for i in range(30):
+        rows += [snap(f"e{i:02d}", f"2024-01-0{d + 1}", p, p)
+                 for d, p in enumerate([10.0] * 6 + [30.0 + i])]
+    raw = raw_df(rows)
+    far = alerts.latest_anomalies(raw, today_of(raw), limit=None)
+    digest = alerts.anomaly_digest(far, 10).collect()
+    assert [r.line for r in digest if r.position == 0] == \
+        ["Price Anomalies: 0 drops, 30 spikes detected"]
+    assert sum(r.section == "spike" for r in digest) == 10
+    assert alerts.latest_anomalies(raw, today_of(raw), limit=20).count() == 20

@@ -1,76 +1,69 @@
-"""Nested API events -> flat rows (column expressions, no Python)."""
+"""Nested API events -> flat rows: each case against its one expected row."""
 
-from seatcast.schemas import API_EVENT
-from seatcast.sources.pages import flatten_events
+import json
 
-FULL_EVENT = {
-    "id": "ev-001",
-    "name": "Northern Lights Tour",
-    "url": "https://tickets.example/ev-001",
-    "dates": {"start": {"localDate": "2025-06-20", "dateTime": "2025-06-20T20:30:00Z"},
-              "status": {"code": "onsale"}},
-    "priceRanges": [{"min": 35.25, "max": 180.75, "currency": "CAD"},
-                    {"min": 1.0, "max": 2.0, "currency": "USD"}],
-    "classifications": [{"genre": {"name": "Folk"}, "subGenre": {"name": "Indie Folk"}},
-                        {"genre": {"name": "Rock"}}],
-    "_embedded": {
-        "venues": [{"name": "Harbor Arena", "city": {"name": "Portland"},
-                    "state": {"stateCode": "OR"}, "upcomingEvents": {"_total": 42}},
-                   {"name": "Other"}],
-        "attractions": [{"name": "The Lanterns"}, {"name": "Opener"}],
-    },
-}
+import pytest
+from pyspark.sql import functions as F
 
+from seatcast.schemas import API_EVENT
+from seatcast.sources.pages import flatten_events
 
-def flat(spark, events):
-    import json
-    df = spark.createDataFrame([(json.dumps(e),) for e in events], "j string")
-    from pyspark.sql import functions as F
-    parsed = df.select(F.from_json("j", API_EVENT).alias("event"))
-    return [r.asDict() for r in flatten_events(parsed).collect()]
+COLUMNS = ["event_id", "name", "event_date", "venue_name", "venue_city", "venue_state",
+           "venue_capacity", "genre", "subgenre", "artist_name", "min_price", "max_price",
+           "currency", "status", "url", "date_rejected"]
+BLANK = dict.fromkeys(COLUMNS, "") | {
+    "event_id": None, "event_date": None, "venue_capacity": None, "min_price": None,
+    "max_price": None, "currency": "USD", "date_rejected": False}
 
 
-def test_full_event(spark):
-    (r,) = flat(spark, [FULL_EVENT])
-    assert r["event_id"] == "ev-001"
-    assert r["name"] == "Northern Lights Tour"
-    assert r["artist_name"] == "The Lanterns"
-    assert r["venue_name"] == "Harbor Arena"
-    assert r["venue_city"] == "Portland"
-    assert r["venue_state"] == "OR"
-    assert r["venue_capacity"] == 42
-    assert r["genre"] == "Folk" and r["subgenre"] == "Indie Folk"
-    assert r["min_price"] == 35.25 and r["max_price"] == 180.75
-    assert r["currency"] == "CAD"
-    assert r["status"] == "onsale"
-    assert r["url"] == "https://tickets.example/ev-001"
-    assert str(r["event_date"]) == "2025-06-20 20:30:00"  # zone designator dropped, no shift
+def start(**when):
+    return {"dates": {"start": when}}
 
 
-def test_missing_fields(spark):
-    (r,) = flat(spark, [{"id": "m1", "name": "Bare Show", "dates": {"start": {}, "status": {}},
-                         "classifications": [{}]}])
-    assert r["event_id"] == "m1"
-    assert r["artist_name"] == "" and r["venue_name"] == "" and r["venue_city"] == ""
-    assert r["genre"] == "" and r["status"] == "" and r["url"] == ""
-    assert r["min_price"] is None and r["max_price"] is None and r["venue_capacity"] is None
-    assert r["currency"] == "USD"
-    assert r["event_date"] is None
+# (event, what differs from a blank row)
+CASES = [
+    ({}, {}),
+    ({"id": "only-first-of-each-list", "priceRanges": [{"min": 7, "max": 9.5, "currency": "NOK"},
+                                                       {"min": 1, "max": 2}],
+      "classifications": [{"subGenre": {"name": "Bebop"}}, {"genre": {"name": "Jazz"}}],
+      "_embedded": {"venues": [{"upcomingEvents": {"_total": 3}, "state": {"stateCode": "VA"}},
+                               {"name": "not this"}],
+                    "attractions": [{"name": "Quartet"}, {"name": "Support"}]}},
+     {"event_id": "only-first-of-each-list", "min_price": 7.0, "max_price": 9.5,
+      "currency": "NOK", "subgenre": "Bebop", "venue_capacity": 3, "venue_state": "VA",
+      "artist_name": "Quartet"}),
+    ({"priceRanges": [], "classifications": [], "_embedded": {"venues": [], "attractions": []}},
+     {}),
+    ({"priceRanges": [{"max": 40.0}]}, {"max_price": 40.0}),
+    ({"url": "u", "name": "n", "dates": {"status": {"code": "offsale"}}},
+     {"url": "u", "name": "n", "status": "offsale"}),
+    (start(dateTime="2031-12-24T18:00:00Z", localDate="2031-12-25"),
+     {"event_date": "2031-12-24 18:00:00"}),
+    (start(dateTime="2031-12-24T18:00:00+02:00"), {"event_date": "2031-12-24 18:00:00"}),
+    (start(dateTime="2025-03-09T12:30Z"), {"event_date": "2025-03-09 12:30:00"}),
+    (start(dateTime="2025-03-09T02:30:00Z"), {"event_date": "2025-03-09 02:30:00"}),
+    (start(dateTime="2031-12-24T18:00:00.250Z"), {"event_date": "2031-12-24 18:00:00.250000"}),
+    (start(dateTime="", localDate="2031-02-03"), {"event_date": "2031-02-03 00:00:00"}),
+    (start(localDate="soon"), {"date_rejected": True}),
+    (start(dateTime="2031-13-40T18:00:00Z"), {"date_rejected": True}),
+]
 
 
-def test_local_date_only_and_empty_lists(spark):
-    rows = flat(spark, [
-        {"id": "a", "dates": {"start": {"localDate": "2025-01-02"}}},
-        {"id": "b", "priceRanges": [], "classifications": [],
-         "_embedded": {"venues": [], "attractions": []},
-         "dates": {"start": {"dateTime": "", "localDate": "2025-01-03"}}},
-        {"id": "c", "priceRanges": [{"min": 5.0}]},
-    ])
-    by = {r["event_id"]: r for r in rows}
-    assert str(by["a"]["event_date"]) == "2025-01-02 00:00:00"
-    assert by["a"]["name"] == ""
-    assert str(by["b"]["event_date"]) == "2025-01-03 00:00:00"  # empty dateTime is absent
-    assert by["b"]["min_price"] is None and by["b"]["currency"] == "USD"
-    assert by["b"]["genre"] == "" and by["b"]["venue_name"] == "" and by["b"]["artist_name"] == ""
-    assert by["c"]["min_price"] == 5.0 and by["c"]["max_price"] is None
-    assert by["c"]["currency"] == "USD"
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_each_event_gives_its_row(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)   # 02:30 does not exist in one of them
+    try:
+        df = spark.createDataFrame([(i, json.dumps(e)) for i, (e, _) in enumerate(CASES)],
+                                   "i int, j string")
+        flat = flatten_events(df.select("i", F.from_json("j", API_EVENT).alias("event")))
+        rows = flat.withColumn("event_date", F.col("event_date").cast("string")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    got = {r.i: {c: r[c] for c in COLUMNS} for r in rows}
+    for i, (_, differs) in enumerate(CASES):
+        want = BLANK | differs
+        have = got[i]
+        if want["event_date"] and "." in want["event_date"]:
+            want["event_date"] = want["event_date"].rstrip("0")
+        assert have == want, CASES[i]

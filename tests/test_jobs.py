@@ -48,9 +48,31 @@ def test_rules_file_and_alert_check(spark, raw_df):
     assert dry["digest"].filter("position = 0").count() == 2
     saved = os.path.join(base, "v2")
     build.run_alert_check(spark, _raw(raw_df), path, save_to=saved, as_of=as_of)
-    back = {r.rule_id: r for r in rules_io.read_rules_jsonl(spark, saved).collect()}
+    back = {r.rule_id: r for r in rules_io.read_rules(spark, saved).collect()}
+    assert sorted(back) == [0, 1]
     assert back[0].triggered is True and back[0].triggered_price == 5.0
     assert back[1].triggered is False
+    # the next day starts from the saved rules: all there, none hit again
+    again = os.path.join(base, "v3")
+    second = build.run_alert_check(spark, _raw(raw_df), saved, save_to=again, as_of=as_of)
+    assert second["hits"].count() == 0 and second["rules"].count() == 2
+    assert not os.path.exists(again)
+
+
+def test_rule_files_round_trip_and_bad_files(spark):
+    import pytest
+    base = tempfile.mkdtemp(prefix="rules-")
+    rules = rules_io.rules_frame(spark, [(float(i), f"c{i}", i % 2 == 0, str(i), None)
+                                         for i in range(13)])
+    rules_io.save_rules(rules.repartition(3), os.path.join(base, "v1"))
+    back = rules_io.read_rules(spark, os.path.join(base, "v1"))
+    assert sorted(back.collect()) == sorted(rules.collect())
+    bad = os.path.join(base, "bad.json")
+    for text in ('[{"target_price": 1.0,', '{"target_price": oops}'):
+        with open(bad, "w") as f:
+            f.write(text)
+        with pytest.raises(Exception):
+            rules_io.read_rules(spark, bad).collect()
 
 
 def test_genre_seed(spark):

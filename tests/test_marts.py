@@ -132,15 +132,21 @@ def test_decimal_rounding_recipe(spark):
                                   Decimal("-1.01")]        # via 3 dp first
 
 
-def test_price_curves_approx_median_option(spark):
-    from seatcast.sources import adapter
-    snaps = hist(adapter.snapshots(spark, "/root/testdata/sf0.001"))
-    key = ["genre", "venue_city", "bucket_order"]
-    exact = {tuple(r[k] for k in key): r for r in marts.price_curves(snaps).collect()}
-    approx = {tuple(r[k] for k in key): r for r in marts.price_curves(snaps, approx=True).collect()}
-    assert exact.keys() == approx.keys()
-    for k, r in exact.items():
-        assert approx[k].mean_price == r.mean_price                 # only the median changes
-        assert approx[k].num_observations == r.num_observations
-        if r.num_observations % 2 == 1:                             # odd counts: a real element
-            assert approx[k].median_price == r.median_price
+def test_price_curves_median_counts_equal_prices(spark):
+    from seatcast.functions import rounded_avg
+    rows = [("g", "c", 5, p, p, p) for p in [10.0] * 5 + [20.0, 30.0, 40.0]]
+    snaps = spark.createDataFrame(rows, "genre string, venue_city string, days_until_event long, "
+                                        "avg_price double, min_price double, max_price double")
+    (r,) = marts.price_curves(snaps).collect()
+    assert (r.num_observations, float(r.median_price), float(r.mean_price)) == (8, 10.0, 17.5)
+    means = spark.createDataFrame([(642.29,), (642.3,)], "p double")
+    assert means.agg(rounded_avg("p", 2).alias("m")).first().m == 642.3      # an exact tie
+
+
+def test_prices_must_be_finite(spark):
+    import pytest
+    snaps = spark.createDataFrame([("g", "c", 5, float("nan"), 1.0, 1.0)],
+                                  "genre string, venue_city string, days_until_event long, "
+                                  "avg_price double, min_price double, max_price double")
+    with pytest.raises(Exception, match="NaN or infinite"):
+        marts.price_curves(snaps).collect()

@@ -10,8 +10,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
 from tools.oracle_compare import compare, duck  # noqa: E402
 
+from seatcast import oracle  # noqa: E402
+from seatcast.plans import registry  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(E.queries())
+KEYS = sorted(registry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -20,12 +23,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle.all_sql()) == set(registry.queries())
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(KEYS) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    r = compare(spark, key, SF, E.queries(), E.oracle_sql(), con)
+    r = compare(spark, key, SF, registry.queries(), oracle.all_sql(), con)
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert not r["type_diffs"], r

@@ -35,7 +35,7 @@ def test_explorer_newest_snapshot_and_search(spark, raw_df):
         == ["The Band"]
     # the search text's % and _ are wildcards (no escape character)
     assert len(reports.event_explorer(raw, as_of, search="%_").collect()) == 2
-    (s,) = reports.explorer_summary(reports.explorer_page(raw, as_of)).collect()
+    (s,) = reports.explorer_summary(reports.event_explorer(raw, as_of)).collect()
     assert (s.upcoming_events, s.on_sale) == (2, 1)
 
 
@@ -72,3 +72,17 @@ def test_display_headers(spark, raw_df):
                              "Date"]
     table = reports.with_display_headers(reports.sellout_table(raw_df(rows)), "sellout")
     assert table.columns == ["Artist", "Event", "City", "Days to Sell Out"]
+
+
+def test_summaries_cover_more_than_the_lists_show(spark, raw_df):
+    rows = []
+    for i in range(70):                              # the list shows 50
+        rows.append(snap(f"s{i:02d}", "2024-01-01", 1.0, 2.0))
+        rows.append(snap(f"s{i:02d}", f"2024-01-{2 + i % 20:02d}", 1.0, 2.0, status="offsale"))
+    raw = raw_df(rows)
+    every = reports.sellout_report(raw, limit=None)
+    assert reports.sellout_report(raw).count() == 50 and every.count() == 70
+    (s,) = reports.sellout_summary(every).collect()
+    assert (s.median_days, s.fastest_days) == (9.0, 1)
+    bins = reports.sellout_histogram(every).collect()
+    assert sum(b.num_events for b in bins) == 70 and len(bins) <= 15

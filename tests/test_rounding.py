@@ -40,3 +40,14 @@ def test_recipes_match_duckdb(spark):
         b = [None if pd.isna(v) else float(v) for v in want[c]]
         bad = [(x, p, q) for x, p, q in zip(got["x"], a, b) if p != q]
         assert not bad, (c, bad[:5])
+
+
+def test_binary_rounding_matches_python(spark):
+    from seatcast.functions import round_binary
+    rnd = random.Random(3)
+    vals = [2.675, -2.675, 0.125, 2.375, 1.005, -0.005, 0.0, 2.5, 1023.995, 2000.125, 2.0]
+    vals += [rnd.randint(-9000, 9000) / 1000 for _ in range(500)]
+    vals += [rnd.uniform(-9, 9) for _ in range(500)]
+    got = spark.createDataFrame([(v,) for v in vals], "x double").select(
+        "x", round_binary("x", 2).alias("r")).collect()
+    assert [r.r for r in got if r.r != round(r.x, 2)] == []
