@@ -34,6 +34,14 @@ def ship_package(spark: SparkSession) -> None:
     sc._seatcast_shipped = True
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made different from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) of ``docs``: a null text is the empty text, every other
     column goes, so extra columns cannot clash with an operator's own."""

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, documents, lookup, materialize, without
+from .common import ascii_lower, documents, fresh, lookup, materialize, without
 
 WINDOW = 13
 MIN_PERCENT = 5
@@ -132,4 +132,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     bad = materialize(contamination(docs, items, id_col=id_col, text_col=text_col)
                       .where("contaminated").select("row_key").distinct(), "contaminated")
     key = F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-    return without(docs.withColumn("row_key", key), bad, "row_key").drop("row_key")
+    name = fresh(docs, "row_key")
+    return without(docs.withColumn(name, key), bad.withColumnRenamed("row_key", name),
+                   name).drop(name)

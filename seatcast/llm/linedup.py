@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, lookup, materialize, ship_package, text_slices
+from .common import documents, fresh, lookup, materialize, ship_package, text_slices
 
 DEPTH = 3
 MIN_DOCS = 5
@@ -173,10 +173,10 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
             .groupBy("row_key").agg(F.collect_set("line").alias("dropped")))
 
 
-def _left(text: Column) -> Column:
+def _left(text: Column, dropped: Column) -> Column:
     """``text`` without its dropped lines."""
-    return F.array_join(F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(
-        F.col("dropped"), i)), "\n")
+    return F.array_join(F.filter(F.split(text, "\n"),
+                                 lambda _, i: ~F.array_contains(dropped, i)), "\n")
 
 
 def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -187,9 +187,11 @@ def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     drops = materialize(repeated_lines(docs, id_col=id_col, text_col=text_col, **how), "drops")
     text = F.coalesce(F.col(text_col), F.lit(""))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    new = F.when(F.col("dropped").isNull(), F.col(text_col)).otherwise(_left(text))
-    return (docs.select(*names, F.xxhash64(F.col(id_col).cast("long"), text).alias("row_key"))
-            .join(drops, "row_key", "left")
+    key, gone = fresh(docs, "row_key"), fresh(docs, "dropped")
+    new = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(_left(text, F.col(gone)))
+    return (docs.select(*names, F.xxhash64(F.col(id_col).cast("long"), text).alias(key))
+            .join(drops.select(F.col("row_key").alias(key), F.col("dropped").alias(gone)), key,
+                  "left")
             .select(*[new.alias(c) if c == text_col else F.col(c) for c in names],
                     F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
-                    F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped")))
+                    F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped")))
