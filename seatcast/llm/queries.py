@@ -1,4 +1,4 @@
-"""Thin queries over the driver's tables, one per operator, and their SQL.
+"""Thin queries over the driver's tables, one per operator (their SQL: ``sql``).
 
 Each query applies its operator with production parameters to the whole table
 and derives the contract's columns from the operator's own output.
@@ -103,7 +103,3 @@ def queries() -> dict[str, Query]:
         op1_best_fit_packing, op2_evidence_fusion, op3_suffix_dedup,
         op4_noisy_channel_toxicity, op5_line_templates, op6_prefix_decontamination,
         op7_bootstrapped_pii, op8_binary_records, op9_compression_bands, op10_hyperminhash)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
