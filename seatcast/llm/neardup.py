@@ -13,9 +13,12 @@
 5. The collision-corrected Jaccard estimate drops hopeless pairs; the rest are
    verified on the full sets, read again from the texts.
 6. Connected components.  Keys whose members still lie in different components
-   are then compared in blocks of bounded size: registers within a block as
-   matrices, only promising pairs between components leave it, and those are
-   verified too.  So a link that the centres do not see is found as well.
+   are opened: in small keys, pairs of different components with promising
+   registers are verified like the centre's.  A large key is cut into blocks of
+   bounded size, and every two blocks meet with their full sets: products of
+   0/1 matrices give all intersections, and only the links that join components
+   leave the block.  So a link that the centres do not see is found as well, and
+   what a key emits grows with its members, not with their pairs.
 
 Linked means 100 * intersection >= 85 * union.  Documents without words are
 linked with nothing.
@@ -40,7 +43,12 @@ from .common import documents, lookup, materialize, text_slices
 from .graph import components
 
 PERCENT = 85
-BLOCK = 1024
+# Keys of more members are compared on full sets, block by block.
+SMALL_KEY = 16
+# Members of a block, and bytes of shingle hashes, at most (a single set may be
+# larger).
+BLOCK = 512
+BLOCK_BYTES = 16 << 20
 
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, sig binary"
 
@@ -134,59 +142,131 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def _blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Promising pairs (a, b) with different labels among members (key, rep,
-    label, n_shingles, sig, n) of one key, n members in all.  A large key is
-    cut into blocks and every two blocks meet in a group of their own; small
-    keys share groups."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    meet = (members.withColumn("blocks", blocks).withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")))
+def _small_keys(members: DataFrame, percent: int) -> DataFrame:
+    """Promising pairs (a, b) with different labels within keys of at most
+    ``SMALL_KEY`` members (key, rep, label, n_shingles, sig).  Keys are dealt over
+    groups of a few thousand rows."""
     rows = members.count()
-    small = F.pmod(F.xxhash64("key"), F.lit(max(1, -(-rows // (4 * BLOCK)))))
-    dealt = meet.withColumn("grp", F.when(F.col("blocks") == 1, small)
-                            .otherwise(F.xxhash64("key", "lo", "hi")))
+    dealt = members.withColumn("grp", F.pmod(F.xxhash64("key"), F.lit(max(1, -(-rows // 4096)))))
 
     def run(table):
-        table = table.sort_by([("key", "ascending"), ("lo", "ascending"), ("hi", "ascending"),
-                               ("own", "ascending")])
-        col = {c: table.column(c).to_numpy() for c in
-               ("key", "lo", "hi", "own", "rep", "label", "n_shingles")}
+        table = table.sort_by("key")
+        key, rep, label, n = (table.column(c).to_numpy() for c in
+                              ("key", "rep", "label", "n_shingles"))
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "u2").reshape(
             -1, shingles.BUCKETS)
-        new = np.ones(len(sig), bool)
-        new[1:] = np.any([col[c][1:] != col[c][:-1] for c in ("key", "lo", "hi")], axis=0)
-        cuts = [*np.flatnonzero(new).tolist(), len(sig)]
-        found = [np.zeros((0, 2), "i8")]
-        for s, e in zip(cuts, cuts[1:], strict=False):
-            two = col["lo"][s] != col["hi"][s]
-            split = s + int(np.searchsorted(col["own"][s:e], col["hi"][s])) if two else s
-            left = range(s, split if two else e)
-            for at in range(left.start, left.stop, 32):
-                i = np.arange(at, min(at + 32, left.stop))
-                j = np.arange(split, e)
-                x, y = sig[i][:, None, :], sig[j][None, :, :]
-                equal = ((x == y) & (x != shingles.EMPTY)).sum(axis=2)
-                n_i, n_j = col["n_shingles"][i][:, None], col["n_shingles"][j][None, :]
-                may = ((col["label"][i][:, None] != col["label"][j][None, :])
-                       & (100 * np.minimum(n_i, n_j) >= percent * np.maximum(n_i, n_j))
-                       & (2 * equal >= np.minimum(shingles.BUCKETS, np.minimum(n_i, n_j)) // 2))
-                if not two:
-                    may &= i[:, None] < j[None, :]
-                p, q = np.nonzero(may)
-                if len(p):
-                    used = ((sig[i[p]] != shingles.EMPTY) | (sig[j[q]] != shingles.EMPTY)).sum(1)
-                    good = shingles.may_reach(
-                        equal[p, q], used, col["n_shingles"][i[p]].astype("f8"),
-                        col["n_shingles"][j[q]].astype("f8"), percent / 100)
-                    found.append(np.stack([col["rep"][i[p[good]]], col["rep"][j[q[good]]]], 1))
-        out = np.concatenate(found)
-        return pa.table({"a": out.min(axis=1), "b": out.max(axis=1)})
-
-    return (dealt.drop("n", "blocks", "other").groupBy("grp")
-            .applyInArrow(run, "a long, b long").distinct())
+        # pairs at every distance within a key
+        first, second = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
+        for step in range(1, len(key)):
+            i = np.flatnonzero(key[:-step] == key[step:])
+            if not len(i):
+                break
+            i = i[label[i] != label[i + step]]
+            first.append(i)
+            second.append(i + step)
+        i, j = np.concatenate(first), np.concatenate(second)
+        x, y = sig[i], sig[j]
+        used = ((x != shingles.EMPTY) | (y != shingles.EMPTY)).sum(axis=1)
+        equal = ((x == y) & (x != shingles.EMPTY)).sum(axis=1)
+        good = shingles.may_reach(equal, used, n[i].astype("f8"), n[j].astype("f8"),
+                                  percent / 100)
+        a, b = rep[i[good]], rep[j[good]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return dealt.groupBy("grp").applyInArrow(run, "a long, b long").distinct()
+
+
+def _forest(i: np.ndarray, j: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Positions of links (i, j) between labels (x, y) that form a forest."""
+    parent: dict[int, int] = {}
+
+    def find(v):
+        while parent.setdefault(v, v) != v:
+            parent[v] = v = parent[parent[v]]
+        return v
+
+    keep = []
+    pairs = np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)
+    _, first = np.unique(pairs, axis=0, return_index=True)
+    for k in first.tolist():
+        a, b = find(int(x[k])), find(int(y[k]))
+        if a != b:
+            parent[a] = b
+            keep.append(k)
+    return keep
+
+
+def _large_keys(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between labels within large keys (key, rep, label,
+    n_shingles, n), on full sets; from each two blocks at most a forest."""
+    ids = materialize(members.select(F.col("rep").alias("doc_id")).distinct(), "open-ids")
+
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in text_slices(batches, ["doc_id", "text"]):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()),
+                 pa.array([shingles.shingle_set(t).tobytes() for t in texts], pa.binary())],
+                names=["rep", "hashes"])
+
+    full = materialize(lookup(docs, ids, "doc_id").dropDuplicates(["doc_id"])
+                       .select("doc_id", "text").mapInArrow(sets, "rep long, hashes binary"),
+                       "open-sets")
+    size = members.groupBy("key").agg((8 * F.sum("n_shingles")).alias("bytes"),
+                                      F.count(F.lit(1)).alias("n"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int")
+    meet = (members.join(size.select("key", blocks.alias("blocks")), "key")
+            .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+            .withColumn("grp", F.xxhash64("key", "lo", "hi")).join(full, "rep")
+            .select("grp", "key", "own", "lo", "hi", "rep", "label", "hashes"))
+
+    def run(table):
+        own, lo, hi, rep, label = (table.column(c).to_numpy() for c in
+                                   ("own", "lo", "hi", "rep", "label"))
+        held = [np.frombuffer(h, "u8") for h in table.column("hashes").to_pylist()]
+        one = lo[0] == hi[0]
+        i = np.flatnonzero(own == lo[0])
+        j = i if one else np.flatnonzero(own == hi[0])
+        both = shingles.intersections([held[k] for k in i], [held[k] for k in j])
+        n = np.array([len(h) for h in held])
+        union = n[i][:, None] + n[j][None, :] - both
+        p, q = np.nonzero((100 * both >= percent * union)
+                          & (label[i][:, None] != label[j][None, :]))
+        a, b = i[p], j[q]
+        keep = _forest(a, b, label[a], label[b])
+        return pa.table({"a": rep[a[keep]], "b": rep[b[keep]]})
+
+    return meet.groupBy("grp").applyInArrow(run, "a long, b long").distinct()
+
+
+def _open_keys(shared: DataFrame, labels: DataFrame, size) -> DataFrame:
+    """(key, rep, n, label) of keys, of a size that ``size`` accepts, whose
+    members have more than one label."""
+    placed = (shared.where(size).join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+              .select("key", "rep", "n", F.coalesce("label", "rep").alias("label")))
+    many = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return placed.join(many.where("lo <> hi").select("key"), "key")
+
+
+def _open_small(docs, reps, shared, labels, tried, percent) -> DataFrame | None:
+    """Verified links within small open keys, or None."""
+    size = (F.col("n") > 2) & (F.col("n") <= SMALL_KEY)
+    members = materialize(_open_keys(shared, labels, size).join(
+        reps.select("rep", "n_shingles", "sig"), "rep"), "open-small")
+    if members.isEmpty():
+        return None
+    pairs = materialize(_small_keys(members, percent).join(tried, ["a", "b"], "left_anti"),
+                        "small-pairs")
+    return None if pairs.isEmpty() else materialize(_verified(pairs, docs, percent), "links")
+
+
+def _open_large(docs, reps, shared, labels, tried, percent) -> DataFrame | None:
+    """Links within large open keys, or None."""
+    members = materialize(_open_keys(shared, labels, F.col("n") > SMALL_KEY).join(
+        reps.select("rep", "n_shingles"), "rep"), "open-large")
+    return None if members.isEmpty() else materialize(
+        _large_keys(members, docs, percent), "links")
 
 
 def link(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
@@ -208,22 +288,17 @@ def link(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     centre = shared.join(score, "rep").groupBy("key").agg(
         F.max_by("rep", F.struct("score", -F.col("rep"))).alias("centre"))
     star = (shared.join(centre, "key").where("rep <> centre")
-            .select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct())
+            .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
+            .distinct())
     pairs = materialize(_promising(star, reps, percent), "star")
     edges = materialize(_verified(pairs, docs, percent), "links")
     labels = components(edges)
 
-    label = F.coalesce("label", "rep").alias("label")
-    placed = shared.where("n > 2").join(
-        labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "n", label)
-    open_keys = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    members = materialize(placed.join(open_keys.where("lo <> hi").select("key"), "key")
-                          .join(reps.select("rep", "n_shingles", "sig"), "rep"), "open-keys")
-    if not members.isEmpty():
-        rest = materialize(_blocks(members, percent).join(pairs, ["a", "b"], "left_anti"), "rest")
-        more = materialize(_verified(rest, docs, percent), "links")
-        if not more.isEmpty():
-            labels = components(edges.unionByName(more))
+    for open_ in (_open_small, _open_large):
+        more = open_(docs, reps, shared, labels, pairs, percent)
+        if more is not None:
+            edges = edges.unionByName(more)
+            labels = components(edges)
 
     rows = (drawn.join(reps.select(*same, "rep"), same, "left")
             .select("doc_id", "n_shingles",

@@ -147,3 +147,30 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     at[at == len(b)] = 0
     both = int((b[at] == a).sum())
     return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+
+
+def intersections(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``x`` with all of ``y``, by
+    products of 0/1 matrices over the shingles that both sides hold."""
+    flat = [np.concatenate(s) if s else np.zeros(0, "u8") for s in (x, y)]
+    common = np.intersect1d(*(np.unique(f) for f in flat), assume_unique=True)
+    out = np.zeros((len(x), len(y)), "f4")
+    spots = []
+    for sets, all_ in zip((x, y), flat, strict=True):
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        col = np.searchsorted(common, all_)
+        col[col == len(common)] = 0
+        hit = common[col] == all_ if len(common) else np.zeros(len(all_), bool)
+        by = np.argsort(col[hit], kind="stable")
+        spots.append((row[hit][by], col[hit][by]))
+    for at in range(0, len(common), 4096):
+        part = []
+        for (row, col), sets in zip(spots, (x, y), strict=True):
+            lo, hi = np.searchsorted(col, [at, at + 4096])
+            m = np.zeros((len(sets), min(4096, len(common) - at)), "f4")
+            m[row[lo:hi], col[lo:hi] - at] = 1
+            part.append(m)
+        out += part[0] @ part[1].T
+    return out
