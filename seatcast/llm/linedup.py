@@ -99,25 +99,21 @@ def _lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
 
 
 def _tokens(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """(leaf, exact, place, token hash) of every line of ``docs``, once per
-    document."""
+    """(leaf, exact, tokens) of the lines of ``docs``: token hashes in order."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for (texts,) in text_slices(batches, ["text"]):
-            leaf, exact, place, token = [], [], [], []
-            for text in texts:
-                for e, (words, own) in {r[3]: (r[1], r[2])
-                                        for r in parse(text, depth, min_tokens)}.items():
-                    leaf += [own] * len(words)
-                    exact += [e] * len(words)
-                    place += range(len(words))
-                    token += map(xxhash.xxh64_intdigest, words)
+            found = {r[3]: (r[1], r[2]) for t in texts for r in parse(t, depth, min_tokens)}
+            ends = np.cumsum([0, *(len(words) for words, _ in found.values())])
+            token = _signed([xxhash.xxh64_intdigest(w) for words, _ in found.values()
+                             for w in words])
             yield pa.RecordBatch.from_arrays(
-                [_signed(leaf), _signed(exact), pa.array(place, pa.int32()), _signed(token)],
-                names=["leaf", "exact", "place", "token"])
+                [_signed([leaf for _, leaf in found.values()]), _signed(list(found)),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), token)],
+                names=["leaf", "exact", "tokens"])
 
-    return docs.select("text").mapInArrow(run, "leaf long, exact long, place int, token long")
+    return docs.select("text").mapInArrow(run, "leaf long, exact long, tokens array<long>")
 
 
 def _recurring(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
@@ -135,9 +131,10 @@ def templates(docs: DataFrame, lines: DataFrame, min_docs: int, depth: int,
                        .join(plain, "exact", "left_anti"), "open-lines")
 
     sources = materialize(rest.select("row_key").distinct(), "open-rows")
-    tokens = (_tokens(lookup(docs, sources, "row_key"), depth, min_tokens).distinct()
-              .join(rest.select("exact").distinct(), "exact", "left_semi"))
-    tokens = materialize(tokens, "open-tokens")
+    exacts = materialize(rest.select("exact").distinct(), "open-exacts")
+    lists = lookup(_tokens(lookup(docs, sources, "row_key"), depth, min_tokens), exacts, "exact")
+    tokens = materialize(lists.dropDuplicates(["exact"]), "open-tokens").select(
+        "leaf", "exact", F.posexplode("tokens").alias("place", "token"))
     # a line's own classes count for each of its tokens
     classes = rest.select("exact", "doc_class").distinct()
     constant = (tokens.join(classes, "exact").select("leaf", "place", "token", "doc_class")
