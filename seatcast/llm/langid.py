@@ -41,7 +41,8 @@ from .common import materialize, ship_package, small, text_slices
 
 # A language must have this many labelled documents to get a model.
 MIN_DOCUMENTS = 5
-MAX_LANGUAGES = 200
+# Languages with a model, at most: what the driver gets stays below 50 * 64**3 counts.
+MAX_LANGUAGES = 50
 # Trigrams are not independent: they count as this many pieces of evidence at
 # most, and one in ``TEMPER`` below that.
 MAX_EVIDENCE, TEMPER = 60.0, 4.0
