@@ -2,19 +2,20 @@
 
 A window is ``size`` consecutive words of an item (a shorter item is one
 window).  A document holds a window if it holds all its words in order, so a
-window's set of word shingles must be contained whole: with the words ordered
+window's set of word shingles must be contained whole: with the shingles ordered
 by rarity, the prefix that has to be joined is the single rarest one.
 
-1. The words of all windows are counted over the documents.  A window with a
-   word that no document has cannot occur and goes.
-2. Document words are joined with the rarest word of each window.
-3. The word's place in the window gives the window's place in the document;
+1. One pass finds where documents have a shingle (three words; two or one where
+   an item has no more) of any window, and counts them.  A window with a shingle
+   that no document has cannot occur and goes.
+2. Those places are joined with the rarest shingle of each window.
+3. The shingle's place in the window gives the window's place in the document;
    positions outside the document (length and positional bounds) go.
 4. What is left is verified word by word on the text.
 
-Only built-in functions run.  Words are exploded without their text and meet
-only the small set of prefix words; that set is broadcast when its counted size
-allows, otherwise both sides are shuffled.  Texts are read again only for
+Only built-in functions run.  Shingles are exploded as hashes, without their
+text, and meet only the small set that windows have; that set is broadcast when
+its counted size allows, otherwise both sides are shuffled.  Texts are read again only for
 documents with candidates.
 
 A-Z are lower-cased, other letters stay; the joins use a full lower-casing,
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, documents, fresh, lookup, materialize, without
 
 WINDOW = 13
+SHINGLE = 3
 MIN_PERCENT = 5
 # Runs of these bytes separate words: ASCII other than digits and letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -64,19 +66,42 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
 
 
-def _prefixes(windows: DataFrame, docs: DataFrame) -> DataFrame:
-    """The windows that can occur, with their rarest word and its place."""
-    parts = windows.select("window", F.posexplode(F.split(F.lower("window"), " "))
-                           .alias("place", "word"))
-    vocabulary = materialize(parts.select("word").distinct(), "vocabulary")
-    seen = docs.select(F.explode(words(F.lower("text"))).alias("word"))
-    counts = materialize(lookup(seen, vocabulary, "word").groupBy("word")
-                         .agg(F.count(F.lit(1)).alias("n")), "word-counts")
-    rarest = parts.join(counts, "word", "left").groupBy("window").agg(
+def _shingles(w: Column, size: Column) -> Column:
+    """Hashes of the shingles of ``size`` words that begin at each word; the
+    last ones are shorter and are no window's, or fail the verification."""
+    return F.transform(w, lambda x, i: F.xxhash64(
+        size, x, F.when(size > 1, F.get(w, i + 1)), F.when(size > 2, F.get(w, i + 2))))
+
+
+def _document_shingles(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """(row_key, n, at, shingle) of every text, for each size."""
+    own = docs.select("row_key", words(F.lower("text")).alias("w"))
+    parts = [own.select("row_key", F.size("w").alias("n"),
+                        F.posexplode(_shingles(F.col("w"), F.lit(k))).alias("at", "shingle"))
+             for k in sizes]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _window_shingles(windows: DataFrame) -> DataFrame:
+    """(window, place, shingle) of every window."""
+    w, k = F.split(F.lower("window"), " "), F.least("length", F.lit(SHINGLE))
+    parts = windows.select("window", k.alias("k"), "length",
+                           F.posexplode(_shingles(w, k)).alias("place", "shingle"))
+    return parts.where(F.col("place") + F.col("k") <= F.col("length")).select(
+        "window", "place", "shingle")
+
+
+def _prefixes(windows: DataFrame, parts: DataFrame, seen: DataFrame) -> DataFrame:
+    """The windows that can occur, with their rarest shingle and its place."""
+    counts = seen.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    rarest = parts.join(counts, "shingle", "left").groupBy("window").agg(
         F.count("n").alias("known"), F.count(F.lit(1)).alias("all"),
-        F.min_by(F.struct("word", "place"), F.struct("n", "place")).alias("rare"))
+        F.min_by(F.struct("shingle", "place"), F.struct("n", "place")).alias("rare"))
     return (rarest.where(F.col("known") == F.col("all"))
-            .select("window", "rare.word", "rare.place").join(windows, "window"))
+            .select("window", "rare.shingle", "rare.place").join(windows, "window"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW,
@@ -87,14 +112,17 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW,
     at least ``min_percent`` percent of the words)."""
     docs = _keyed(documents(docs, id_col, text_col))
     windows = materialize(item_windows(items, size), "windows")
-    prefix = materialize(_prefixes(windows, docs), "prefixes")
+    sizes = sorted(r[0] for r in windows.select(
+        F.least("length", F.lit(SHINGLE))).distinct().collect()) or [SHINGLE]
+    parts = materialize(_window_shingles(windows), "window-shingles")
+    vocabulary = materialize(parts.select("shingle").distinct(), "vocabulary")
+    seen = materialize(lookup(_document_shingles(docs, sizes), vocabulary, "shingle"),
+                       "shingle-places")
+    prefix = materialize(_prefixes(windows, parts, seen), "prefixes")
 
-    own = docs.select("row_key", words(F.lower("text")).alias("w"))
-    placed = own.select("row_key", F.size("w").alias("n"), F.posexplode("w").alias("at", "word"))
-    hits = lookup(placed, prefix.select("word").distinct(), "word")
     start = F.col("at") - F.col("place")
     found = materialize(
-        hits.join(prefix, "word").withColumn("start", start)
+        seen.join(prefix, "shingle").withColumn("start", start)
         .where((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("n")))
         .groupBy("row_key")
         .agg(F.collect_set(F.struct("start", "length", "window", "items")).alias("found")),
