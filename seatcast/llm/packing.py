@@ -8,8 +8,12 @@ sequences of at most ``capacity`` ids, as few as possible.
 * Local search then works on the underfull bins of the group: it moves one
   piece, exchanges one for one, or two for one, whenever that raises the sum of
   the squared fills.  Fill gathers in fewer bins until some are empty.
-* The emptiest bins of all groups are dealt and packed again, in fewer groups,
+* The underfull bins of all groups are dealt and packed again, in fewer groups,
   until one group is left, so the loss does not grow with the number of groups.
+  A round takes at most ``SHRINK`` of the last one's open pieces, those of the
+  emptiest bins; fuller bins stay as they are.  So rounds end also for pieces
+  that fit with nothing, and all rounds together cost a fixed multiple of the
+  first.
 
 A group has a bounded number of pieces whatever the data looks like, because
 pieces are dealt by their place in the written piece table and not by a key.
@@ -38,6 +42,8 @@ CAPACITY = 1024
 GROUP = 8192
 # Bins filled below this share go to the next round.
 LOOSE = 0.98
+# A round has at most this share of the open pieces of the round before.
+SHRINK = 0.75
 
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, ids binary, "
           "dealt_part int, dealt_row long")
@@ -246,6 +252,17 @@ def _packer(capacity: int, round_no: int):
     return run
 
 
+def emptiest(levels: dict[int, int], most: float) -> tuple[int, int]:
+    """(fill, pieces): the highest fill so that bins up to it have ``most``
+    pieces at most, and how many they have; ``levels`` is pieces by fill."""
+    top = taken = 0
+    for fill in sorted(levels):
+        if taken + levels[fill] > most:
+            break
+        top, taken = fill, taken + levels[fill]
+    return top, taken
+
+
 def pack(docs: DataFrame, tokenizer_path: str, *, end_id: int, capacity: int = CAPACITY,
          group: int = GROUP, keep_ids: bool = False, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
@@ -254,19 +271,22 @@ def pack(docs: DataFrame, tokenizer_path: str, *, end_id: int, capacity: int = C
     cut = materialize(pieces(docs, tokenizer_path, end_id=end_id, capacity=capacity,
                              keep_ids=keep_ids, id_col=id_col, text_col=text_col), "pieces")
     placed, todo, round_no = [], cut, 0
+    n = todo.where(F.col("length") < capacity).count()
     while True:
-        n = todo.where(F.col("length") < capacity).count()
         groups = max(1, -(-n // group))
         dealt = todo.withColumn(
             "grp", F.pmod(F.xxhash64("dealt_part", "dealt_row", F.lit(round_no)), F.lit(groups)))
         now = materialize(dealt.groupBy("grp").applyInArrow(_packer(capacity, round_no), PLACED),
                           "packed")
-        if groups == 1:
+        levels = {} if groups == 1 else dict(  # at most ``capacity`` rows
+            now.where(F.col("fill") < LOOSE * capacity).groupBy("fill").count().collect())
+        top, n = emptiest(levels, SHRINK * n)
+        if not n:
             placed.append(now)
             break
-        loose = F.col("fill") < LOOSE * capacity
-        placed.append(now.where(~loose))
-        todo, round_no = now.where(loose).drop("sequence_id", "offset", "fill"), round_no + 1
+        again = F.col("fill") <= top
+        placed.append(now.where(~again))
+        todo, round_no = now.where(again).drop("sequence_id", "offset", "fill"), round_no + 1
     out = placed[0]
     for more in placed[1:]:
         out = out.unionByName(more)

@@ -72,3 +72,20 @@ def test_local_search_saves_bins_and_loses_nothing():
         assert squares[1] >= squares[0]
         saved += len(first) - len(last)
     assert saved > 0
+
+
+def test_pieces_that_fit_with_nothing_end_the_rounds(spark, docs_df):
+    # 300 pieces of 37 ids and 6 of 25: one of a group of 32 can be filled to 98 % nowhere
+    rows = [(i, "word " * 36) for i in range(300)] + [(900 + i, "word " * 24) for i in range(6)]
+    got = packing.pack(docs_df(rows), BYTE, end_id=2, capacity=64, group=32).collect()
+    assert sorted(r.doc_id for r in got) == sorted(d for d, _ in rows)
+    lengths = sorted({r.length for r in got})
+    assert len(lengths) == 2 and 2 * lengths[1] > 64 >= sum(lengths)
+    # what is left over of all groups still meets
+    assert 300 <= valid(got, 64) <= 301
+
+
+def test_a_round_takes_the_emptiest_bins():
+    assert packing.emptiest({600: 900}, 750) == (0, 0)
+    assert packing.emptiest({900: 800, 300: 4, 700: 100}, 750) == (700, 104)
+    assert packing.emptiest({}, 10) == (0, 0)
