@@ -8,9 +8,9 @@ of the fields are the line's template.  Templates that recur across documents
 are dropped from every document but the first that has them (smallest id, then
 line).
 
-Recurrence counts documents that differ: copies of a document share the
-smallest and the largest of their line hashes and count once, so a group of
-copies does not make its own text a template.
+Recurrence counts documents that differ: exact copies of a text count once, so
+a group of copies does not make its own text a template.  Documents that differ
+in anything, if only in a number or a short line, count one by one.
 
 Leaves of any size are handled by grouped counts over (leaf, place, token),
 pre-aggregated before the shuffle; no leaf is gathered anywhere.
@@ -63,11 +63,11 @@ def parse(text: str, depth: int, min_tokens: int) -> list[tuple[int, list[str],
     return out
 
 
-def document_class(exacts: list[int]) -> int:
-    """The same for documents that share their extreme line hashes."""
+def document_class(text: str) -> int:
+    """The same for exact copies of a text only."""
     import xxhash
 
-    return xxhash.xxh64_intdigest(f"{min(exacts)} {max(exacts)}") if exacts else 0
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
 def _signed(values: list[int]) -> pa.Array:
@@ -86,7 +86,7 @@ def _lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
             cols: list[list] = [[] for _ in range(6)]
             for key, doc, text in zip(keys, ids, texts, strict=True):
                 rows = parse(text, depth, min_tokens)
-                own = document_class([r[3] for r in rows])
+                own = document_class(text)
                 for i, _, leaf, exact in rows:
                     for c, v in zip(cols, (key, doc, i, leaf, exact, own), strict=True):
                         c.append(v)

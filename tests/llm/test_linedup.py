@@ -72,3 +72,17 @@ def test_exact_lines_by_brute_force(spark, docs_df):
     gone = {(d, p) for p, ds in holders.items() if len(ds) >= 5 for d in ds if d != min(ds)}
     want = {d: "\n".join(x for x in t.split("\n") if (d, x) not in gone) for d, t in rows}
     assert left(linedup.drop_templates(docs_df(rows))) == want
+
+
+def test_documents_that_share_their_long_lines_count_one_by_one(spark, docs_df):
+    rnd = random.Random(6)
+    # nothing but numeric log lines: equal once their numbers are masked
+    rows = [(i, f"served by node {i} in {10 * i} ms\nclosed port {i} at noon") for i in range(9)]
+    # a shared header over short lines of their own
+    head = "all rights reserved by the owner"
+    rows += [(100 + i, f"{head}\n{prose(rnd, 2)}\n{prose(rnd, 1)}") for i in range(9)]
+    # exact copies still count once
+    rows += [(200 + i, "some other line of text\nyes") for i in range(9)]
+    got = {r.doc_id: r.n_dropped for r in linedup.drop_templates(docs_df(rows)).collect()}
+    assert got == {**{i: 2 * (i > 0) for i in range(9)}, **{100 + i: int(i > 0) for i in range(9)},
+                   **{200 + i: 0 for i in range(9)}}
