@@ -15,6 +15,11 @@ from .common import materialize, without
 from .queries import END_ID, _vocabulary
 
 
+# Shingle similarity, in percent, from which the pipeline takes two texts as near
+# duplicates.  The op10 query has its own.
+NEAR_PERCENT = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression bands reject go."""
     return quality.keep_passing(docs)
@@ -34,8 +39,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near duplicates stays."""
-    out = materialize(neardup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct(),
-                      "near-copies")
+    near = neardup.near_duplicates(docs, NEAR_PERCENT)
+    out = materialize(near.where("NOT kept").select("doc_id").distinct(), "near-copies")
     return without(docs, out, "doc_id").select(*docs.columns)
 
 

@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 
 import __spark_entry__ as E  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from seatcast.llm import linedup, quality  # noqa: E402
+from seatcast.llm import linedup, quality, stages  # noqa: E402
 
 from . import brute  # noqa: E402
 
@@ -81,6 +81,18 @@ def test_stages(spark, sf_dir):
     assert linedup.MIN_DOCS == 5
 
 
+def test_near_dedup_takes_pairs_from_80_percent_on(spark):
+    # 96 shingles of 100 words; copies with 20 and with 28 words more
+    words = [f"w{i}" for i in range(128)]
+    rows = [(1, " ".join(words[:100])), (2, " ".join(words[:120])),
+            (3, " ".join(f"x{w}" for w in words[:100])), (4, " ".join(f"x{w}" for w in words))]
+    near = brute.near(rows, 80)
+    assert near[2][1] == 1 != brute.near(rows, 85)[2][1] and near[4][1] == 4
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = stages.near_dedup(spark, docs, "").collect()
+    assert {r.doc_id for r in got} == {1, 3, 4}
+
+
 def test_run_applies_all_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
