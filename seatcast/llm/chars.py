@@ -4,6 +4,8 @@ obfuscated words."""
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 
 import numpy as np
 
@@ -56,6 +58,14 @@ _SEPARATOR = re.compile(r"(?<=[^\W_])[.*_~·-](?=[^\W_])")
 _LEET_SET = re.escape("".join(LEET))
 _MAY = re.compile(rf"[^\W\d_].*[{_LEET_SET}]|[{_LEET_SET}].*[^\W\d_]")
 _LONG = re.compile(r"([^\W\d_])\1\1")
+# What joins words to one token: all but letters, digits, marks and look-alikes.
+_MARKS = "".join(c for c in map(chr, range(0x300, sys.maxunicode + 1))
+                 if unicodedata.category(c)[0] == "M")
+_JOINT = re.compile(rf"[^\w{_LEET_SET}{_MARKS}]+|_+")
+# Look-alikes that may also stand between words.
+_SIGNS = re.compile(rf"[{re.escape(''.join(c for c in LEET if not c.isdigit()))}]+")
+# Longer tokens are not one disguised word, but the words they are made of.
+LONG = 40
 # Three or more single characters, a blank between each two.
 SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 
@@ -68,6 +78,7 @@ class Restorer:
     def __init__(self, model: np.ndarray):
         self.model = model
         self.known: dict[str, str] = {}
+        self.known_parts: dict[str, tuple[str, ...]] = {}
 
     def viterbi(self, word: str) -> str:
         """The likeliest letters behind ``word``: a lattice with, per run of a
@@ -81,26 +92,38 @@ class Restorer:
                     options.append((c * n, 0.0))
                 else:
                     options += [(c, REPEATED), (c * 2, REPEATED)]
+            elif c.isalpha():  # letters outside the alphabet stay
+                options.append((c * min(n, 2), 0.0))
             for x in LEET.get(c, ""):
                 options.append((x * min(n, 2), SUBSTITUTED * min(n, 2)))
                 if n > 1:
                     options.append((x, SUBSTITUTED + REPEATED))
             if options:
                 steps.append(options)
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # states are the last two symbols; a way is a link to its last letters
+        best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for options in steps:
-            new: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, out) in best.items():
+            new: dict[tuple[int, int], tuple[float, tuple]] = {}
+            for (a, b), (score, way) in best.items():
                 for letters, cost in options:
                     x, y, s = a, b, score + cost
                     for c in letters:
-                        z = _INDEX[c]
+                        z = _INDEX.get(c, 0)
                         s += float(self.model[x, y, z])
                         x, y = y, z
                     if (x, y) not in new or s > new[x, y][0]:
-                        new[x, y] = (s, out + letters)
+                        new[x, y] = (s, (way, letters))
             best = new
-        return max((s + float(self.model[a, b, 0]), out) for (a, b), (s, out) in best.items())[1]
+
+        def spelled(way: tuple) -> str:
+            out = []
+            while way:
+                way, letters = way
+                out.append(letters)
+            return "".join(reversed(out))
+
+        return max((s + float(self.model[a, b, 0]), spelled(way))
+                   for (a, b), (s, way) in best.items())[1]
 
     def word(self, token: str) -> str:
         """The word behind a lower-cased token without white space."""
@@ -121,15 +144,43 @@ class Restorer:
             parts = _SEPARATOR.split(token)
             if all(len(p) == 1 for p in parts):
                 return self.viterbi("".join(parts))
-        if len(token) <= 40 and _MAY.search(token) and not token.isdigit():
+        if _MAY.search(token) and not token.isdigit():
             return self.viterbi(token)
-        return re.sub(r"[\W\d_]+", "", token) if len(token) <= 40 else ""
+        return re.sub(r"[\W\d_]+", "", token)
+
+    def parts(self, token: str) -> tuple[str, ...]:
+        """The words behind a lower-cased token without white space: the token
+        as one word unless it is long, and the words that it joins."""
+        found = self.known_parts.get(token)
+        if found is None:
+            if len(self.known_parts) > self.LIMIT:
+                self.known_parts.clear()
+            found = self.known_parts[token] = tuple(self._parts(token))
+        return found
+
+    def _parts(self, token: str) -> set[str]:
+        if token.isalpha():
+            return {self.word(token)}
+        pieces, singles = [], ""
+        for p in [*filter(None, _JOINT.split(token)), ""]:
+            if len(p) == 1:  # single letters with separators are one word
+                singles += p
+                continue
+            pieces += [singles, p]
+            singles = ""
+        if len(token) <= LONG:
+            pieces.append(token)
+        for p in list(pieces):
+            pieces += (x for x in _SIGNS.split(p) if len(x) > 2 and x != p and x.isalpha())
+        return {self.word(p) for p in pieces if p}
 
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a text; letters with blanks between
         them are one word too."""
         low = text.lower()
-        out = set(map(self.word, set(low.split())))
+        out: set[str] = set()
+        for token in set(low.split()):
+            out.update(self.parts(token))
         for m in SPACED.finditer(low):
             out.add(self.word(m[0].replace(" ", "")))
         out.discard("")

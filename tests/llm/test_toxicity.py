@@ -79,6 +79,24 @@ def test_restoring():
     assert r.word("little") == "little" and r.word("2024") == "" and r.word("") == ""
 
 
+def test_words_of_joined_and_long_tokens():
+    counts = np.bincount(chars.codes("idiot scum you hello little bottle " * 50),
+                         minlength=chars.TRIGRAMS)
+    r = chars.Restorer(chars.log_model(counts))
+    filler = "hello-little-bottle-hello-little-bottle-hello"
+    for token, want in ((filler + "-1d10t", {"hello", "little", "idiot"}),
+                        ("https://little.example/bottle/hello_you/idiot,scum", {"idiot", "scum"}),
+                        ("/".join(["hello"] * 9) + "/i.d.i.o.t", {"idiot"}),
+                        ("*" * 50 + "idiot" + "*" * 50, {"idiot"}),
+                        ("hello!idiot" * 6, {"idiothello", "hello"}),
+                        ("you-idiot", {"you", "idiot", "youidiot"}), ("hello!idiot", {"idiot"}),
+                        ("id-iot", {"idiot"}), ("дурак," * 9 + "идиот1", {"дурак"})):
+        assert r.words(token) >= want, (token, r.words(token))
+    assert any(w.startswith("идиот") for w in r.words("дурак," * 9 + "идиот1"))
+    # a token of any length takes time in proportion to it
+    assert r.words("l1ttle" * 20_000)
+
+
 def test_without_labels_nulls_repeats_and_no_rows(spark, docs_df):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.toxicity(docs_df([(1, "a b"), (1, "a b"), (None, None), (2, "")]), none).collect()
