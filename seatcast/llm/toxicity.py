@@ -11,9 +11,10 @@
 4. A document's score is the chance that one of its features is right; without
    any it is low, the lower the longer the text.
 
-All labelled training rows are used.  What reaches the driver is bounded: 64**3
-trigram counts and at most ``MAX_FEATURES`` features (those of most toxic
-documents).  Only texts are read for a score, never labels, ids, languages or
+All labelled training rows and all features of enough weight are used.  What
+reaches the driver is bounded: 64**3 trigram counts, and the features if they are
+at most ``MAX_FEATURES``; more features stay a table, which is joined to the
+documents' words.  Only texts are read for a score, never labels, ids, languages or
 sources.
 
 Defined cases: a null or empty text has no words and gets the lowest score;
@@ -38,6 +39,7 @@ from .common import documents, materialize, small, text_slices
 
 FOLDS = 5
 MIN_SUPPORT = 4
+# Features that are sent to the tasks at most.
 MAX_FEATURES = 200_000
 MIN_WEIGHT = 0.6
 PREFIXES = (4, 5, 6, 7, 8)
@@ -95,16 +97,22 @@ def _counts(labelled: DataFrame, model: np.ndarray, wanted: dict | None) -> Data
             .groupBy("feature").agg(F.sum("n").alias("n")))
 
 
-def wilson_low(hits: np.ndarray, total: np.ndarray) -> np.ndarray:
+def wilson_low(hits: Column, total: Column) -> Column:
     """Lower end of the Wilson interval of a share."""
     p = hits / total
     mid = p + Z * Z / (2 * total)
-    return (mid - Z * np.sqrt(p * (1 - p) / total + Z * Z / (4 * total * total))) / (
+    return (mid - Z * F.sqrt(p * (1 - p) / total + Z * Z / (4 * total * total))) / (
         1 + Z * Z / total)
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, dict[str, float]]:
-    """The character model over all documents and the feature weights from the
+def collected(df: DataFrame) -> dict | None:
+    """``df`` of two columns as a dict; None if it has over ``MAX_FEATURES`` rows."""
+    rows = df.limit(MAX_FEATURES + 1).collect()
+    return dict(map(tuple, rows)) if len(rows) <= MAX_FEATURES else None
+
+
+def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, DataFrame]:
+    """The character model over all documents, and (feature, weight) from the
     labelled rows outside the held-out fold."""
     counts = np.zeros(chars.TRIGRAMS, "i8")
     for code, n in trigram_counts(docs).collect():  # at most 64**3 rows
@@ -118,16 +126,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, dict[str, flo
     labelled = materialize(
         docs.join(small(train), "doc_id").withColumn("same", F.xxhash64("text"))
         .dropDuplicates(["same", "toxic"]).select("text", "toxic"), "labelled")
-    toxic = _counts(labelled.where("toxic = 1"), model, None).where(F.col("n") >= MIN_SUPPORT)
-    top = toxic.orderBy(F.desc("n"), "feature").limit(MAX_FEATURES).collect()
-    hits = {r["feature"]: r["n"] for r in top}
-    if not hits:
-        return model, {}
-    other = dict(_counts(labelled.where("toxic <> 1"), model, hits).collect())
-    names = list(hits)
-    n = np.array([hits[f] for f in names], "f8")
-    low = wilson_low(n, n + np.array([other.get(f, 0) for f in names], "f8"))
-    return model, {f: float(w) for f, w in zip(names, low, strict=True) if w >= MIN_WEIGHT}
+    toxic = materialize(_counts(labelled.where("toxic = 1"), model, None)
+                        .where(F.col("n") >= MIN_SUPPORT), "toxic-features")
+    # few enough features spare the tasks the counts of all others
+    other = _counts(labelled.where("toxic <> 1"), model, collected(toxic))
+    n = F.col("n").cast("double")
+    total = n + F.coalesce("others", F.lit(0))
+    weights = (toxic.join(other.withColumnRenamed("n", "others"), "feature", "left")
+               .select("feature", wilson_low(n, total).alias("weight"))
+               .where(F.col("weight") >= MIN_WEIGHT))
+    return model, materialize(weights, "feature-weights")
 
 
 def word_weight(word: str, weights: dict[str, float]) -> float:
@@ -170,11 +178,48 @@ def score(docs: DataFrame, model: np.ndarray, weights: dict[str, float]) -> Data
     return docs.mapInArrow(run, "doc_id long, score double")
 
 
+def score_by_joins(docs: DataFrame, model: np.ndarray, weights: DataFrame) -> DataFrame:
+    """``score`` with a table of weights of any size: the distinct words of the
+    documents meet it."""
+    key = zlib.crc32(model.tobytes())
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = chars.restorer(key, model)
+        for keys, texts in text_slices(batches, ["row_key", "text"]):
+            found = [(k, w) for k, t in zip(keys, texts, strict=True) for w in restorer.words(t)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in found], pa.int64()),
+                 pa.array([w for _, w in found], pa.string())], names=["row_key", "word"])
+
+    def own(word: Column) -> Column:
+        return F.array(F.concat(F.lit("="), word), *(
+            F.when(F.length(word) > k, F.substring(word, 1, k)) for k in PREFIXES))
+
+    docs = docs.withColumn("row_key", F.xxhash64("text"))
+    texts = docs.select("row_key", "text").dropDuplicates(["row_key"])
+    words = materialize(texts.mapInArrow(run, "row_key long, word string"), "document-words")
+    best = materialize(
+        words.select("word").distinct()
+        .select("word", F.explode(own(F.col("word"))).alias("feature"))
+        .join(weights, "feature").groupBy("word").agg(F.max("weight").alias("weight")),
+        "word-weights")
+    # in the order of the words, as above; an entry is one known word of one text
+    doubts = (words.join(best, "word").groupBy("row_key")
+              .agg(F.array_sort(F.collect_list(F.struct("word", "weight"))).alias("known"))
+              .select("row_key", F.aggregate("known", F.lit(1.0),
+                                             lambda a, x: a * (1 - x["weight"])).alias("doubt")))
+    low = 0.05 / (1 + F.length("text") / 10_000)
+    return docs.join(doubts, "row_key", "left").select(
+        "doc_id", F.when(F.col("doubt") < 1, 1 - F.col("doubt")).otherwise(low).alias("score"))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs``."""
     docs = documents(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     model, weights = learn(docs, labels.select("doc_id", "toxic"))
-    scored = score(docs, model, weights)
+    known = collected(weights)
+    scored = (score_by_joins(docs, model, weights) if known is None
+              else score(docs, model, known))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))

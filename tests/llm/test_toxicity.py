@@ -79,6 +79,21 @@ def test_restoring():
     assert r.word("little") == "little" and r.word("2024") == "" and r.word("") == ""
 
 
+def test_more_features_than_the_driver_takes(spark, docs_df, monkeypatch):
+    rows, labels = corpus(300)
+    # many common words that toxic and other documents share come before the rare toxic ones
+    rows = [(d, "common usual plain " + t) for d, t in rows] + [(900, None), (901, "")]
+    rows += rows[:3]
+    own = spark.createDataFrame(labels, "doc_id long, toxic int")
+    scores = []
+    for most in (200_000, 3):
+        monkeypatch.setattr(toxicity, "MAX_FEATURES", most)
+        got = toxicity.toxicity(docs_df(rows), own).collect()
+        assert len(got) == len(rows) and any(r.predicted for r in got)
+        scores.append(sorted((r.doc_id, r.score, r.predicted) for r in got))
+    assert scores[0] == scores[1]
+
+
 def test_words_of_joined_and_long_tokens():
     counts = np.bincount(chars.codes("idiot scum you hello little bottle " * 50),
                          minlength=chars.TRIGRAMS)
