@@ -3,7 +3,8 @@
 The evidence of a page:
 
 * its visible text, under one character trigram model per language; the models
-  are counted over all labelled documents;
+  are counted over all labelled documents.  Trigrams are of letters of any script,
+  hashed to ``CELLS`` cells;
 * the language its markup declares;
 * the suffix of its address;
 * its host.
@@ -27,8 +28,11 @@ confidence 0; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import html as html_lib
 import re
+import sys
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,13 +40,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import chars
 from .common import materialize, ship_package, small, text_slices
 
 # A language must have this many labelled documents to get a model.
 MIN_DOCUMENTS = 5
-# Languages with a model, at most: what the driver gets stays below 50 * 64**3 counts.
+# Languages with a model, at most: what the driver gets stays below 50 * CELLS counts.
 MAX_LANGUAGES = 50
+# Cells of the trigram counts.
+CELLS = 1 << 18
+# Trigrams' worth of the average of all languages in a model.
+SMOOTHING = 1000.0
 # Trigrams are not independent: they count as this many pieces of evidence at
 # most, and one in ``TEMPER`` below that.
 MAX_EVIDENCE, TEMPER = 60.0, 4.0
@@ -76,6 +83,37 @@ def address_parts(url: str) -> tuple[str, str, str]:
     return host, domain, labels[-1] if len(labels) > 1 else ""
 
 
+@functools.cache
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter or a mark."""
+    return np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)])
+
+
+def trigrams(text: str) -> np.ndarray:
+    """Cells of the trigrams of a text, lower-cased; all but letters is one
+    symbol, runs of it count once, and the text is framed by it."""
+    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), "<u4")
+    s = np.where(_letters()[points], points, 0).astype("u8")
+    keep = np.ones(len(s), bool)
+    keep[1:] = (s[1:] > 0) | (s[:-1] > 0)
+    s = s[keep]
+    x = ((s[:-2] << np.uint64(42)) | (s[1:-1] << np.uint64(21)) | s[2:]) + np.uint64(1)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (x >> np.uint64(46)).astype("i8")
+
+
+def log_models(counts: np.ndarray) -> np.ndarray:
+    """Log probability of each cell in each language, leaning on the average of
+    all languages; a cell that no language has says nothing."""
+    total = counts.sum(axis=1, keepdims=True)
+    seen = counts.any(axis=0)
+    average = sum(c / max(n, 1) for c, n in zip(counts, total[:, 0], strict=True)) / len(counts)
+    base = SMOOTHING * (0.9 * average + 0.1 / CELLS)
+    return np.stack([np.where(seen, np.log((c + base) / (n + SMOOTHING)), 0).astype("f4")
+                     for c, n in zip(counts, total[:, 0], strict=True)])
+
+
 def language_counts(docs: DataFrame) -> DataFrame:
     """(lang, code, n): trigrams of the documents of each language; a task
     sends at most one row per language and code."""
@@ -87,8 +125,8 @@ def language_counts(docs: DataFrame) -> DataFrame:
                 groups.setdefault(lang, []).append(t)
             for lang, own in groups.items():
                 if lang not in total:
-                    total[lang] = np.zeros(chars.TRIGRAMS, "i8")
-                total[lang] += np.bincount(chars.codes("\n".join(own)), minlength=chars.TRIGRAMS)
+                    total[lang] = np.zeros(CELLS, "i8")
+                total[lang] += np.bincount(trigrams("\n".join(own)), minlength=CELLS)
         for lang, n in total.items():
             code = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
@@ -101,8 +139,8 @@ def language_counts(docs: DataFrame) -> DataFrame:
 
 def language_models(docs: DataFrame, lang_col: str = "lang",
                     text_col: str = "text") -> tuple[list[str], np.ndarray]:
-    """Languages and log models (languages x 64**3) of labelled documents.  The
-    driver gets at most 64**3 counts a language, for MAX_LANGUAGES at most."""
+    """Languages and log models (languages x CELLS) of labelled documents.  The
+    driver gets at most CELLS counts a language, for MAX_LANGUAGES at most."""
     rows = docs.select(F.lower(F.trim(F.col(lang_col))).alias("lang"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.where("lang <> ''")
@@ -110,12 +148,12 @@ def language_models(docs: DataFrame, lang_col: str = "lang",
            .where(F.col("n") >= MIN_DOCUMENTS).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES))
     langs = sorted(r["lang"] for r in top.collect())
     if not langs:
-        return [], np.zeros((0, chars.TRIGRAMS), "f4")
-    counts = np.zeros((len(langs), chars.TRIGRAMS), "i8")
+        return [], np.zeros((0, CELLS), "f4")
+    counts = np.zeros((len(langs), CELLS), "i8")
     at = {x: i for i, x in enumerate(langs)}
     table = language_counts(rows.where(F.col("lang").isin(langs))).toPandas()
     counts[table["lang"].map(at).to_numpy(), table["code"].to_numpy()] = table["n"].to_numpy()
-    return langs, np.stack([chars.log_model(c).ravel() for c in counts])
+    return langs, log_models(counts)
 
 
 EVIDENCE = ("page_id long, host string, domain string, suffix string, declared string, "
@@ -129,7 +167,7 @@ def _evidence(pages: DataFrame, models: np.ndarray) -> DataFrame:
         for ids, urls, pages in text_slices(batches, ["page_id", "url", "html"], "html"):
             rows = []
             for i, url, page in zip(ids, urls, pages, strict=True):
-                code = chars.codes(visible_text(page))
+                code = trigrams(visible_text(page))
                 n = max(len(code), 1)
                 log = models[:, code].sum(axis=1, dtype="f8")
                 log = (log - log.max()) * min(n / TEMPER, MAX_EVIDENCE) / n

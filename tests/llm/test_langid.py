@@ -60,6 +60,27 @@ def test_nulls_repeats_and_no_rows(spark):
     assert [(r.lang, r.confidence) for r in none] == [(None, 0.0)] * 4
 
 
+def test_languages_of_any_script(spark):
+    rnd = random.Random(4)
+    spans = {"ar": range(0x627, 0x64B), "el": range(0x3B1, 0x3CA), "en": range(97, 123),
+             "he": range(0x5D0, 0x5EB), "hi": range(0x905, 0x94D), "ja": range(0x3041, 0x3097),
+             "pl": [*range(97, 123), *map(ord, "ąćęłńśźżó") ], "ru": range(0x430, 0x450),
+             "th": range(0xE01, 0xE2F), "zh": range(0x4E00, 0x4F00)}
+    letters = {x: rnd.choices([chr(c) for c in span], k=12) for x, span in spans.items()}
+    letters["pl"] = list("aowińszłżęą")
+
+    def own(lang, n=60):
+        return " ".join("".join(rnd.choices(letters[lang], k=rnd.randint(2, 7))) for _ in range(n))
+
+    docs = spark.createDataFrame([(i, x, own(x)) for i in range(8) for x in spans],
+                                 "doc_id long, lang string, text string")
+    truth = dict(enumerate(list(spans) * 4))
+    rows = [(i, f"http://h{i}.example/", f"<p>{own(x, 30)}</p>", None) for i, x in truth.items()]
+    got = langid.identify(spark.createDataFrame(rows, PAGES), docs).collect()
+    assert {r.page_id: r.text_lang for r in got} == truth
+    assert {r.page_id: r.lang for r in got} == truth
+
+
 def test_page_parts():
     assert langid.address_parts("https://u:p@www.Example.DE:80/x?y") == \
         ("www.example.de", "example.de", "de")
