@@ -59,7 +59,8 @@ MICRO = 1_000_000
 
 _HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template|nav)\b.*?</\1\s*>", re.S | re.I)
 _TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+_HTML = re.compile(r"<html\b[^>]*", re.I)
+_DECLARED = re.compile(r"\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
 _HOST = re.compile(r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
 
@@ -69,8 +70,10 @@ def visible_text(page: str) -> str:
 
 
 def declared_language(page: str) -> str:
-    m = _DECLARED.search(page[:2000])
-    return m[1].lower() if m else ""
+    for tag in _HTML.finditer(page):
+        if m := _DECLARED.search(tag[0]):
+            return m[1].lower()
+    return ""
 
 
 def address_parts(url: str) -> tuple[str, str, str]:

@@ -87,3 +87,9 @@ def test_page_parts():
     assert langid.address_parts("mailto:x") == ("", "", "")
     assert langid.declared_language('<HTML class="a" LANG=de-AT>') == "de"
     assert langid.visible_text("a<!-- <b> -->c<style>d</style><p>e&lt;").split() == ["a", "c", "e<"]
+
+
+def test_declaration_anywhere_in_the_page():
+    assert langid.declared_language(f"<!-- {'licence ' * 900} --><html class=x lang='fr'>") == "fr"
+    assert langid.declared_language("<html><p lang=de><html lang=es>") == "es"
+    assert langid.declared_language("<html " * 50_000) == ""
