@@ -128,7 +128,7 @@ def estimate(equal: np.ndarray, used: np.ndarray, n_a: np.ndarray,
     return np.clip((equal - chance * used) / np.maximum(used, 1), 0, 1)
 
 
-def may_reach(equal, used, n_a, n_b, threshold: float, spread: float = 4.5) -> np.ndarray:
+def may_reach(equal, used, n_a, n_b, threshold: float, spread: float = 7.0) -> np.ndarray:
     """Whether the estimate lies within ``spread`` standard deviations of the
     threshold, or above; never true for sets whose sizes rule it out."""
     est = estimate(equal, used, n_a, n_b)

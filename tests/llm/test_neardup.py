@@ -101,3 +101,13 @@ def test_components_of_chains_and_stars(spark):
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 130)} | \
         {150: 150, 200: 150}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_the_filter_loses_no_more_than_some_e_10_at_the_threshold():
+    from math import comb
+    used, size = np.full(129, 128), np.full(129, 1e4)
+    for share, most in ((0.85, 5e-10), (0.8, 1e-10)):
+        lost = ~shingles.may_reach(np.arange(129), used, size, size, share)
+        chance = sum(comb(128, k) * share ** k * (1 - share) ** (128 - k)
+                     for k in np.flatnonzero(lost).tolist())
+        assert chance < most
