@@ -19,6 +19,7 @@ from . import (
     linedup,
     neardup,
     packing,
+    pagetext,
     pii,
     quality,
     records,
@@ -98,8 +99,13 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_best_fit_packing, op2_evidence_fusion, op3_suffix_dedup,
         op4_noisy_channel_toxicity, op5_line_templates, op6_prefix_decontamination,
-        op7_bootstrapped_pii, op8_binary_records, op9_compression_bands, op10_hyperminhash)}
+        op7_bootstrapped_pii, op8_binary_records, op9_compression_bands, op10_hyperminhash,
+        op13_html_extraction)}
