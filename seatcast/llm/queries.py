@@ -20,6 +20,7 @@ from . import (
     neardup,
     packing,
     pagetext,
+    periods,
     pii,
     quality,
     records,
@@ -99,6 +100,41 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """The contract's texts: of documents with h = crc32(doc_id), h % 10 = 0, the
+    words from a on are the p words from a on, again and again."""
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = (docs.withColumn("h", h)
+              .withColumn("words", F.when(F.col("h") % 10 == 0, words))
+              .withColumn("n", F.size("words").cast("long")))
+    g = F.floor(F.col("h") / 10)
+    a = F.when(F.col("n") > 0, g % F.col("n"))
+    rest = F.col("n") - a
+    p = F.lit(1) + F.floor(rest / (g % 8 + 3))
+    tail = F.flatten(F.array_repeat(F.slice("words", (a + 1).cast("int"), p.cast("int")),
+                                    F.ceil(rest / p).cast("int")))
+    made = F.concat(F.slice("words", F.lit(1), a.cast("int")), tail)
+    text = F.array_join(F.slice(made, F.lit(1), F.col("n").cast("int")), " ")
+    return chosen.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text"))
+                         .alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = periods.periodic_runs(_with_periods(docs))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"], r["length"], F.concat(r["period"], F.lit("\n")))), "")
+    return found.withColumn("top", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"),
+        F.col("top.length").alias("length"), (-F.col("top.period")).alias("period"),
+        F.floor(F.col("top.length") * 1000 / (-F.col("top.period"))).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagetext.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -108,4 +144,4 @@ def queries() -> dict[str, Query]:
         op1_best_fit_packing, op2_evidence_fusion, op3_suffix_dedup,
         op4_noisy_channel_toxicity, op5_line_templates, op6_prefix_decontamination,
         op7_bootstrapped_pii, op8_binary_records, op9_compression_bands, op10_hyperminhash,
-        op13_html_extraction)}
+        op11_periodic_runs, op13_html_extraction)}
