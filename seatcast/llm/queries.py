@@ -15,6 +15,7 @@ from ..session import scratch_path
 from ..sources.tables import table
 from . import (
     decontam,
+    dialogs,
     langid,
     linedup,
     neardup,
@@ -135,6 +136,30 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def _damaged(rows: DataFrame) -> DataFrame:
+    """The contract's damage, by a hash of conversation and turn."""
+    def text(c: str):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    k = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    times = F.when(F.col("k") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("k", k).where("k != 0").select(
+        "conv_id", "turn", F.when(F.col("k") == 4, "user").otherwise(text("role")).alias("role"),
+        F.when(F.col("k") == 1, "").when(F.col("k") == 2, F.translate(text("text"), ".!?", ""))
+        .otherwise(text("text")).alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    found = dialogs.repair_report(_damaged(rows)).withColumnRenamed("conv_id", "found_id")
+    every = rows.select("conv_id").distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagetext.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
@@ -144,4 +169,4 @@ def queries() -> dict[str, Query]:
         op1_best_fit_packing, op2_evidence_fusion, op3_suffix_dedup,
         op4_noisy_channel_toxicity, op5_line_templates, op6_prefix_decontamination,
         op7_bootstrapped_pii, op8_binary_records, op9_compression_bands, op10_hyperminhash,
-        op11_periodic_runs, op13_html_extraction)}
+        op11_periodic_runs, op12_conversation_repair, op13_html_extraction)}
