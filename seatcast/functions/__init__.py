@@ -74,7 +74,7 @@ def finite(c: ColumnLike) -> Column:
         .otherwise(x)
 
 
-def _micros_parts(c: ColumnLike) -> tuple[Column, Column]:
+def micros_parts(c: ColumnLike) -> tuple[Column, Column]:
     """A price as whole units (LONG) plus millionths 0..10^6 (LONG, rounded
     half up on the binary value): exact for prices with up to six decimals,
     with no per-row decimal arithmetic.  Prices must be finite and below 9e12."""
@@ -86,7 +86,7 @@ def _micros_parts(c: ColumnLike) -> tuple[Column, Column]:
 
 def price_micros(c: ColumnLike) -> Column:
     """A price as an integer number of millionths (LONG; |price| < 9.2e12)."""
-    whole, frac = _micros_parts(c)
+    whole, frac = micros_parts(c)
     return whole * F.lit(1000000) + frac
 
 
@@ -101,19 +101,24 @@ def exact_avg(c: ColumnLike, window=None) -> Column:
     decides the rounded result; this value does not depend on partitioning,
     so reruns and other engines agree.  ``window`` makes it a window
     aggregate."""
-    whole, frac = _micros_parts(c)
+    whole, frac = micros_parts(c)
     sw, sf, n = F.sum(whole), F.sum(frac), F.count(col(c))
     if window is not None:
         sw, sf, n = sw.over(window), sf.over(window), n.over(window)
-    return F.try_divide(_total_micros(sw, sf).cast("double"), n.cast("double") * F.lit(1e6))
+    return mean_of_sums(sw, sf, n)
+
+
+def mean_of_sums(whole: ColumnLike, frac: ColumnLike, n: ColumnLike) -> Column:
+    """The mean of n prices given by their summed ``micros_parts``."""
+    total = _total_micros(col(whole), col(frac))
+    return F.try_divide(total.cast("double"), col(n).cast("double") * F.lit(1e6))
 
 
 def weighted_avg(c: ColumnLike, count: ColumnLike) -> Column:
     """``exact_avg`` where every row stands for ``count`` equal prices."""
-    whole, frac = _micros_parts(c)
-    total = _total_micros(F.sum(whole * col(count)), F.sum(frac * col(count)))
+    whole, frac = micros_parts(c)
     n = F.sum(F.when(col(c).isNotNull(), col(count)))
-    return F.try_divide(total.cast("double"), n.cast("double") * F.lit(1e6))
+    return mean_of_sums(F.sum(whole * col(count)), F.sum(frac * col(count)), n)
 
 
 def _total_micros(whole: Column, frac: Column) -> Column:
@@ -125,7 +130,7 @@ def rounded_avg(c: ColumnLike, scale: int, count: ColumnLike | None = None) -> C
     decimals, decided on the exact sum in integers once per group (642.295
     gives 642.30 whatever doubles make of it).  With ``count`` every row stands
     for that many equal prices."""
-    whole, frac = _micros_parts(c)
+    whole, frac = micros_parts(c)
     if count is None:
         sw, sf, n = F.sum(whole), F.sum(frac), F.count(col(c))
     else:
@@ -226,6 +231,13 @@ def bucket_order(days: ColumnLike) -> Column:
     return _bucket_chain(col(days), lambda label, order: order, LAST_BUCKET_ORDER)
 
 
+def bucket_label(order: ColumnLike, last_label: str = MART_LAST_LABEL) -> Column:
+    """The label of a bucket number."""
+    labels = {number: label for _, label, number in DAY_BUCKETS}
+    names = [labels.get(i + 1, last_label) for i in range(LAST_BUCKET_ORDER)]
+    return F.get(F.array(*[F.lit(x) for x in names]), col(order).cast("int") - 1)
+
+
 # ---------------------------------------------------------------- weekdays
 # Weekday names, numbered Sunday = 0 ... Saturday = 6.
 WEEKDAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]

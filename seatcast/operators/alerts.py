@@ -79,13 +79,25 @@ def latest_anomalies(raw: DataFrame, today: DataFrame, threshold: float = 2.0,
     The statistics aggregate (partial, map-side) to one row per event and join
     the newest day on event_id; AQE broadcasts whichever side is measured
     small at runtime."""
+    return anomalies_against(today, price_stats(raw, min_snapshots), threshold, limit)
+
+
+def price_stats(raw: DataFrame, min_snapshots: int = 3) -> DataFrame:
+    """event_id, mean_price, stddev_price over all days, for events with enough
+    priced rows and a deviation.  ``state.prices.alert_stats`` gives the same
+    without reading the history."""
     priced = raw.filter(F.col("min_price").isNotNull())
-    stats = (priced.groupBy("event_id")
-             .agg(exact_avg(mid_price()).alias("mean_price"),
-                  F.stddev_samp(mid_price()).alias("stddev_price"),
-                  F.count(F.lit(1)).alias("_n"))
-             .filter((F.col("_n") >= min_snapshots) & (F.col("stddev_price") > 0))
-             .drop("_n"))
+    return (priced.groupBy("event_id")
+            .agg(exact_avg(mid_price()).alias("mean_price"),
+                 F.stddev_samp(mid_price()).alias("stddev_price"),
+                 F.count(F.lit(1)).alias("_n"))
+            .filter((F.col("_n") >= min_snapshots) & (F.col("stddev_price") > 0))
+            .drop("_n"))
+
+
+def anomalies_against(today: DataFrame, stats: DataFrame, threshold: float = 2.0,
+                      limit: int | None = 20) -> DataFrame:
+    """``latest_anomalies`` for given statistics."""
     day = today.filter(F.col("min_price").isNotNull()).select(
         "event_id", F.col("name").alias("event_name"), "artist_name", "venue_city",
         mid_price().alias("current_price"))

@@ -15,6 +15,7 @@ from ..functions import (MART_LAST_LABEL, anomaly_type, bucket_order, days_bucke
 
 VELOCITY_KEYS = ["event_id", "event_name", "artist_name", "genre", "venue_name",
                  "venue_city", "event_date"]
+CURVE_KEYS = ["genre", "venue_city", "days_bucket", "bucket_order"]
 STATS_KEYS = ["event_id", "event_name", "artist_name", "genre", "venue_city"]
 
 
@@ -31,14 +32,18 @@ def price_curves(snaps: DataFrame, *, last_label: str = MART_LAST_LABEL) -> Data
     before the rounding recipe.  Prices must be finite (an error otherwise) and
     are taken to millionths."""
     days = F.col("days_until_event")
-    group = ["genre", "venue_city", "days_bucket", "bucket_order"]
     prices = (_priced(snaps).select(
         "genre", "venue_city", days_bucket(days, last_label).alias("days_bucket"),
         bucket_order(days).alias("bucket_order"), "avg_price", "min_price", "max_price")
-        .groupBy(*group, "avg_price")
+        .groupBy(*CURVE_KEYS, "avg_price")
         .agg(F.count(F.lit(1)).alias("n"), F.min("min_price").alias("lo"),
              F.max("max_price").alias("hi")))
-    return (prices.groupBy(*group)
+    return curves_of_prices(prices)
+
+
+def curves_of_prices(prices: DataFrame) -> DataFrame:
+    """The curves of counted prices: ``CURVE_KEYS``, avg_price, n, lo, hi."""
+    return (prices.groupBy(*CURVE_KEYS)
             .agg(F.sum("n").alias("num_observations"),
                  dec2(weighted_avg("avg_price", "n")).alias("mean_price"),
                  dec2(exact_median("avg_price", "n")).alias("median_price"),
@@ -60,6 +65,12 @@ def best_buy_windows(snaps: DataFrame, *, min_observations: int = 5) -> DataFram
               .agg(F.count(F.lit(1)).alias("num_observations"),
                    dec2(exact_avg("avg_price")).alias("mean_price"),
                    dec2(exact_avg("min_price")).alias("mean_min_price")))
+    return ranked_weekdays(by_day, min_observations)
+
+
+def ranked_weekdays(by_day: DataFrame, min_observations: int) -> DataFrame:
+    """Weekday rows (num_observations, mean_price, mean_min_price) with enough
+    observations, named and ranked."""
     w = Window.partitionBy("genre", "venue_city").orderBy(F.asc_nulls_last("mean_price"))
     return (by_day.filter(F.col("num_observations") >= min_observations)
             .select("genre", "venue_city", "day_of_week",
@@ -107,8 +118,12 @@ def price_anomalies(snaps: DataFrame, *, min_snapshots: int = 3,
     there) to one row per event and name; AQE broadcasts it when it is
     measured small, otherwise it is a sort-merge join on event_id whose history
     side keeps the window's event_id partitioning."""
-    stats = event_stats(snaps, min_snapshots=min_snapshots).select(
-        "event_id", "mean_price", "stddev_price")
+    return anomalies_against(snaps, event_stats(snaps, min_snapshots=min_snapshots), threshold)
+
+
+def anomalies_against(snaps: DataFrame, stats: DataFrame, threshold: float = 2.0) -> DataFrame:
+    """``price_anomalies`` for given event statistics."""
+    stats = stats.select("event_id", "mean_price", "stddev_price")
     s = _priced(snaps).select(
         "event_id", "event_name", "artist_name", "genre", "venue_city", "snapshot_date",
         "avg_price", "min_price", "max_price", "price_change", "price_change_pct",

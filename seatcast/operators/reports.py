@@ -24,7 +24,7 @@ from ..functions import (DROP, REPORT_LAST_LABEL, SPIKE, anomaly_type, bucket_or
                          weekday_number, z_score)
 
 
-def _filtered(raw: DataFrame, genre: str | None = None, city: str | None = None) -> DataFrame:
+def filtered(raw: DataFrame, genre: str | None = None, city: str | None = None) -> DataFrame:
     if genre is not None:
         raw = raw.filter(F.col("genre") == F.lit(genre))
     if city is not None:
@@ -83,13 +83,17 @@ def filter_values(raw: DataFrame) -> DataFrame:
 def curve_report(raw: DataFrame, genre: str | None = None, city: str | None = None) -> DataFrame:
     """Observations, mean and median mid price per days-until-event bucket;
     prices are counted first, as in ``marts.price_curves``."""
-    base = _filtered(raw.filter(F.col("event_date").isNotNull() & F.col("min_price").isNotNull()),
+    base = filtered(raw.filter(F.col("event_date").isNotNull() & F.col("min_price").isNotNull()),
                      genre, city)
     days = days_between("snapshot_date", "event_date")
     b = base.select(days_bucket(days, REPORT_LAST_LABEL).alias("days_bucket"),
                     bucket_order(days).alias("bucket_order"),
                     mid_price().alias("avg_price"))
-    prices = b.groupBy(*b.columns).agg(F.count(F.lit(1)).alias("n"))
+    return curve_of_prices(b.groupBy(*b.columns).agg(F.count(F.lit(1)).alias("n")))
+
+
+def curve_of_prices(prices: DataFrame) -> DataFrame:
+    """The report of counted prices: days_bucket, bucket_order, avg_price, n."""
     return (prices.groupBy("days_bucket", "bucket_order")
             .agg(F.sum("n").alias("num_observations"),
                  rounded_avg("avg_price", 2, "n").alias("mean_price"),
@@ -117,7 +121,7 @@ def sellout_report(raw: DataFrame, genre: str | None = None, city: str | None =
     day per event (and name/artist/genre/city), sold-out events only,
     ascending, top ``limit`` (ties broken by event_id and the text columns).
     Plan: partial aggregation, one exchange, TakeOrderedAndProject."""
-    base = _filtered(raw, genre, city)
+    base = filtered(raw, genre, city)
     off = F.col("status") == F.lit("offsale")
     g = (base.groupBy("event_id", F.col("name").alias("event_name"), "artist_name", "genre",
                       "venue_city")
@@ -177,7 +181,7 @@ def weekday_report(raw: DataFrame, genre: str | None = None, city: str | None =
                    min_observations: int = 5) -> DataFrame:
     """Mean mid and minimum price by weekday of the snapshot (Sunday = 0);
     weekdays with fewer than ``min_observations`` rows are dropped."""
-    base = _filtered(raw.filter(F.col("min_price").isNotNull()), genre, city)
+    base = filtered(raw.filter(F.col("min_price").isNotNull()), genre, city)
     d = base.select(weekday_name("snapshot_date").alias("day_name"),
                     weekday_number("snapshot_date").alias("day_of_week"),
                     mid_price().alias("avg_price"), "min_price")
@@ -211,7 +215,7 @@ EXPLORER_COLUMNS = ["artist_name", "event_name", "venue_name", "venue_city", "ev
 
 
 def _explorer_latest(raw: DataFrame, as_of: _dt.datetime, genre, city, search) -> DataFrame:
-    base = _filtered(raw.filter(F.col("event_date") > ntz_literal(as_of)),
+    base = filtered(raw.filter(F.col("event_date") > ntz_literal(as_of)),
                      genre, city)
     if search:
         pat = contains_pattern(search)
@@ -276,7 +280,7 @@ def anomaly_report(raw: DataFrame, genre: str | None = None, city: str | None =
         exact_avg(mid, window=w).alias("mean_price"),
         F.stddev_samp(mid).over(w).alias("stddev_price"),
         F.count(F.lit(1)).over(w).alias("_n"))
-    s = _filtered(s.filter((F.col("_n") >= min_snapshots) & (F.col("stddev_price") > 0)),
+    s = filtered(s.filter((F.col("_n") >= min_snapshots) & (F.col("stddev_price") > 0)),
                   genre, city).drop("_n")
     z = z_score("avg_price", "mean_price", "stddev_price")
     far = (s.withColumn("z_score", z)

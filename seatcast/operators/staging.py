@@ -39,13 +39,38 @@ def price_snapshots(stg: DataFrame) -> DataFrame:
     Consumers that use none of the window's columns (curves, weekdays,
     velocity, statistics) get the window pruned away by Catalyst."""
     w = Window.partitionBy("event_id").orderBy("snapshot_date")
-    hist = stg.select(
-        "event_id", "event_name", "artist_name", "genre", "venue_name", "venue_city",
-        "event_date", "snapshot_date", "min_price", "max_price", "avg_price", "status",
-        "days_until_event",
+    return _with_changes(stg.select(
+        *HISTORY_INPUT,
         F.lag("avg_price").over(w).alias("prev_avg_price"),
         F.row_number().over(w).cast("long").alias("snapshot_number"),
-    )
+    ))
+
+
+HISTORY_INPUT = ["event_id", "event_name", "artist_name", "genre", "venue_name", "venue_city",
+                 "event_date", "snapshot_date", "min_price", "max_price", "avg_price", "status",
+                 "days_until_event"]
+LAST_ROW = ["event_id", "snapshot_date", "avg_price", "snapshot_number"]
+
+
+def continued_snapshots(stg: DataFrame, last: DataFrame) -> DataFrame:
+    """``price_snapshots`` of rows that follow ``last``, the last known row of each
+    event (``LAST_ROW``): that row goes first in the event's window, so the
+    earlier history is not needed."""
+    w = Window.partitionBy("event_id").orderBy("snapshot_date")
+    known = last.select("event_id", "snapshot_date", "avg_price",
+                        F.col("snapshot_number").alias("_known"))
+    rows = stg.select(*HISTORY_INPUT, F.lit(None).cast("long").alias("_known")).unionByName(
+        known, allowMissingColumns=True)
+    # row 1 is the known one, if there is one: it carries the number to go on from
+    before = F.coalesce(F.first("_known").over(w) - 1, F.lit(0))
+    numbered = rows.select(
+        *HISTORY_INPUT, "_known",
+        F.lag("avg_price").over(w).alias("prev_avg_price"),
+        (F.row_number().over(w) + before).cast("long").alias("snapshot_number"))
+    return _with_changes(numbered.filter(F.col("_known").isNull()).drop("_known"))
+
+
+def _with_changes(hist: DataFrame) -> DataFrame:
     cur, prev = F.col("avg_price"), F.col("prev_avg_price")
     return hist.select(
         "*",

@@ -21,7 +21,8 @@ from ..schemas import API_EVENT
 from ..session import scratch_path, write_scratch
 from ..sources import adapter, pages, store
 from ..sources.rules import rules_frame
-from . import build
+from ..state import history, prices
+from . import build, daily
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,6 +269,63 @@ def q_stream_ingest(spark, sf_dir):
     return store.read_store(spark, path).select(*INGEST_COLUMNS)
 
 
+# ------------------------------------------------------------------ kept state
+
+def _kept(spark, sf_dir, *parts):
+    """A store and the state kept beside it, after three daily jobs: all days but the
+    newest, of which a middle one has wrong prices and lacks rows; that day again, now
+    right; the newest day."""
+    raw = write_scratch(_raw(spark, sf_dir), "raw")
+    days = sorted(r[0] for r in raw.select("snapshot_date").distinct().collect())
+    newest, middle = days[-1], days[len(days) // 2]
+    path, state = scratch_path(spark, "kept-store"), scratch_path(spark, "kept-state")
+
+    def job(rows):
+        done = store.upsert_days(rows, path, ingested_at=P.AS_OF)
+        daily.refresh(spark, path, state, done["replaced"], parts)
+
+    day = F.col("snapshot_date")
+    wrong = raw.filter((day == middle) & (F.crc32("event_id") % 3 != 0)).withColumns(
+        {c: F.col(c) * 2 + 1 for c in ("min_price", "max_price")})
+    job(raw.filter((day != newest) & (day != middle)).unionByName(wrong))
+    job(raw.filter(day == middle))
+    job(raw.filter(day == newest))
+    return path, state
+
+
+def q_event_stats_kept(spark, sf_dir):
+    _, state = _kept(spark, sf_dir, prices.MOMENTS.name)
+    return _stable(prices.event_stats(daily.kept(spark, state, prices.MOMENTS)),
+                   "mean_price", "stddev_price")
+
+
+def q_latest_anomalies_kept(spark, sf_dir):
+    path, state = _kept(spark, sf_dir, prices.MOMENTS.name)
+    return _stable(daily.newest_anomalies(spark, path, state, P.Z_THRESHOLD,
+                                          P.ANOMALY_ALERT_LIMIT, P.MIN_SNAPSHOTS),
+                   "current_price", "mean_price", "z_score")
+
+
+def q_price_curves_kept(spark, sf_dir):
+    _, state = _kept(spark, sf_dir, prices.PRICE_COUNTS.name)
+    return prices.price_curves(daily.kept(spark, state, prices.PRICE_COUNTS))
+
+
+def q_curve_report_kept(spark, sf_dir):
+    _, state = _kept(spark, sf_dir, prices.PRICE_COUNTS.name)
+    return prices.curve_report(daily.kept(spark, state, prices.PRICE_COUNTS))
+
+
+def q_best_buy_windows_kept(spark, sf_dir):
+    _, state = _kept(spark, sf_dir, prices.WEEKDAYS.name)
+    return prices.best_buy_windows(daily.kept(spark, state, prices.WEEKDAYS))
+
+
+def q_price_snapshots_kept(spark, sf_dir):
+    _, state = _kept(spark, sf_dir, daily.HISTORY)
+    return history.read(spark, f"{state}/{daily.HISTORY}")
+
+
 def q_duplicate_keys(spark, sf_dir):
     """Repeats of a coarser key than the store's own, which never repeats."""
     return store.duplicate_keys(_raw(spark, sf_dir), key=P.DUPLICATE_KEY)
@@ -316,4 +374,10 @@ def queries() -> dict[str, Query]:
         "snapshot_store": q_snapshot_store,
         "stream_ingest": q_stream_ingest,
         "duplicate_keys": q_duplicate_keys,
+        "event_stats_kept": q_event_stats_kept,
+        "latest_anomalies_kept": q_latest_anomalies_kept,
+        "price_curves_kept": q_price_curves_kept,
+        "curve_report_kept": q_curve_report_kept,
+        "best_buy_windows_kept": q_best_buy_windows_kept,
+        "price_snapshots_kept": q_price_snapshots_kept,
     }

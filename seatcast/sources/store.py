@@ -84,7 +84,8 @@ def upsert_days(rows: DataFrame, store: str, *, days: list[_dt.date] | None = No
     written (``dedupe=True`` keeps one row per key, see ``one_per_key``, instead
     of raising on duplicates).  The check reads the key columns only; nothing
     holds the batch between check and write.  Returns counters: rows written,
-    days replaced, days emptied, and date texts rejected if the rows say so."""
+    days replaced, days emptied, date texts rejected if the rows say so, and the
+    days themselves (``replaced``) for what is kept between days (``state``)."""
     spark = rows.sparkSession
     rejected = F.count_if(F.col(DATE_REJECTED)) if DATE_REJECTED in rows.columns else F.lit(0)
     own = conform(rows, ingested_at)
@@ -99,15 +100,16 @@ def upsert_days(rows: DataFrame, store: str, *, days: list[_dt.date] | None = No
     if not own.isEmpty():
         metrics = _write(own, store, rejected)
     written = set(metrics.get("days") or [])
-    emptied = 0
+    emptied = []
     for d in days or []:
         if d not in written:
             fs, p = _fs(spark, f"{store.rstrip('/')}/snapshot_date={d.isoformat()}")
             if fs.exists(p):
                 fs.delete(p, True)
-                emptied += 1
-    return {"rows": metrics.get("rows", 0), "days": len(written), "emptied_days": emptied,
-            "rejected_dates": metrics.get("rejected", 0) or 0}
+                emptied.append(d)
+    return {"rows": metrics.get("rows", 0), "days": len(written), "emptied_days": len(emptied),
+            "rejected_dates": metrics.get("rejected", 0) or 0,
+            "replaced": sorted(written.union(emptied))}
 
 
 def _write(own: DataFrame, store: str, rejected) -> dict:
