@@ -326,6 +326,16 @@ def q_price_snapshots_kept(spark, sf_dir):
     return history.read(spark, f"{state}/{daily.HISTORY}")
 
 
+def q_stream_complete_days(spark, sf_dir):
+    """Pages staged once by one stream; days released whole by another."""
+    from ..streaming.complete import release_days, stage_pages
+    root, work = _landed(spark, sf_dir), scratch_path(spark, "stream-work")
+    path = scratch_path(spark, "complete-store")
+    stage_pages(spark, root, work, staged_at=P.AS_OF).awaitTermination()
+    release_days(spark, work, path, ingested_at=P.AS_OF).awaitTermination()
+    return store.read_store(spark, path).select(*INGEST_COLUMNS)
+
+
 def q_duplicate_keys(spark, sf_dir):
     """Repeats of a coarser key than the store's own, which never repeats."""
     return store.duplicate_keys(_raw(spark, sf_dir), key=P.DUPLICATE_KEY)
@@ -374,6 +384,7 @@ def queries() -> dict[str, Query]:
         "snapshot_store": q_snapshot_store,
         "stream_ingest": q_stream_ingest,
         "duplicate_keys": q_duplicate_keys,
+        "stream_complete_days": q_stream_complete_days,
         "event_stats_kept": q_event_stats_kept,
         "latest_anomalies_kept": q_latest_anomalies_kept,
         "price_curves_kept": q_price_curves_kept,

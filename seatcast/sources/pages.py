@@ -130,8 +130,9 @@ def page_report(pages: DataFrame) -> DataFrame:
         F.sum("events").cast("long").alias("events"))
 
 
-def distinct_pages(pages: DataFrame) -> DataFrame:
-    """Every readable page once.  Pages pass straight from the scan; only if
+def distinct_pages(pages: DataFrame, last: Column | None = None) -> DataFrame:
+    """Every readable page once; of repeated ones that with the largest ``last``, by
+    default the file's time and path.  Pages pass straight from the scan; only if
     some page number of a day and city landed more than once (one check on the
     narrow keys) do those pages, and only those, meet to keep the last one."""
     good = pages.filter(F.col(UNREADABLE).isNull() & F.col("_embedded").isNotNull())
@@ -141,9 +142,10 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*names))
     if again.isEmpty():
         return good
+    if last is None:
+        last = F.struct("_metadata.file_modification_time", "_metadata.file_path")
     marked = good.select("*", F.col("page.number").alias("number"),
-                         F.struct("_metadata.file_modification_time", "_metadata.file_path",
-                                  F.xxhash64(F.to_json("_embedded"))).alias("_last"))
+                         F.struct(last, F.xxhash64(F.to_json("_embedded"))).alias("_last"))
     last = Window.partitionBy(*names).orderBy(F.col("_last").desc())
     kept = (marked.join(again, names, "left_semi")
             .select("*", F.row_number().over(last).alias("_rank")).filter("_rank = 1"))
@@ -151,12 +153,13 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
         kept.select(good.columns))
 
 
-def page_events(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+def page_events(pages: DataFrame, max_pages: int | None = None,
+                last: Column | None = None) -> DataFrame:
     """One row per event of the pages: snapshot_date, city, event.  By default
     all pages count; ``max_pages`` keeps the numbers below it."""
     if max_pages is not None:
         pages = pages.filter(F.col("page.number") < max_pages)
-    return (distinct_pages(pages)
+    return (distinct_pages(pages, last)
             .select("snapshot_date", "city", F.explode("_embedded.events").alias("event")))
 
 
@@ -164,8 +167,13 @@ def landed_rows(spark: SparkSession, root: str, days=None,
                 max_pages: int | None = None) -> DataFrame:
     """Landed pages -> flat rows with ``snapshot_date`` and ``date_rejected``
     (SNAPSHOT minus ``ingested_at``)."""
-    ev = page_events(read_pages(spark, root, days), max_pages)
-    return flatten_events(ev).drop("city").select(*FLAT_COLUMNS, "snapshot_date", DATE_REJECTED)
+    return flat_rows(page_events(read_pages(spark, root, days), max_pages))
+
+
+def flat_rows(events: DataFrame) -> DataFrame:
+    """Flat rows of ``page_events``."""
+    return flatten_events(events).drop("city").select(*FLAT_COLUMNS, "snapshot_date",
+                                                      DATE_REJECTED)
 
 
 def event_window(rows: DataFrame, as_of, days_ahead: int = 90, *, city: str | None = None,
