@@ -99,14 +99,15 @@ def q_price_alerts(spark, sf_dir):
     return _hits(spark, sf_dir)
 
 
-def _latest_anomalies(spark, sf_dir, today=None, limit=P.ANOMALY_ALERT_LIMIT):
-    return alerts.latest_anomalies(_raw(spark, sf_dir),
-                                   _today(spark, sf_dir) if today is None else today,
-                                   P.Z_THRESHOLD, limit, P.MIN_SNAPSHOTS)
+def _latest_anomalies(spark, sf_dir, today, limit=P.ANOMALY_ALERT_LIMIT):
+    return alerts.latest_anomalies(_raw(spark, sf_dir), today, P.Z_THRESHOLD, limit,
+                                   P.MIN_SNAPSHOTS)
 
 
 def q_latest_anomalies(spark, sf_dir):
-    return _stable(_latest_anomalies(spark, sf_dir), "current_price", "mean_price", "z_score")
+    today = alerts.latest_snapshot(_raw(spark, sf_dir), adapter.newest_day(spark, sf_dir))
+    return _stable(_latest_anomalies(spark, sf_dir, today), "current_price", "mean_price",
+                   "z_score")
 
 
 def q_mark_triggered(spark, sf_dir):

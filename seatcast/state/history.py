@@ -15,7 +15,8 @@ has to write.
 Order of the writes: ``last`` tables from the replaced day on go first, then the rows
 are replaced, then new ``last`` tables are written.  After a crash in between, the same
 update starts from an older table and gives the same rows.  Until it has been run,
-``is_current`` says that the newest stored day is not covered.
+``is_current`` says that the newest stored day is not covered.  (A store without any
+dated row has no ``last`` table; its history is empty.)
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.staging import LAST_ROW, continued_snapshots, price_snapshots, stg_events
+from ..schemas import SNAPSHOT
 from ..sources import store
 from . import files
 
@@ -44,11 +46,8 @@ def _folder(path: str, key: str, day: _dt.date) -> str:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """The history, as ``price_snapshots`` gives it."""
-    rows = spark.read.parquet(f"{path}/rows")
-    names = rows.columns
-    # the path key back in its place
-    names.insert(names.index("event_date") + 1, names.pop(names.index("snapshot_date")))
-    return rows.select(*names)
+    schema = price_snapshots(stg_events(spark.createDataFrame([], SNAPSHOT))).schema
+    return spark.read.schema(schema).parquet(f"{path}/rows").select(*schema.names)
 
 
 def is_current(spark: SparkSession, store_path: str, path: str) -> bool:
@@ -108,7 +107,7 @@ def _keep_last(spark: SparkSession, path: str, base: _dt.date | None, stored: li
     kept = {d for d in stored if d.toordinal() % every == 0}
     wanted = sorted(d for d in kept | {newest} if base is None or d > base)
     if wanted:
-        rows = spark.read.parquet(f"{path}/rows").select(*LAST_ROW)
+        rows = read(spark, path).select(*LAST_ROW)
         if base is not None:
             rows = rows.where(F.col("snapshot_date") > F.lit(base)).unionByName(
                 _last(spark, path, base))

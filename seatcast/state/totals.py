@@ -69,32 +69,28 @@ def update(spark: SparkSession, total: Total, path: str, rows: DataFrame,
     last, held = current(spark, path)
     number = last + 1
     shares = f"{path}/days/v{number}"
-    (total.of_rows(rows.where(F.col("snapshot_date").isin(days)))
-     .select("snapshot_date", *total.keys, *total.sums)
-     .hint("rebalance", "snapshot_date").write.mode("overwrite")
+    columns = [*total.keys, *total.sums]
+    made = total.of_rows(rows.where(F.col("snapshot_date").isin(days))).select(
+        "snapshot_date", *columns)
+    schema = made.drop("snapshot_date").schema
+    (made.hint("rebalance", "snapshot_date").write.mode("overwrite")
      .partitionBy("snapshot_date").parquet(shares))
     written = [_dt.date.fromisoformat(n.partition("=")[2]) for n in files.names(spark, shares)
                if n.startswith("snapshot_date=")]
 
+    def load(*paths: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(*paths)
+
     def share(v: int, day: _dt.date) -> str:
         return f"{path}/days/v{v}/snapshot_date={day.isoformat()}"
 
-    columns = [*total.keys, *total.sums]
-    schema = None
-    parts = []
-    if written:
-        new = spark.read.parquet(*[share(number, d) for d in written]).select(*columns)
-        schema, parts = new.schema, [new]
+    parts = [load(*[share(number, d) for d in written]) if written
+             else spark.createDataFrame([], schema)]
     if last:
-        before = spark.read.parquet(f"{path}/total/v{last}").select(*columns)
-        schema = before.schema
-        parts.append(before)
-        gone = [share(held[d], d) for d in days if d in held]
-        if gone:
-            old = spark.read.schema(schema).parquet(*gone)
-            parts.append(old.select(*total.keys, *[(-F.col(c)).alias(c) for c in total.sums]))
-    if not parts:
-        return last
+        parts.append(load(f"{path}/total/v{last}"))
+    gone = [share(held[d], d) for d in days if d in held]
+    if gone:
+        parts.append(load(*gone).select(*total.keys, *[(-F.col(c)).alias(c) for c in total.sums]))
     every = parts[0]
     for part in parts[1:]:
         every = every.unionByName(part)

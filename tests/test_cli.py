@@ -26,9 +26,18 @@ def test_ingest_check_alerts_and_rules(spark, capsys):
     assert [r.event_id for r in store.read_store(spark, st).collect()] == ["e1"]
     assert main(["check-alerts", "--store", st, "--rules", rules, "--dry-run",
                  "--as-of", "2024-01-01 09:00:00"]) == 0
+    # the same from kept state, after streaming into another store
+    kept, other = os.path.join(base, "state"), os.path.join(base, "other")
+    assert main(["stream", "--landing", os.path.join(base, "landing"), "--store", other,
+                 "--work", os.path.join(base, "work"), "--state", kept]) == 0
+    assert main(["check-alerts", "--store", other, "--rules", rules, "--dry-run",
+                 "--as-of", "2024-01-01 09:00:00", "--state", kept]) == 0
+    marts = os.path.join(base, "marts")
+    assert main(["build-marts", "--store", other, "--out", marts, "--state", kept]) == 0
+    assert spark.read.parquet(f"{marts}/price_curves").count() == 0  # its event has no date
     assert main(["rules", "--rules", rules]) == 0
     out = capsys.readouterr().out
-    assert "Price Alert: 1 ticket(s) hit your target!" in out
+    assert out.count("Price Alert: 1 ticket(s) hit your target!") == 2
     assert "Current price: $10 (target: $15)" in out.replace("\\n", "\n")
     assert "band" in out and "active" in out
     assert not os.path.exists(os.path.join(base, "v2"))       # dry run saves nothing
