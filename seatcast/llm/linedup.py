@@ -28,10 +28,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, fresh, lookup, materialize, ship_package, text_slices
+from .common import (documents, fresh, lookup, materialize, ship_package, text_slices,
+                     without)
 
 DEPTH = 3
 MIN_DOCS = 5
@@ -170,25 +171,46 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
             .groupBy("row_key").agg(F.collect_set("line").alias("dropped")))
 
 
-def _left(text: Column, dropped: Column) -> Column:
-    """``text`` without its dropped lines."""
-    return F.array_join(F.filter(F.split(text, "\n"),
-                                 lambda _, i: ~F.array_contains(dropped, i)), "\n")
+def _without_lines(rows: DataFrame, text_col: str, gone: str) -> DataFrame:
+    """``rows`` with the line numbers in ``gone`` taken out of their text."""
+    schema = rows.schema
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = schema.names.index(text_col)
+            done = 0
+            for texts, dropped in text_slices([batch], [text_col, gone], text=text_col):
+                left = []
+                for text, numbers in zip(texts, dropped, strict=True):
+                    numbers = set(numbers)
+                    left.append("\n".join(line for i, line in enumerate(text.split("\n"))
+                                          if i not in numbers))
+                part = batch.slice(done, len(texts))
+                done += len(texts)
+                yield part.set_column(at, text_col, pa.array(left, pa.string()))
+
+    return rows.mapInArrow(run, schema)
 
 
 def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    **how) -> DataFrame:
     """``docs`` with all its columns and the recurring lines taken out of the
-    text, plus n_lines and n_dropped (replacing columns of that name)."""
+    text, plus n_lines and n_dropped (replacing columns of that name).  Only rows
+    that lose lines meet their numbers in a shuffle; the rest pass by."""
     ship_package(docs.sparkSession)
     drops = materialize(repeated_lines(docs, id_col=id_col, text_col=text_col, **how), "drops")
     text = F.coalesce(F.col(text_col), F.lit(""))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     key, gone = fresh(docs, "row_key"), fresh(docs, "dropped")
-    new = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(_left(text, F.col(gone)))
-    return (docs.select(*names, F.xxhash64(F.col(id_col).cast("long"), text).alias(key))
-            .join(drops.select(F.col("row_key").alias(key), F.col("dropped").alias(gone)), key,
-                  "left")
-            .select(*[new.alias(c) if c == text_col else F.col(c) for c in names],
-                    F.size(F.split(text, "\n")).cast("long").alias("n_lines"),
-                    F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped")))
+    lines, lost = fresh(docs, "lines_before"), fresh(docs, "lines_lost")
+    keyed = docs.select(*names, F.xxhash64(F.col(id_col).cast("long"), text).alias(key),
+                        F.size(F.split(text, "\n")).cast("long").alias(lines))
+    drops = drops.select(F.col("row_key").alias(key), F.col("dropped").alias(gone))
+    ids = drops.select(key)
+    # a merge join at every size, so that a small table shows the shuffle of a large one
+    cut = lookup(keyed, ids, key).join(drops.hint("merge"), key)
+    cut = cut.withColumn(lost, F.size(gone).cast("long"))
+    cut = _without_lines(cut.select(*names, lines, lost, gone), text_col, gone)
+    whole = without(keyed, ids, key).withColumn(lost, F.lit(0).cast("long"))
+    both = cut.select(*names, lines, lost).unionByName(whole.select(*names, lines, lost))
+    return both.select(*names, F.col(lines).alias("n_lines"), F.col(lost).alias("n_dropped"))
