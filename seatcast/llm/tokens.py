@@ -1,24 +1,70 @@
 """Token ids of whole texts from a public tokenizer file.
 
-The library's merge loop is slow on long texts, while words recur.  A text is
-cut only where the tokenizer itself always cuts, each distinct piece is
-encoded once per worker, and the ids of a text are the joined ids of its
-pieces.  ``tests/llm/test_tokens.py`` holds this against encoding whole texts.
+The library's merge loop is slow, while words recur.  A text is cut only where the
+tokenizer itself always cuts; the pieces of a slice of texts are numbered in Arrow,
+each distinct one is looked up among the known ones or encoded, and the ids of a text
+are gathered from those of its pieces.  ``tests/llm/test_tokens.py`` holds this against
+encoding whole texts.
+
+Known pieces take a bounded amount of memory in a worker (``KNOWN_BYTES``): they are
+kept in two generations.  What is looked up moves to the younger one; when that is
+full, it becomes the older one and the former older one goes, so frequent pieces stay.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 
 import numpy as np
-
-# Pieces kept per worker process; the table is emptied when it is full.
-MAX_KNOWN = 1_000_000
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# Memory that the known pieces of a worker process may take.
+KNOWN_BYTES = 192 << 20
+# What a piece takes besides its characters and ids: two objects and a table entry.
+PIECE_BYTES = 190
+# Pieces encoded at a time.
+BATCH = 20_000
+# Words whose ids are gathered at a time.
+GATHER = 50_000
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
+class Known:
+    """Pieces and their ids, in two generations of bounded size."""
+
+    def __init__(self, most: int = KNOWN_BYTES):
+        self.most = most // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def look_up(self, pieces: list[str], learn: Callable[[list[str]], list[bytes]]
+                ) -> list[bytes]:
+        """The ids of each piece (all different); ``learn`` gives those of new ones."""
+        out = list(map(self.young.get, pieces))
+        missed = [i for i, ids in enumerate(out) if ids is None]
+        if not missed:
+            return out
+        names = [pieces[i] for i in missed]
+        found = list(map(self.old.get, names))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        for at in range(0, len(new), BATCH):
+            part = new[at:at + BATCH]
+            for k, ids in zip(part, learn([names[k] for k in part]), strict=True):
+                found[k] = ids
+        for i, ids in zip(missed, found, strict=True):
+            out[i] = ids
+        self.held += PIECE_BYTES * len(names) + sum(map(len, names)) + sum(map(len, found))
+        self.young.update(zip(names, found, strict=True))
+        if self.held > self.most:
+            self.old, self.young, self.held = self.young, {}, 0
+        return out
+
+
 class PieceEncoder:
     """Encodes texts as little-endian unsigned 32-bit ids.
 
@@ -38,44 +84,109 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # every piece comes once: it only costs
-        self.pieces = self._keep_space if cut == "space" else self._drop_space
-        self.known: dict[str, bytes] = {}
-
-    @staticmethod
-    def _drop_space(text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
-
-    @staticmethod
-    def _keep_space(text: str) -> list[str]:
-        """Pieces; one that starts with a blank is given without it, any other
-        with a line break in front."""
-        if " ".join(text.split()) != text.replace("\n", " "):
-            return ["\n" + p for p in _CUT.split(text) if p]
-        return ("\n" + text.replace("\n", " \n\n")).split(" ") if text else []
+        self.keep_space = cut == "space"
+        self.known = Known()
+        # bytes that each id of a byte-level vocabulary stands for
+        self.id_bytes = None
+        if self.keep_space:
+            vocabulary = self.tokenizer.get_vocab()
+            self.id_bytes = np.zeros(max(vocabulary.values()) + 1, "i8")
+            for token, i in vocabulary.items():
+                self.id_bytes[i] = len(token)
+
+    def _blanks(self, text: str) -> str | None:
+        """``text`` with a blank between its pieces; None if it has to be cut one by
+        one.  A piece that starts with a blank is given without it, any other with a
+        line break in front."""
+        if not self.keep_space:
+            return text.replace("\n", " ")
+        if text and " ".join(text.split()) == text.replace("\n", " "):
+            return "\n" + text.replace("\n", " \n\n")
+        return None
 
     def _raw(self, piece: str) -> str:
-        if self.pieces is self._drop_space:
+        if not self.keep_space:
             return piece
         return piece[1:] if piece[:1] == "\n" else " " + piece
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode each piece on its own, in one call."""
+    def _encode(self, new: list[str]) -> list[bytes]:
+        """The ids of each piece, encoded on its own."""
         found = self.tokenizer.encode([self._raw(p) for p in new], is_pretokenized=True,
                                       add_special_tokens=False)
-        ids = np.array(found.ids, "<u4").tobytes()
-        ends = np.searchsorted(np.array(found.word_ids, "i8"), np.arange(len(new) + 1)) * 4
-        ends = ends.tolist()
-        self.known.update((p, ids[ends[i]:ends[i + 1]]) for i, p in enumerate(new))
+        ids = np.array(found.ids, "<u4")
+        return _split(ids, np.searchsorted(np.array(found.word_ids, "i8"),
+                                           np.arange(1, len(new) + 1)))
+
+    def _encode_words(self, words: list[str]) -> list[bytes] | None:
+        """The same for words without white space in them, as one text: the tokenizer
+        cuts before each blank.  None if the ids do not fit the words."""
+        text = " " + " ".join(words)
+        ids = np.array(self.tokenizer.encode_batch_fast(
+            [text], add_special_tokens=False)[0].ids, "<u4")
+        covered = np.cumsum(self.id_bytes[ids])
+        ends = np.cumsum([1 + len(w.encode()) for w in words])
+        at = np.searchsorted(covered, ends)
+        if len(ids) and at[-1] == len(ids) - 1 and np.array_equal(covered[at], ends):
+            return _split(ids, at + 1)
+        return None
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        out: list[bytes | None] = [None] * len(new)
+        if self.keep_space:
+            plain = [i for i, p in enumerate(new) if p.split() == [p]]
+            if plain:
+                found = self._encode_words([new[i] for i in plain])
+                for i, ids in zip(plain, found or (), strict=False):
+                    out[i] = ids
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        if rest:
+            for i, ids in zip(rest, self._encode([new[i] for i in rest]), strict=True):
+                out[i] = ids
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        if len(self.known) > MAX_KNOWN:
-            self.known.clear()
-        new = [p for p in set().union(*cut) if p not in self.known]
-        for i in range(0, len(new), 20_000):
-            self._learn(new[i:i + 20_000])
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        """The ids of each text."""
+        spaced = [self._blanks(t) for t in texts]
+        whole = [i for i, s in enumerate(spaced) if s is not None]
+        odd = [i for i, s in enumerate(spaced) if s is None]
+        lists = pc.split_pattern(pa.array([spaced[i] for i in whole], pa.large_string()), " ")
+        cut = [["\n" + p for p in _CUT.split(texts[i]) if p] for i in odd]
+        words = pa.concat_arrays([lists.flatten(), pa.array([p for c in cut for p in c],
+                                                            pa.large_string())])
+        counts = np.zeros(len(texts), "i8")
+        counts[whole] = np.diff(lists.offsets.to_numpy())
+        counts[odd] = [len(c) for c in cut]
+        del spaced, lists, cut
+        numbered = words.dictionary_encode()
+        place = numbered.indices.to_numpy()
+        del words
+        blobs = self.known.look_up(numbered.dictionary.to_pylist(), self._learn)
+        size = np.fromiter(map(len, blobs), "i8", len(blobs)) // 4
+        ids = np.frombuffer(b"".join(blobs), "<u4")
+        first = np.cumsum(size) - size
+        # words of a text stand together: those of whole texts, then those cut one by one
+        order = np.array([*whole, *odd], "i8")
+        out: list[bytes] = [b""] * len(texts)
+        ends = np.concatenate([[0], np.cumsum(counts[order])])
+        k = 0
+        while k < len(order):  # texts of some GATHER words at a time
+            stop = max(int(np.searchsorted(ends, ends[k] + GATHER, "right")) - 1, k + 1)
+            own = place[ends[k]:ends[stop]]
+            reach = np.cumsum(size[own])
+            raw = b""
+            if len(own):
+                raw = ids[np.repeat(first[own] - reach + size[own], size[own])
+                          + np.arange(reach[-1])].tobytes()
+            cuts = np.concatenate([[0], 4 * reach])[ends[k:stop + 1] - ends[k]].tolist()
+            for i, a, b in zip(order[k:stop].tolist(), cuts, cuts[1:], strict=False):
+                out[i] = raw[a:b]
+            k = stop
+        return out
+
+
+def _split(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+    return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 _ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
