@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -97,6 +98,16 @@ def text_slices(batches: Iterable[pa.RecordBatch], columns: list[str], text: str
                 begin, held = i + 1, 0
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system: a worker process serves
+    many tasks, and what one of them used at its peak stays mapped otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library: nothing to do
+        pass
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; other letters stay as they are."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -19,6 +19,10 @@ from .queries import END_ID, _vocabulary
 # duplicates.  The op10 query has its own.
 NEAR_PERCENT = 80
 
+# Known pieces of a worker in the pipeline, whose executors carry the heap of all
+# earlier stages: fewer than where packing runs alone, for some more encoding.
+PACK_KNOWN_BYTES = 32 << 20
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression bands reject go."""
@@ -52,4 +56,5 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of every remaining document goes."""
-    return packing.pack(docs, _vocabulary("byte_bpe_50k.json"), end_id=END_ID).drop("ids")
+    return packing.pack(docs, _vocabulary("byte_bpe_50k.json"), end_id=END_ID,
+                        known_bytes=PACK_KNOWN_BYTES).drop("ids")

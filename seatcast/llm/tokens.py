@@ -73,7 +73,7 @@ class PieceEncoder:
     vocabularies that drop white space.
     """
 
-    def __init__(self, path: str, cut: str):
+    def __init__(self, path: str, cut: str, known_bytes: int = KNOWN_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -85,7 +85,7 @@ class PieceEncoder:
         if hasattr(self.tokenizer.model, "_resize_cache"):
             self.tokenizer.model._resize_cache(0)  # every piece comes once: it only costs
         self.keep_space = cut == "space"
-        self.known = Known()
+        self.known = Known(known_bytes)
         # bytes that each id of a byte-level vocabulary stands for
         self.id_bytes = None
         if self.keep_space:
@@ -189,12 +189,13 @@ def _split(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
     return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-_ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
+_ENCODERS: dict[tuple, PieceEncoder] = {}
 
 
-def encoder(path: str, cut: str) -> PieceEncoder:
-    """The worker process's encoder for this vocabulary."""
-    key = (path, cut)
+def encoder(path: str, cut: str, known_bytes: int = KNOWN_BYTES) -> PieceEncoder:
+    """The worker process's encoder for this vocabulary; the last one asked for is kept."""
+    key = (path, cut, known_bytes)
     if key not in _ENCODERS:
-        _ENCODERS[key] = PieceEncoder(path, cut)
+        _ENCODERS.clear()
+        _ENCODERS[key] = PieceEncoder(path, cut, known_bytes)
     return _ENCODERS[key]
