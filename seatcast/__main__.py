@@ -97,13 +97,12 @@ def main(argv: list[str] | None = None) -> int:
         days = [dt.date.fromisoformat(d) for d in a.day] or None
         if a.as_of is None and (a.city or a.venue_state or a.genre):
             p.error("--city, --venue-state and --genre need --as-of")
-        done = build.ingest_landed(
+        refresh = (lambda days: daily.refresh(spark, a.store, a.state, days)) if a.state else None
+        print(build.ingest_landed(
             spark, a.landing, a.store, days=days, dedupe=a.dedupe, strict=a.strict,
             as_of=dt.datetime.fromisoformat(a.as_of) if a.as_of else None,
-            days_ahead=a.days_ahead, city=a.city, state=a.venue_state, genre=a.genre)
-        if a.state:
-            daily.refresh(spark, a.store, a.state, done["replaced"])
-        print(done)
+            days_ahead=a.days_ahead, city=a.city, state=a.venue_state, genre=a.genre,
+            on_replaced=refresh))
     elif a.cmd == "stream" and a.work:
         from .streaming.complete import release_days, stage_pages
         how = {"available_now": a.every is None, "processing_time": a.every,

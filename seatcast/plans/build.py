@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +56,8 @@ def ingest_landed(spark: SparkSession, landing_root: str, store_path: str, *,
                   strict: bool = False, as_of: _dt.datetime | None = None,
                   days_ahead: int = 90, city: str | None = None, state: str | None = None,
                   genre: str | None = None, max_pages: int | None = None,
-                  ingested_at: _dt.datetime | None = None) -> dict:
+                  ingested_at: _dt.datetime | None = None,
+                  on_replaced: Callable[[list[_dt.date]], None] | None = None) -> dict:
     """Daily ingestion: landed pages -> flat rows -> key check -> replace the
     days in the store.  ``days`` restricts (and guarantees) the replaced
     days: a listed day without rows is emptied.  ``as_of`` and the filters
@@ -63,7 +65,9 @@ def ingest_landed(spark: SparkSession, landing_root: str, store_path: str, *,
 
     Returns counters: pages, repeats, unreadable lines, missing pages, events
     fetched, rows written, rejected dates, days.  ``strict`` raises
-    ``BadLandingError`` before writing if lines are unreadable or pages miss."""
+    ``BadLandingError`` before writing if lines are unreadable or pages miss.
+    ``on_replaced`` gets the replaced days, for what is kept between days
+    (``plans.daily.refresh``)."""
     report = pages.page_report(pages.read_pages(spark, landing_root, days))
     names = ["pages", "repeats", "unreadable", "missing", "events"]
     found = report.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]).first().asDict()
@@ -74,6 +78,9 @@ def ingest_landed(spark: SparkSession, landing_root: str, store_path: str, *,
     if as_of is not None:
         rows = pages.event_window(rows, as_of, days_ahead, city=city, state=state, genre=genre)
     done = store.upsert_days(rows, store_path, days=days, dedupe=dedupe, ingested_at=ingested_at)
+    replaced = done.pop("replaced")
+    if on_replaced is not None and replaced:
+        on_replaced(replaced)
     return found | done
 
 

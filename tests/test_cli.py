@@ -22,7 +22,8 @@ def test_ingest_check_alerts_and_rules(spark, capsys):
         json.dump([{"target_price": 15.0, "created_at": "2024-01-01 10:00:00",
                     "triggered": False, "artist_name": "band"}], f)
     st = os.path.join(base, "store")
-    assert main(["ingest", "--landing", os.path.join(base, "landing"), "--store", st]) == 0
+    assert main(["ingest", "--landing", os.path.join(base, "landing"), "--store", st,
+                 "--state", os.path.join(base, "ingest-state")]) == 0
     assert [r.event_id for r in store.read_store(spark, st).collect()] == ["e1"]
     assert main(["check-alerts", "--store", st, "--rules", rules, "--dry-run",
                  "--as-of", "2024-01-01 09:00:00"]) == 0
