@@ -17,6 +17,10 @@ Only built-in functions run; the text is read once, everything after works on
 the mentions.  A very common context is pre-aggregated before the shuffle and
 its join back is a skewed join key that adaptive execution splits.
 
+The words of a pattern are looked for within ``CONTEXT_CHARS`` characters of the
+mention; other tokens count as identifier-like from ``MIN_TOKEN_CHARS`` on.  A
+text with very many identifiers costs in proportion to its length.
+
 Spans are in code points, end exclusive; base spans are leftmost and do not
 overlap within a kind; added spans overlap no base span.
 
@@ -28,6 +32,8 @@ ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,24 +60,54 @@ GOOD_PATTERN = 0.6
 GOOD_INSTANCE = 0.6
 CONTEXT_CHARS = 60
 MIN_TOKEN_CHARS = 5
+# Matches whose places are summed up together, and code points of a text that
+# are kept together: a text costs in proportion to its length.
+CHUNK, BLOCK = 128, 1024
 
 SPAN = "struct<start:int,kind:int,end:int>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row: an expression named
+    inside a lambda is otherwise computed again for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """array<struct<start, text>> of the matches, in code points: the pieces
-    between matches give each match its place."""
+    between matches give each match its place.  Places are summed up in chunks,
+    so that no long list is copied for every match."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(F.split(text, pattern).alias("gap"), found.alias("hit"))
-    empty = F.lit([]).cast("array<struct<start:int,text:string>>")
-    walked = F.aggregate(
-        pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda a, p: F.struct(
-            (a["at"] + F.length(p["gap"]) + F.coalesce(F.length(p["hit"]), F.lit(0))).alias("at"),
-            F.when(p["hit"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(F.struct(
-                (a["at"] + F.length(p["gap"])).alias("start"), p["hit"].alias("text")))))
-            .alias("out")))
-    return walked["out"]
+    pairs = F.transform(
+        F.arrays_zip(F.split(text, pattern).alias("gap"), found.alias("hit")),
+        lambda p: F.struct(F.length(p["gap"]).alias("gap"), p["hit"].alias("hit")))
+
+    def extent(p):
+        return p["gap"] + F.coalesce(F.length(p["hit"]), F.lit(0))
+
+    def walk(chunk, begin):
+        """The matches of one chunk, whose text begins at ``begin``."""
+        empty = F.lit([]).cast("array<struct<start:int,text:string>>")
+        walked = F.aggregate(
+            chunk, F.struct(begin.alias("at"), empty.alias("out")),
+            lambda a, p: F.struct(
+                (a["at"] + extent(p)).alias("at"),
+                F.when(p["hit"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(F.struct(
+                    (a["at"] + p["gap"]).alias("start"), p["hit"].alias("text")))))
+                .alias("out")))
+        return walked["out"]
+
+    def place(chunks):
+        begins = F.aggregate(
+            chunks, F.array(F.lit(0)),
+            lambda a, c: F.concat(a, F.array(F.element_at(a, -1) + F.aggregate(
+                c, F.lit(0), lambda t, p: t + extent(p)))))
+        return _let(begins, lambda at: F.flatten(F.transform(
+            chunks, lambda c, j: walk(c, at[j]))))
+
+    return _let(pairs, lambda ps: _let(F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(ps) - 1) / CHUNK).cast("int")),
+        lambda j: F.slice(ps, j * CHUNK + 1, CHUNK)), place))
 
 
 def _digits(c: Column) -> Column:
@@ -130,34 +166,73 @@ def render(spans: Column) -> Column:
         s["end"].cast("string"))), ",")
 
 
+def _overlaps_none(base: Column) -> Callable[[Column, Column], Column]:
+    """A test of (start, end) against the sorted ``base`` spans, by binary search:
+    the spans of a kind do not overlap, so only the last one that begins before
+    ``end`` can reach past ``start``."""
+    def free(spans, steps, start, end):
+        before = F.aggregate(steps, F.lit(0), lambda at, s: at + F.when(
+            (at + s <= F.size(spans)) & (F.get(spans, at + s - 1)["start"] < end), s).otherwise(0))
+        return (before == 0) | (F.get(spans, before - 1)["end"] <= start)
+
+    def test(start, end):
+        return F.forall(base, lambda k: free(k["spans"], k["steps"], start, end))
+
+    return test
+
+
+def _by_kind(base: Column) -> Column:
+    """The spans of each kind that has any, with the steps of a binary search."""
+    def one(kind):
+        spans = F.filter(base, lambda s: s["kind"] == kind)
+        return _let(spans, lambda own: F.struct(own.alias("spans"), F.transform(
+            F.sequence(F.floor(F.log2(F.size(own) + F.lit(1))).cast("int"), F.lit(0)),
+            lambda i: F.pow(F.lit(2), i).cast("int")).alias("steps")))
+
+    kinds = F.array(*[one(F.lit(k)) for k in range(len(KINDS))])
+    return F.filter(kinds, lambda k: F.size(k["spans"]) > 0)
+
+
+def _cut(blocks: Column, begin: Column, n: Column) -> Column:
+    """``n`` code points from ``begin`` of a text in blocks of BLOCK: what lies
+    before them is not walked through."""
+    parts = F.slice(blocks, F.floor(begin / BLOCK).cast("int") + 1,
+                    F.floor((begin % BLOCK + n) / BLOCK).cast("int") + 1)
+    return F.substring(F.array_join(parts, ""), begin % BLOCK + 1, n)
+
+
 def _mentions(keyed: DataFrame) -> DataFrame:
     """doc_id, row_key, base, and mentions: array of (start, end, kind, -1 for
     no seed, instance, and the words around)."""
     text, empty = F.col("text"), F.lit([]).cast(f"array<{SPAN}>")
-    near = F.filter(_matches(text, TOKEN), lambda m: (F.length(m["text"]) >= MIN_TOKEN_CHARS)
-                    & ~F.exists("base", lambda s: (s["start"] < m["start"] + F.length(m["text"]))
-                                & (m["start"] < s["end"])))
+    near = _let(_by_kind(F.col("base")), lambda base: F.filter(
+        _matches(text, TOKEN), lambda m: (F.length(m["text"]) >= MIN_TOKEN_CHARS)
+        & _overlaps_none(base)(m["start"], m["start"] + F.length(m["text"]))))
     other = F.transform(near, lambda m: F.struct(
         m["start"].alias("start"), F.lit(-1).alias("kind"),
         (m["start"] + F.length(m["text"])).alias("end")))
     spans = F.concat("base", F.when(text.rlike("[0-9@]"), other).otherwise(empty))
     flat = lambda c: F.lower(F.regexp_replace(c, "[0-9]+", "0"))
 
-    def mention(s):
+    def mention(blocks, s):
         begin = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        own = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        left = flat(F.substring(text, begin + 1, s["start"] - begin))
-        right = flat(F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS)))
+        own = _cut(blocks, s["start"], s["end"] - s["start"])
+        left = flat(_cut(blocks, begin, s["start"] - begin))
+        right = flat(_cut(blocks, s["end"], F.lit(CONTEXT_CHARS)))
         shape = F.regexp_replace(F.regexp_replace(own, "[0-9]+", "0"), "[A-Za-z]+", "a")
         return F.struct(
             s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"),
-            F.lower(own).alias("instance"), F.left(shape, F.lit(20)).alias("shape"),
+            F.lower(own).alias("instance"), shape.alias("shape"),
             F.regexp_extract(left, r"(\S+\s+\S+\s*)$", 1).alias("before"),
             F.regexp_extract(left, r"(\S+\s*)$", 1).alias("last"),
             F.regexp_extract(right, r"^(\s*\S+)", 1).alias("next"))
 
-    return (keyed.withColumn("base", base_spans(text))
-            .select("doc_id", "row_key", "base", F.transform(spans, mention).alias("mentions")))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    mentions = F.when(F.size("spans") == 0, F.transform("spans", lambda s: mention(
+        F.array(F.lit("")), s))).otherwise(_let(blocks, lambda b: F.transform(
+            "spans", lambda s: mention(b, s))))
+    return (keyed.withColumn("base", base_spans(text)).withColumn("spans", spans)
+            .select("doc_id", "row_key", "base", mentions.alias("mentions")))
 
 
 def _patterns(m: DataFrame) -> DataFrame:

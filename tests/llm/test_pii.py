@@ -1,6 +1,10 @@
 """Personal data: rules by brute force, discovery on planted contexts."""
 
 import random
+import re
+import time
+
+from pyspark.sql import functions as F
 
 from seatcast.llm import pii
 
@@ -51,6 +55,33 @@ def test_contexts_of_seeds_discover_more(spark, docs_df):
     assert kind == "ip" and dict(rows)[300][int(start):int(end)] == "10.0.999.7"
 
 
+def test_long_texts_cost_in_proportion(spark, docs_df):
+    rnd = random.Random(4)
+    made = [lambda: f"id{rnd.randrange(10**6)}x", lambda: f"u{rnd.randrange(999)}@h.org",
+            lambda: f"10.{rnd.randrange(300)}.0.1", lambda: "é🙂" * rnd.randrange(4)]
+    long = " ".join(rnd.choice(made)() for _ in range(30_000))
+    rows = [(1, long), (2, long[:400]), (3, "q7" * 3000 + " " + "w " * 2000 + "a@b.c")]
+    keyed = pii.documents(docs_df(rows)).withColumn("row_key", F.xxhash64("doc_id", "text"))
+    began = time.monotonic()
+    got = {r.doc_id: r for r in pii._mentions(keyed).collect()}
+    assert time.monotonic() - began < 20
+    want = brute.pii_base(rows)
+    for doc, text in rows:
+        spans = [(s.start, s.end) for s in got[doc].base]
+        assert ",".join(f"{pii.KINDS[s.kind]}:{s.start}:{s.end}" for s in got[doc].base) == want[doc][5]
+        others = [m.span() for m in re.finditer(r"(?<![\w.@%+-])[A-Za-z._%+-]*[0-9@][\w.@%+-]*", text, re.A)]
+        ends = {}  # by a plain walk over the characters that base spans cover
+        for a, b in spans:
+            ends.update(dict.fromkeys(range(a, b)))
+        others = [(a, b) for a, b in others if b - a >= 5 and not any(i in ends for i in range(a, b))]
+        found = [m for m in got[doc].mentions if m.kind == -1]
+        assert [(m.start, m.end) for m in found] == others
+        for m in got[doc].mentions:
+            assert m.instance == text[m.start:m.end].lower()
+            left = re.sub("[0-9]+", "0", text[max(m.start - 60, 0):m.start]).lower()
+            assert (re.search(r"\S+\s*$", left, re.A) or [""])[0] == m["last"]
+
+
 def test_repeats_null_ids_and_no_rows(spark, docs_df):
     rows = [(1, "x a@b.c"), (1, "x a@b.c"), (None, "y 1.2.3.4"), (None, None)]
     got = pii.personal_data(docs_df(rows)).collect()
