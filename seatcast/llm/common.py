@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import html
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -98,6 +100,18 @@ def text_slices(batches: Iterable[pa.RecordBatch], columns: list[str], text: str
                 begin, held = i + 1, 0
 
 
+_ZEROS = re.compile("&#0{8,}")
+_NO_CHARACTER = re.compile("&#0*[1-9][0-9]{7,};?")
+
+
+def unescape(markup: str) -> str:
+    """Character references decoded; a decimal one beyond all characters is the
+    replacement character however many digits it has."""
+    if "&" not in markup:
+        return markup
+    return html.unescape(_NO_CHARACTER.sub("\ufffd", _ZEROS.sub("&#0", markup)))
+
+
 def give_back() -> None:
     """Return freed memory of this process to the system: a worker process serves
     many tasks, and what one of them used at its peak stays mapped otherwise."""

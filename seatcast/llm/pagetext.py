@@ -25,7 +25,6 @@ gives no rows.
 
 from __future__ import annotations
 
-import html
 import re
 from collections.abc import Iterable, Iterator
 
@@ -33,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, text_slices
+from .common import ship_package, text_slices, unescape
 
 # HTML element names and the words of class names, by use.
 SKIPPED = {"script", "style", "title", "textarea", "xmp", "noframes", "noembed", "iframe"}
@@ -195,7 +194,7 @@ def _no_article(tag: str, rest: str) -> bool:
     if not rest or "=" not in rest and "hidden" not in rest.lower():
         return False
     for name, a, b, c in _ATTRIBUTE.findall(rest):
-        name, value = name.lower(), html.unescape(a or b or c)
+        name, value = name.lower(), unescape(a or b or c)
         if name == "hidden" and value.lower() != "until-found":
             return True
         if name == "aria-hidden" and value.lower() == "true":
@@ -243,7 +242,7 @@ def main_text(page: str | None) -> str:
                 blocks.append([])
             continue
         e, raw = found
-        decoded = html.unescape(raw) if "&" in raw else raw
+        decoded = unescape(raw)
         seen = len(decoded.strip())
         blocks[-1].append((e, decoded))
         chars[e] += seen

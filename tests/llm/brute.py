@@ -1,10 +1,11 @@
 """Plain one-process versions of the query contracts, for small tables.
 
-They share no code with the operators.  Every function takes rows as lists of
+They share no code with the operators, but for the trigram cells of `fused_languages`.  Every function takes rows as lists of
 (doc_id, text) and returns {doc_id: columns} or rows.
 """
 
 import hashlib
+import math
 import re
 import struct
 import zlib
@@ -191,3 +192,66 @@ def near(docs, percent=85):
         for d in by_set[s]:
             out[d] = (len(s), least[find(i)])
     return out
+
+
+def fused_languages(docs, pages):
+    """{page_id: (lang, confidence, text_lang)} by the formula, page by page.  ``docs``:
+    (lang, text); ``pages``: (page_id, host, domain, suffix, declared, visible text)."""
+    from seatcast.llm import langid
+
+    counts = {}
+    for lang, text in docs:
+        if lang:
+            counts.setdefault(lang, Counter()).update(langid.trigrams(text or "").tolist())
+    langs = sorted(x for x, c in counts.items() if c)
+    size = {x: sum(counts[x].values()) for x in langs}
+    average = Counter()
+    for x in langs:
+        for c, n in counts[x].items():
+            average[c] += n / size[x] / len(langs)
+
+    def log(x, c):
+        if c not in average:
+            return 0.0
+        base = langid.SMOOTHING * (0.9 * average[c] + 0.1 / langid.CELLS)
+        return math.log((counts[x][c] + base) / (size[x] + langid.SMOOTHING))
+
+    text_log, share = {}, {}
+    for page_id, *_, text in pages:
+        cells = langid.trigrams(text).tolist()
+        n = max(len(cells), 1)
+        logs = [sum(log(x, c) for c in cells) for x in langs]
+        own = [(v - max(logs)) * min(n / langid.TEMPER, langid.MAX_EVIDENCE) / n for v in logs]
+        mass = sum(map(math.exp, own))
+        text_log[page_id] = own
+        share[page_id] = [round(math.exp(v) / mass * 10**6) for v in own]
+    micro, out = 10**6, {}
+    for page_id, *values, _ in pages:
+        others = [p for p in pages if p[0] != page_id]
+
+        def summed(column, value):
+            return [sum(share[p[0]][k] for p in others if column is None or p[column] == value)
+                    for k in range(len(langs))]
+
+        host, domain, suffix, declared = values
+        all_pages = summed(None, None)
+        everything = max(sum(map(sum, share.values())) - micro, micro)
+        score = text_log[page_id][:]
+        for column, value in ((4, declared), (3, suffix)):
+            mine = summed(column, value)
+            base = (sum(mine) + micro) / (everything + micro)
+            for k in range(len(langs)):
+                score[k] += math.log((mine[k] + micro * base) / (all_pages[k] + micro))
+        prior = [(v + micro) / (sum(map(sum, share.values())) - micro + len(langs) * micro)
+                 for v in all_pages]
+        for column, value in ((2, domain), (1, host)):
+            mine = summed(column, value)
+            prior = [(v + langid.HOST_SMOOTHING * micro * p)
+                     / (sum(mine) + langid.HOST_SMOOTHING * micro)
+                     for v, p in zip(mine, prior, strict=True)]
+        score = [s + math.log(p) for s, p in zip(score, prior, strict=True)]
+        best = max(score)
+        own = share[page_id]
+        out[page_id] = (langs[score.index(best)], 1 / sum(math.exp(s - best) for s in score),
+                        langs[own.index(max(own))])
+    return out

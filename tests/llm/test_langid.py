@@ -1,9 +1,14 @@
 """Language of pages: accuracy on held-out text, evidence against weak text."""
 
 import random
+import time
+
+import pytest
 
 from seatcast.llm import langid
 
+from . import brute
+
 SYLLABLES = {"en": "the and ing tion er ou wh th st".split(),
              "de": "der die und sch ung keit ein ü ß".split(),
              "fr": "les eau oi ez é que tion ment è".split()}
@@ -93,3 +98,61 @@ def test_declaration_anywhere_in_the_page():
     assert langid.declared_language(f"<!-- {'licence ' * 900} --><html class=x lang='fr'>") == "fr"
     assert langid.declared_language("<html><p lang=de><html lang=es>") == "es"
     assert langid.declared_language("<html " * 50_000) == ""
+
+
+@pytest.mark.parametrize("block", [2, 48])
+def test_fusion_by_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    monkeypatch.setattr(langid, "FETCH", 2)
+    rnd = random.Random(5)
+    alphabets = {"en": "abcdef", "de": "abcxyz", "el": "αβγδε", "ru": "абвгд", "xx": "abαб"}
+    words = lambda lang, n: " ".join(
+        "".join(rnd.choices(alphabets[lang], k=4)) for _ in range(n))
+    docs = [(lang, words(lang, 40)) for lang in alphabets for _ in range(3)]
+    docs += [("one", "zq zq zq"), ("none", ""), (" EN", words("en", 5)), (None, "x")]
+    pages = []
+    for i in range(90):
+        lang = rnd.choice(list(alphabets))
+        host = rnd.choice(["a.x.de", "b.x.de", "c.org", "", "d.e.gr"])
+        pages.append((i, host, rnd.choice(["", "en", "de", "el"]), words(lang, rnd.choice([0, 1, 2, 9]))))
+    rows = [(i, f"http://{host}/" if host else None,
+             f'<html lang="{said}"><p>{text}</p>', None) for i, host, said, text in pages]
+    got = langid.identify(
+        spark.createDataFrame(rows, PAGES),
+        spark.createDataFrame([(i, *d) for i, d in enumerate(docs)],
+                              "doc_id long, lang string, text string"))
+    want = brute.fused_languages(
+        [(lang and lang.strip().lower(), text) for lang, text in docs],
+        [(i, *langid.address_parts(f"http://{host}/" if host else ""), said, text)
+         for i, host, said, text in pages])
+    assert len(want) == 90
+    for r in got.collect():
+        lang, confidence, text_lang = want[r.page_id]
+        assert (r.lang, r.text_lang) == (lang, text_lang)
+        assert r.confidence == pytest.approx(confidence, abs=2e-5)
+
+
+def test_every_language_has_a_model(spark):
+    """Sixty languages, each with letters of its own, one of them in two documents."""
+    rnd = random.Random(6)
+    words = lambda k: " ".join("".join(chr(0x4E00 + 20 * k + rnd.randrange(20)) for _ in range(3))
+                               for _ in range(60))
+    docs = [(100 * k + i, f"l{k:02d}", words(k)) for k in range(60) for i in range(2 if k == 7 else 6)]
+    pages = [(k, f"http://h{k}.org/", f"<p>{words(k)}", None) for k in range(60)]
+    got = langid.identify(spark.createDataFrame(pages, PAGES),
+                          spark.createDataFrame(docs, "doc_id long, lang string, text string"))
+    assert {r.page_id: r.lang for r in got.collect()} == {k: f"l{k:02d}" for k in range(60)}
+
+
+def test_unclosed_markup_costs_in_proportion():
+    for piece in ("<nav>", "<", "<!--", "<script ", "</nav  ", "&", "<html lang=", "<nav></nav\t"):
+        page = piece * (1_000_000 // len(piece))
+        began = time.monotonic()
+        langid.visible_text(page), langid.declared_language(page)
+        assert time.monotonic() - began < 5, piece
+
+
+def test_visible_text():
+    assert langid.visible_text("a<b c='d'>e<SCRIPT x>f<b></script >g<!--h-->i<nav>j") == "a e g i j"
+    assert langid.visible_text("1 < 2 &lt;&#" + "0" * 5000 + "65;&#" + "9" * 5000 + ";") == "1 < 2 <A\ufffd"
+    assert langid.visible_text("<nav>a<nav>b</nav>c<!--d") == " c<!--d"

@@ -143,3 +143,9 @@ def test_nulls_repeats_clashing_columns_and_no_rows(spark):
     assert pagetext.extract(df.limit(0)).collect() == []
     with pytest.raises(ValueError):
         pagetext.extract(df, keep=["text"])
+
+
+def test_references_of_very_many_digits():
+    digits = "9" * 5000
+    page = f"<article><p class='&#{digits};'>One, two &#{digits}; and &#{'0' * 5000}65; three.</p></article>"
+    assert pagetext.main_text(page) == "One, two \ufffd and A three."
