@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import html
 import os
 import re
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -122,6 +123,18 @@ def give_back() -> None:
         pass
 
 
+def tidy(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """``run`` for ``mapInArrow``, which gives freed memory back when a task ends."""
+    @functools.wraps(run)
+    def task(batches: Iterable) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; other letters stay as they are."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import (documents, fresh, lookup, materialize, ship_package, text_slices,
-                     without)
+                     without, tidy)
 
 DEPTH = 3
 MIN_DOCS = 5
@@ -96,7 +96,7 @@ def _lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
                  pa.array(cols[2], pa.int32()), *map(_signed, cols[3:])],
                 names=["row_key", "doc_id", "line", "leaf", "exact", "doc_class"])
 
-    return docs.mapInArrow(run, LINES)
+    return docs.mapInArrow(tidy(run), LINES)
 
 
 def _tokens(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
@@ -114,7 +114,7 @@ def _tokens(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), token)],
                 names=["leaf", "exact", "tokens"])
 
-    return docs.select("text").mapInArrow(run, "leaf long, exact long, tokens array<long>")
+    return docs.select("text").mapInArrow(tidy(run), "leaf long, exact long, tokens array<long>")
 
 
 def _recurring(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
@@ -189,7 +189,7 @@ def _without_lines(rows: DataFrame, text_col: str, gone: str) -> DataFrame:
                 done += len(texts)
                 yield part.set_column(at, text_col, pa.array(left, pa.string()))
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def drop_templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shingles
-from .common import documents, lookup, materialize, text_slices
+from .common import documents, lookup, materialize, text_slices, tidy
 from .graph import components
 
 PERCENT = 85
@@ -73,7 +73,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "n_shingles", "set_a", "set_b", "sig"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       "text").mapInArrow(run, SKETCH)
+                       "text").mapInArrow(tidy(run), SKETCH)
 
 
 def _band_rows(reps: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def _band_rows(reps: DataFrame) -> DataFrame:
                     [pa.array(np.concatenate(keys).view("i8")), pa.array(reps)],
                     names=["key", "rep"])
 
-    return reps.select("rep", "sig").mapInArrow(run, "key long, rep long")
+    return reps.select("rep", "sig").mapInArrow(tidy(run), "key long, rep long")
 
 
 def _promising(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -113,7 +113,7 @@ def _promising(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     side = [reps.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"),
                         F.col("sig").alias(f"sig_{c}")) for c in ("a", "b")]
     return pairs.join(side[0], "a").join(side[1], "b").select(
-        "a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+        "a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -139,7 +139,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     side = [texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
             for c in ("a", "b")]
     return (pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "text_a", "text_b")
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(tidy(run), "a long, b long"))
 
 
 def _small_keys(members: DataFrame, percent: int) -> DataFrame:
@@ -209,7 +209,7 @@ def _large_keys(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
                 names=["rep", "hashes"])
 
     full = materialize(lookup(docs, ids, "doc_id").dropDuplicates(["doc_id"])
-                       .select("doc_id", "text").mapInArrow(sets, "rep long, hashes binary"),
+                       .select("doc_id", "text").mapInArrow(tidy(sets), "rep long, hashes binary"),
                        "open-sets")
     size = members.groupBy("key").agg((8 * F.sum("n_shingles")).alias("bytes"),
                                       F.count(F.lit(1)).alias("n"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import documents, give_back, materialize, text_slices
+from .common import documents, materialize, text_slices, tidy
 
 CAPACITY = 1024
 GROUP = 8192
@@ -59,7 +59,6 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, end_id: int, capacity: int =
     row = [f.split()[0] for f in PIECES.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()  # what earlier work in this process left behind
         enc = tokens.encoder(tokenizer_path, "space", known_bytes)
         part, n = TaskContext.get().partitionId(), 0
         for ids, texts in text_slices(batches, ["doc_id", "text"]):
@@ -81,7 +80,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, end_id: int, capacity: int =
                                        ("dealt_part", pa.int32()), ("dealt_row", pa.int64())]))
 
     return documents(docs, id_col, text_col).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+        F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), PIECES)
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, ship_package, text_slices
+from .common import documents, ship_package, text_slices, tidy
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
@@ -117,7 +117,7 @@ def compression_bands(docs: DataFrame, id_col: str = "doc_id",
                                                      strict=True)], schema=_ARROW)
 
     return documents(docs, id_col, text_col).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+        F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(run), SCHEMA)
 
 
 def keep_passing(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -133,4 +133,4 @@ def keep_passing(docs: DataFrame, text_col: str = "text") -> DataFrame:
             texts = (x.as_py() or "" for x in batch.column(text_col))
             yield batch.filter(pa.array([measure(t, compressor)[6] for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
