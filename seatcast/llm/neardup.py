@@ -196,6 +196,33 @@ def _forest(i: np.ndarray, j: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[
     return keep
 
 
+def _meetings(members: DataFrame) -> DataFrame:
+    """(grp, few, rep, label): which members (key, rep, label, n_shingles) of large keys
+    meet.  Members of a key's most frequent label need not meet each other, so
+    only blocks of its other members (``few``) meet all blocks: with m of these among n,
+    some 2 * m * n / BLOCK rows, and n for a few strangers among near copies."""
+    by_label = members.groupBy("key", "label").agg(
+        (8 * F.sum("n_shingles")).alias("bytes"), F.count(F.lit(1)).alias("n"))
+    most = lambda c: F.max_by(c, F.struct("n", "label"))
+    blocks = lambda n, b: F.ceil(F.greatest(n / BLOCK, b / BLOCK_BYTES)).cast("int")
+    n, size = F.sum("n"), F.sum("bytes")
+    keys = by_label.groupBy("key").agg(
+        most("label").alias("most"), blocks(n, size).alias("blocks"),
+        blocks(n - F.max("n"), size - most("bytes")).alias("few_blocks"))
+    deal = lambda salt, among: F.pmod(F.xxhash64("rep", F.lit(salt)), among).cast("int")
+    upto = lambda among: F.sequence(F.lit(0), among - 1)
+    own, few_own = deal(0, F.col("blocks")), deal(1, F.col("few_blocks"))
+    among_all = F.transform(upto(F.col("few_blocks")), lambda k: F.struct(
+        F.lit(False).alias("few"), k.alias("few_block"), own.alias("block")))
+    among_few = F.transform(upto(F.col("blocks")), lambda k: F.struct(
+        F.lit(True).alias("few"), few_own.alias("few_block"), k.alias("block")))
+    places = F.when(F.col("label") == F.col("most"), among_all).otherwise(
+        F.concat(among_few, among_all))
+    return (members.join(keys, "key").withColumn("p", F.explode(places))
+            .select(F.xxhash64("key", "p.few_block", "p.block").alias("grp"),
+                    F.col("p.few").alias("few"), "rep", "label"))
+
+
 def _large_keys(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between labels within large keys (key, rep, label,
     n_shingles, n), on full sets; from each two blocks at most a forest."""
@@ -211,23 +238,14 @@ def _large_keys(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     full = materialize(lookup(docs, ids, "doc_id").dropDuplicates(["doc_id"])
                        .select("doc_id", "text").mapInArrow(tidy(sets), "rep long, hashes binary"),
                        "open-sets")
-    size = members.groupBy("key").agg((8 * F.sum("n_shingles")).alias("bytes"),
-                                      F.count(F.lit(1)).alias("n"))
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bytes") / BLOCK_BYTES)).cast("int")
-    meet = (members.join(size.select("key", blocks.alias("blocks")), "key")
-            .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
-            .withColumn("grp", F.xxhash64("key", "lo", "hi")).join(full, "rep")
-            .select("grp", "key", "own", "lo", "hi", "rep", "label", "hashes"))
+    meet = _meetings(members).join(full, "rep")
 
     def run(table):
-        own, lo, hi, rep, label = (table.column(c).to_numpy() for c in
-                                   ("own", "lo", "hi", "rep", "label"))
+        few, rep, label = (table.column(c).to_numpy() for c in ("few", "rep", "label"))
         held = [np.frombuffer(h, "u8") for h in table.column("hashes").to_pylist()]
-        one = lo[0] == hi[0]
-        i = np.flatnonzero(own == lo[0])
-        j = i if one else np.flatnonzero(own == hi[0])
+        i, j = np.flatnonzero(few), np.flatnonzero(~few)
+        if not len(i) or not len(j):
+            return pa.table({"a": rep[:0], "b": rep[:0]})
         both = shingles.intersections([held[k] for k in i], [held[k] for k in j])
         n = np.array([len(h) for h in held])
         union = n[i][:, None] + n[j][None, :] - both

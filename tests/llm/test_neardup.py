@@ -62,6 +62,23 @@ def test_links_beside_the_centre_are_found(spark, docs_df, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == {d: v[1] for d, v in brute.near(rows).items()}
 
 
+def test_a_stranger_among_many_near_copies_sends_each_once(spark, docs_df):
+    n = 20_000
+    rows = [(7, i, 3 if i > 2 else i, 100) for i in range(n)]
+    rows += [(8, i, i % 2, 100) for i in range(2000)]
+    members = spark.createDataFrame(rows, "key long, rep long, label long, n_shingles long")
+    met = neardup._meetings(members)
+    near = met.where("rep >= 2000").count()
+    assert near == n - 2000
+    # with labels of equal size each block of one meets all blocks, once
+    assert met.count() <= 21_000 + 2000 * 2 + 1000 * 4 + 3 * 40
+    groups = {}
+    for r in met.where("rep < 2000").collect():
+        groups.setdefault(r.grp, ([], []))[not r.few].append(r)
+    pairs = {(a.rep, b.rep) for few, all_ in groups.values() for a in few[:9] for b in all_}
+    assert {(1, 0), (0, 1), (2, 0), (2, 1)} <= pairs
+
+
 def test_matrix_products_count_intersections():
     rnd = np.random.default_rng(6)
     sets = [np.unique(rnd.integers(0, 9000, n).astype("u8")) for n in (0, 1, 50, 6000, 6000, 9)]
