@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import html
@@ -123,6 +124,25 @@ def give_back() -> None:
         pass
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, most: int = SLICE_BYTES) -> Iterator[None]:
+    """What runs within it sends rows to Python workers ``most`` bytes at a time.  Else
+    a batch is some 10,000 rows, and the buffers that both sides keep for it in every
+    task grow with the length of the texts."""
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, most)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH)
+        else:
+            spark.conf.set(_BATCH, before)
+
+
 def tidy(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
     """``run`` for ``mapInArrow``, which gives freed memory back when a task ends."""
     @functools.wraps(run)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import documents, materialize, text_slices, tidy
+from .common import SLICE_BYTES, documents, materialize, text_slices, tidy
 
 CAPACITY = 1024
 GROUP = 8192
@@ -52,16 +52,18 @@ PLACED = PIECES + ", sequence_id long, offset long, fill long"
 
 def pieces(docs: DataFrame, tokenizer_path: str, *, end_id: int, capacity: int = CAPACITY,
            keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text",
-           known_bytes: int = tokens.KNOWN_BYTES) -> DataFrame:
+           known_bytes: int = tokens.KNOWN_BYTES, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """One row per piece.  Only documents longer than ``capacity`` are cut; all
-    their pieces have ``capacity`` ids but the first, which may have fewer."""
+    their pieces have ``capacity`` ids but the first, which may have fewer.  Texts
+    are encoded ``slice_bytes`` at a time: smaller slices take less memory and, as
+    words recur less within them, more time."""
     end = np.array([end_id], "<u4").tobytes()
     row = [f.split()[0] for f in PIECES.split(", ")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(tokenizer_path, "space", known_bytes)
         part, n = TaskContext.get().partitionId(), 0
-        for ids, texts in text_slices(batches, ["doc_id", "text"]):
+        for ids, texts in text_slices(batches, ["doc_id", "text"], limit=slice_bytes):
             out = {k: [] for k in row}
             for doc, raw in zip(ids, enc.encode(texts), strict=True):
                 raw += end
@@ -266,12 +268,13 @@ def emptiest(levels: dict[int, int], most: float) -> tuple[int, int]:
 
 def pack(docs: DataFrame, tokenizer_path: str, *, end_id: int, capacity: int = CAPACITY,
          group: int = GROUP, keep_ids: bool = False, id_col: str = "doc_id",
-         text_col: str = "text", known_bytes: int = tokens.KNOWN_BYTES) -> DataFrame:
+         text_col: str = "text", known_bytes: int = tokens.KNOWN_BYTES,
+         slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Where each piece goes: doc_id, piece, start, length, ids_crc32, ids (null
     unless ``keep_ids``), sequence_id, offset.  See the module's docstring."""
     cut = materialize(pieces(docs, tokenizer_path, end_id=end_id, capacity=capacity,
                              keep_ids=keep_ids, id_col=id_col, text_col=text_col,
-                             known_bytes=known_bytes), "pieces")
+                             known_bytes=known_bytes, slice_bytes=slice_bytes), "pieces")
     placed, todo, round_no = [], cut, 0
     n = todo.where(F.col("length") < capacity).count()
     while True:

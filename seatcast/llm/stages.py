@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from . import decontam, linedup, neardup, packing, quality
-from .common import materialize, without
+from .common import materialize, small_batches, without
 from .queries import END_ID, _vocabulary
 
 
@@ -22,6 +22,8 @@ NEAR_PERCENT = 80
 # Known pieces of a worker in the pipeline, whose executors carry the heap of all
 # earlier stages: fewer than where packing runs alone, for some more encoding.
 PACK_KNOWN_BYTES = 32 << 20
+# Bytes of text that packing encodes at a time in the pipeline, for the same reason.
+PACK_SLICE_BYTES = 1 << 20
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +45,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near duplicates stays."""
-    near = neardup.near_duplicates(docs, NEAR_PERCENT)
-    out = materialize(near.where("NOT kept").select("doc_id").distinct(), "near-copies")
+    with small_batches(spark):
+        near = neardup.near_duplicates(docs, NEAR_PERCENT)
+        out = materialize(near.where("NOT kept").select("doc_id").distinct(), "near-copies")
     return without(docs, out, "doc_id").select(*docs.columns)
 
 
@@ -56,5 +59,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of every remaining document goes."""
-    return packing.pack(docs, _vocabulary("byte_bpe_50k.json"), end_id=END_ID,
-                        known_bytes=PACK_KNOWN_BYTES).drop("ids")
+    with small_batches(spark, PACK_SLICE_BYTES):
+        packed = packing.pack(docs, _vocabulary("byte_bpe_50k.json"), end_id=END_ID,
+                              known_bytes=PACK_KNOWN_BYTES, slice_bytes=PACK_SLICE_BYTES)
+    return packed.drop("ids")

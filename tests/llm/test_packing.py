@@ -5,8 +5,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
-from seatcast.llm import packing
+from seatcast.llm import common, packing
 
 from . import brute
 
@@ -89,3 +90,22 @@ def test_a_round_takes_the_emptiest_bins():
     assert packing.emptiest({600: 900}, 750) == (0, 0)
     assert packing.emptiest({900: 800, 300: 4, 700: 100}, 750) == (700, 104)
     assert packing.emptiest({}, 10) == (0, 0)
+
+
+def test_small_slices_and_batches_give_the_same_pieces(spark, docs_df):
+    rows = [(i, f"word{i % 7} " * (i % 300)) for i in range(400)]
+    own = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    want = sorted(map(tuple, packing.pieces(docs_df(rows), BYTE, end_id=2).select(*own).collect()))
+    with common.small_batches(spark, 4096):
+        got = packing.pieces(docs_df(rows), BYTE, end_id=2, slice_bytes=500).select(*own).collect()
+        most = docs_df(rows).coalesce(1).mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0]
+    assert sorted(map(tuple, got)) == want
+    assert most < 20_000 < sum(len(t) for _, t in rows)
+    assert spark.conf.get(key, None) == before
