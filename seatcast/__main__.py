@@ -2,7 +2,7 @@
 
     python -m seatcast ingest --landing L --store S [--day YYYY-MM-DD ...] [--dedupe]
                               [--strict] [--as-of T [--days-ahead N]] [--city C] [--venue-state S]
-                              [--genre G] [--state D]
+                              [--genre G] [--state D] [--keep-nulls]
     python -m seatcast stream --landing L --store S --checkpoint C [--every "1 hour"]
                               [--dedupe] [--files-per-trigger N]
     python -m seatcast stream --landing L --store S --work W [--patience "12 hours"]
@@ -58,6 +58,8 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("city", "venue-state", "genre"):
         ing.add_argument(f"--{name}", default=None)
 
+    ing.add_argument("--keep-nulls", action="store_true",
+                     help="explicit null texts stay NULL; only missing keys get the default")
     st = sub.add_parser("stream", help="incremental ingest of newly landed pages")
     st.add_argument("--landing", required=True)
     st.add_argument("--store", required=True)
@@ -102,6 +104,7 @@ def main(argv: list[str] | None = None) -> int:
             spark, a.landing, a.store, days=days, dedupe=a.dedupe, strict=a.strict,
             as_of=dt.datetime.fromisoformat(a.as_of) if a.as_of else None,
             days_ahead=a.days_ahead, city=a.city, state=a.venue_state, genre=a.genre,
+            keep_nulls=a.keep_nulls,
             on_replaced=refresh))
     elif a.cmd == "stream" and a.work:
         from .streaming.complete import release_days, stage_pages

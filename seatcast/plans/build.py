@@ -56,7 +56,7 @@ def ingest_landed(spark: SparkSession, landing_root: str, store_path: str, *,
                   strict: bool = False, as_of: _dt.datetime | None = None,
                   days_ahead: int = 90, city: str | None = None, state: str | None = None,
                   genre: str | None = None, max_pages: int | None = None,
-                  ingested_at: _dt.datetime | None = None,
+                  ingested_at: _dt.datetime | None = None, keep_nulls: bool = False,
                   on_replaced: Callable[[list[_dt.date]], None] | None = None) -> dict:
     """Daily ingestion: landed pages -> flat rows -> key check -> replace the
     days in the store.  ``days`` restricts (and guarantees) the replaced
@@ -66,6 +66,7 @@ def ingest_landed(spark: SparkSession, landing_root: str, store_path: str, *,
     Returns counters: pages, repeats, unreadable lines, missing pages, events
     fetched, rows written, rejected dates, days.  ``strict`` raises
     ``BadLandingError`` before writing if lines are unreadable or pages miss.
+    ``keep_nulls`` stores an explicit null text as NULL, not as the default.
     ``on_replaced`` gets the replaced days, for what is kept between days
     (``plans.daily.refresh``)."""
     report = pages.page_report(pages.read_pages(spark, landing_root, days))
@@ -74,7 +75,7 @@ def ingest_landed(spark: SparkSession, landing_root: str, store_path: str, *,
     if strict and (found["unreadable"] or found["missing"]):
         raise BadLandingError(f"{found['unreadable']} unreadable lines and {found['missing']} "
                               f"missing pages under {landing_root}")
-    rows = pages.landed_rows(spark, landing_root, days, max_pages)
+    rows = pages.landed_rows(spark, landing_root, days, max_pages, keep_nulls)
     if as_of is not None:
         rows = pages.event_window(rows, as_of, days_ahead, city=city, state=state, genre=genre)
     done = store.upsert_days(rows, store_path, days=days, dedupe=dedupe, ingested_at=ingested_at)

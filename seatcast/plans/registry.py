@@ -19,7 +19,7 @@ from ..functions import stable
 from ..operators import alerts, marts, reports, staging
 from ..schemas import API_EVENT
 from ..session import scratch_path, write_scratch
-from ..sources import adapter, pages, store
+from ..sources import adapter, bucketed, pages, store
 from ..sources.rules import rules_frame
 from ..state import history, prices
 from . import build, daily
@@ -240,6 +240,20 @@ def q_flatten_events(spark, sf_dir):
     return pages.flatten_events(parsed).select(*INGEST_COLUMNS)
 
 
+def q_flatten_nulls(spark, sf_dir):
+    """The same through VARIANT.  Events on offer have no key for what is NULL and none
+    for the sub-genre; sold-out ones hold explicit nulls there."""
+    nested = pages.nest_events(_raw(spark, sf_dir))
+    sold_out = F.col("event.dates.status.code") == "offsale"
+    event = F.col("event").withField("classifications", F.transform(
+        "event.classifications", lambda c: c.withField(
+            "subGenre", c["subGenre"].withField("name", F.lit(None).cast("string")))))
+    text = F.when(sold_out, F.to_json(event, {"ignoreNullFields": "false"})).otherwise(
+        F.to_json(event))
+    parsed = nested.select("snapshot_date", F.try_parse_json(text).alias("event"))
+    return pages.flatten_events(parsed).select(*INGEST_COLUMNS)
+
+
 def _landed(spark, sf_dir):
     root = scratch_path(spark, "landing")
     pages.land_pages(_raw(spark, sf_dir), root)
@@ -337,6 +351,23 @@ def q_stream_complete_days(spark, sf_dir):
     return store.read_store(spark, path).select(*INGEST_COLUMNS)
 
 
+def _bucketed(spark, sf_dir, buckets=8):
+    """The rows in a table bucketed by event, filled by two daily jobs."""
+    path = scratch_path(spark, "bucketed")
+    table = path.rpartition("/")[2].replace("-", "_")
+    raw = write_scratch(_raw(spark, sf_dir), "raw")
+    days = sorted(r[0] for r in raw.select("snapshot_date").distinct().collect())
+    bucketed.create(spark, table, path, buckets)
+    for part in (days[:-1], days[-1:]):
+        bucketed.replace_days(raw, table, part)
+    return bucketed.read(spark, table)
+
+
+def q_price_anomalies_bucketed(spark, sf_dir):
+    snaps = staging.price_snapshots(staging.stg_events(_bucketed(spark, sf_dir)))
+    return _stable(marts.price_anomalies(snaps), "mean_price", "stddev_price")
+
+
 def q_duplicate_keys(spark, sf_dir):
     """Repeats of a coarser key than the store's own, which never repeats."""
     return store.duplicate_keys(_raw(spark, sf_dir), key=P.DUPLICATE_KEY)
@@ -381,6 +412,7 @@ def queries() -> dict[str, Query]:
         "anomaly_chart": q_anomaly_chart,
         "anomaly_summary": q_anomaly_summary,
         "flatten_events": q_flatten_events,
+        "flatten_nulls": q_flatten_nulls,
         "ingest_pages": q_ingest_pages,
         "snapshot_store": q_snapshot_store,
         "stream_ingest": q_stream_ingest,
@@ -392,4 +424,5 @@ def queries() -> dict[str, Query]:
         "curve_report_kept": q_curve_report_kept,
         "best_buy_windows_kept": q_best_buy_windows_kept,
         "price_snapshots_kept": q_price_snapshots_kept,
+        "price_anomalies_bucketed": q_price_anomalies_bucketed,
     }

@@ -69,6 +69,15 @@ API_PAGE = T.StructType([
     ])),
 ])
 
+# The same page with its events as VARIANT: a reader of these can tell a field that is
+# missing from one that is null.
+VARIANT_PAGE = T.StructType([
+    API_PAGE["page"],
+    T.StructField("_embedded", T.StructType([
+        T.StructField("events", T.ArrayType(T.VariantType())),
+    ])),
+])
+
 # Alert rules.  rule_id is the rule's position in the user's list.
 RULES = T.StructType([
     T.StructField("rule_id", L, False),

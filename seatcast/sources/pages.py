@@ -18,6 +18,12 @@ currency -> 'USD'; the event date is the start dateTime, else the localDate
 (midnight), else NULL, read as local wall time whatever the session's zone;
 a text that is no date is NULL and counted as rejected.  An empty venue, attraction or classification list
 gives '' as well.
+
+Structs cannot tell a missing key from an explicit null; both give the default.  Read
+as VARIANT (``keep_nulls``), an explicit null of one of the ten defaulted fields is
+NULL and only a missing key gives the default, as the original has it.  A null list or
+object on the way to a field counts as missing (the original stops with an error
+there, but for price ranges).
 """
 
 from __future__ import annotations
@@ -27,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import blank_if_null, first_or_null, ntz_literal
-from ..schemas import API_EVENT, API_PAGE
+from ..schemas import API_EVENT, API_PAGE, VARIANT_PAGE
 from ..session import exists
 
 # Fixed values of the fetch contract.
@@ -45,9 +51,19 @@ def _truthy_text(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit("")) != F.lit(""), c)
 
 
+def _wall_time(text: Column) -> Column:
+    """'2025-03-15T19:00:00Z' -> 2025-03-15 19:00:00: the zone designator goes, nothing
+    is shifted, no zoned type in between; NULL if the text is no date."""
+    plain = F.regexp_replace(text, "(?<=T.{0,20})(Z|[+-][0-9]{2}:?[0-9]{2})$", "")
+    return plain.try_cast("timestamp_ntz")
+
+
 def flatten_events(events: DataFrame, event_col: str = "event") -> DataFrame:
     """One flat row per nested event (struct column ``event_col`` of type
-    ``API_EVENT``); other columns of ``events`` are kept in front."""
+    ``API_EVENT``, or VARIANT, see ``flatten_variants``); other columns of ``events``
+    are kept in front."""
+    if isinstance(events.schema[event_col].dataType, T.VariantType):
+        return flatten_variants(events, event_col)
     e = F.col(event_col)
     venue = first_or_null(e["_embedded"]["venues"])
     attraction = first_or_null(e["_embedded"]["attractions"])
@@ -55,10 +71,7 @@ def flatten_events(events: DataFrame, event_col: str = "event") -> DataFrame:
     price = first_or_null(e["priceRanges"])
     start = e["dates"]["start"]
     when_text = F.coalesce(_truthy_text(start["dateTime"]), _truthy_text(start["localDate"]))
-    # '2025-03-15T19:00:00Z' -> 2025-03-15 19:00:00: the zone designator goes,
-    # nothing is shifted, no zoned type in between
-    plain = F.regexp_replace(when_text, "(?<=T.{0,20})(Z|[+-][0-9]{2}:?[0-9]{2})$", "")
-    event_date = plain.try_cast("timestamp_ntz")
+    event_date = _wall_time(when_text)
     keep = [c for c in events.columns if c != event_col]
     return events.select(
         *keep,
@@ -81,28 +94,69 @@ def flatten_events(events: DataFrame, event_col: str = "event") -> DataFrame:
     )
 
 
+def flatten_variants(events: DataFrame, event_col: str = "event") -> DataFrame:
+    """``flatten_events`` for events as VARIANT: an explicit null of a defaulted field
+    is NULL, a missing key gives the default."""
+    e = F.col(event_col)
+
+    def value(path: str, as_type: str = "string") -> Column:
+        return F.try_variant_get(e, path, as_type)
+
+    def text(path: str, default: str = "") -> Column:
+        # as VARIANT, a missing path is NULL and an explicit null is a value
+        return F.when(value(path, "variant").isNull(), F.lit(default)).otherwise(value(path))
+
+    venue, kind, price = "$._embedded.venues[0]", "$.classifications[0]", "$.priceRanges[0]"
+    when_text = F.coalesce(_truthy_text(value("$.dates.start.dateTime")),
+                           _truthy_text(value("$.dates.start.localDate")))
+    event_date = _wall_time(when_text)
+    keep = [c for c in events.columns if c != event_col]
+    return events.select(
+        *keep,
+        value("$.id").alias("event_id"),
+        text("$.name").alias("name"),
+        event_date.alias("event_date"),
+        text(f"{venue}.name").alias("venue_name"),
+        text(f"{venue}.city.name").alias("venue_city"),
+        text(f"{venue}.state.stateCode").alias("venue_state"),
+        value(f"{venue}.upcomingEvents._total", "int").alias("venue_capacity"),
+        text(f"{kind}.genre.name").alias("genre"),
+        text(f"{kind}.subGenre.name").alias("subgenre"),
+        text("$._embedded.attractions[0].name").alias("artist_name"),
+        value(f"{price}.min", "double").alias("min_price"),
+        value(f"{price}.max", "double").alias("max_price"),
+        text(f"{price}.currency", DEFAULT_CURRENCY).alias("currency"),
+        text("$.dates.status.code").alias("status"),
+        text("$.url").alias("url"),
+        (when_text.isNotNull() & event_date.isNull()).alias(DATE_REJECTED),
+    )
+
+
 UNREADABLE = "_unreadable"
 
-LANDED_PAGE = T.StructType(API_PAGE.fields + [
+_PATH_AND_STATE = [
     T.StructField(UNREADABLE, T.StringType()),
     T.StructField("snapshot_date", T.DateType()),
     T.StructField("city", T.StringType()),
-])
+]
+LANDED_PAGE = T.StructType(API_PAGE.fields + _PATH_AND_STATE)
+LANDED_VARIANT_PAGE = T.StructType(VARIANT_PAGE.fields + _PATH_AND_STATE)
 
 _PAGE_KEY = ["snapshot_date", "city", "page.number"]
 
 
-def read_pages(spark: SparkSession, root: str, days=None) -> DataFrame:
+def read_pages(spark: SparkSession, root: str, days=None, keep_nulls: bool = False) -> DataFrame:
     """Raw landed pages with their ``snapshot_date`` and ``city`` path keys
     (typed by the schema, not inferred from the path text).  With ``days`` only
-    those days' folders are listed."""
-    reader = spark.read.schema(LANDED_PAGE).option("columnNameOfCorruptRecord", UNREADABLE)
+    those days' folders are listed.  ``keep_nulls`` reads the events as VARIANT."""
+    schema = LANDED_VARIANT_PAGE if keep_nulls else LANDED_PAGE
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", UNREADABLE)
     if days is None:
         return reader.json(root)
     paths = [f"{root.rstrip('/')}/snapshot_date={d.isoformat()}" for d in sorted(days)]
     paths = [p for p in paths if exists(spark, p)]
     if not paths:
-        return spark.createDataFrame([], LANDED_PAGE)
+        return spark.createDataFrame([], schema)
     return reader.option("basePath", root).json(paths)
 
 
@@ -164,10 +218,10 @@ def page_events(pages: DataFrame, max_pages: int | None = None,
 
 
 def landed_rows(spark: SparkSession, root: str, days=None,
-                max_pages: int | None = None) -> DataFrame:
+                max_pages: int | None = None, keep_nulls: bool = False) -> DataFrame:
     """Landed pages -> flat rows with ``snapshot_date`` and ``date_rejected``
     (SNAPSHOT minus ``ingested_at``)."""
-    return flat_rows(page_events(read_pages(spark, root, days), max_pages))
+    return flat_rows(page_events(read_pages(spark, root, days, keep_nulls), max_pages))
 
 
 def flat_rows(events: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seatcast.schemas import API_EVENT
-from seatcast.sources.pages import flatten_events
+from seatcast.sources.pages import flatten_events, landed_rows, page_report, read_pages
 
 COLUMNS = ["event_id", "name", "event_date", "venue_name", "venue_city", "venue_state",
            "venue_capacity", "genre", "subgenre", "artist_name", "min_price", "max_price",
@@ -67,3 +67,77 @@ def test_each_event_gives_its_row(spark, zone):
         if want["event_date"] and "." in want["event_date"]:
             want["event_date"] = want["event_date"].rstrip("0")
         assert have == want, CASES[i]
+
+
+# defaulted field -> how an event holds a value for it
+DEFAULTED = {
+    "name": lambda v: {"name": v},
+    "url": lambda v: {"url": v},
+    "status": lambda v: {"dates": {"status": {"code": v}}},
+    "venue_name": lambda v: {"_embedded": {"venues": [{"name": v}]}},
+    "venue_city": lambda v: {"_embedded": {"venues": [{"city": {"name": v}}]}},
+    "venue_state": lambda v: {"_embedded": {"venues": [{"state": {"stateCode": v}}]}},
+    "artist_name": lambda v: {"_embedded": {"attractions": [{"name": v}]}},
+    "genre": lambda v: {"classifications": [{"genre": {"name": v}}]},
+    "subgenre": lambda v: {"classifications": [{"subGenre": {"name": v}}]},
+    "currency": lambda v: {"priceRanges": [{"currency": v}]},
+}
+
+
+def without_key(tree, gone):
+    """``tree`` without the keys that hold ``gone``."""
+    if isinstance(tree, dict):
+        return {k: without_key(v, gone) for k, v in tree.items() if v != gone}
+    return [without_key(v, gone) for v in tree] if isinstance(tree, list) else tree
+
+
+def rows_of(spark, texts, parse):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, j string")
+    flat = flatten_events(df.select("i", parse("j").alias("event")))
+    return {r.i: r for r in flat.withColumn("event_date", F.col("event_date").cast("string"))
+            .collect()}
+
+
+def test_variants_tell_null_from_missing(spark):
+    cases = [(field, made, want)
+             for field, holds in DEFAULTED.items()
+             for made, want in ((holds("here"), "here"), (holds(None), None),
+                                (without_key(holds("gone"), "gone"), BLANK[field]))]
+    # a null object or list on the way counts as missing
+    cases += [("venue_city", {"_embedded": {"venues": [{"city": None}]}}, ""),
+              ("artist_name", {"_embedded": {"attractions": None}}, ""),
+              ("currency", {"priceRanges": None}, "USD")]
+    got = rows_of(spark, [json.dumps(e) for _, e, _ in cases], F.try_parse_json)
+    assert len(cases) == 33
+    for i, (field, event, want) in enumerate(cases):
+        assert got[i][field] == want, (field, event)
+        assert all(got[i][c] == BLANK[c] for c in COLUMNS if c != field), (field, event)
+    # structs give the default for both
+    plain = rows_of(spark, [json.dumps(e) for _, e, _ in cases],
+                    lambda j: F.from_json(j, API_EVENT))
+    for i, (field, _, want) in enumerate(cases):
+        assert plain[i][field] == (BLANK[field] if want is None else want)
+
+
+def test_variants_give_the_same_rows_without_nulls(spark):
+    texts = [json.dumps(e) for e, _ in CASES] + ["no json"]
+    got = rows_of(spark, texts, F.try_parse_json)
+    want = rows_of(spark, texts, lambda j: F.from_json(j, API_EVENT))
+    assert {i: tuple(r) for i, r in got.items() if i < len(CASES)} == \
+        {i: tuple(r) for i, r in want.items() if i < len(CASES)}
+    assert got[len(CASES)].event_id is None
+
+
+def test_landed_pages_keep_nulls(spark, tmp_path):
+    day = tmp_path / "snapshot_date=2031-05-01" / "city=Oslo"
+    day.mkdir(parents=True)
+    events = [{"id": "a", "name": None}, {"id": "b"}, {"id": "c", "name": "C"}]
+    page = {"page": {"number": 0, "totalPages": 1}, "_embedded": {"events": events}}
+    later = page | {"_embedded": {"events": events[:2] + [{"id": "c", "name": "later"}]}}
+    (day / "1.json").write_text("\n".join(map(json.dumps, (page, later))) + "\n{broken\n")
+    rows = landed_rows(spark, str(tmp_path), keep_nulls=True).collect()
+    names = {r.event_id: r.name for r in rows}
+    assert len(rows) == 3 and names.pop("c") in ("C", "later") and names == {"a": None, "b": ""}
+    assert {r.event_id: r.name for r in landed_rows(spark, str(tmp_path)).collect()}["a"] == ""
+    report = page_report(read_pages(spark, str(tmp_path), keep_nulls=True)).first()
+    assert (report.pages, report.repeats, report.unreadable, report.events) == (2, 1, 1, 3)
