@@ -31,6 +31,10 @@ BATCH = 20_000
 GATHER = 50_000
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+# A letter and punctuation after it: vocabularies that drop white space cut there, but
+# not always before an apostrophe.  Latin-1 letters only: they stay letters, each of
+# its own, when lower-cased.
+_MARK = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~])"
 
 
 class Known:
@@ -70,7 +74,7 @@ class PieceEncoder:
 
     ``cut`` names where a text may be cut: ``"space"`` for byte-level
     vocabularies that keep one leading blank with a word, ``"drop"`` for
-    vocabularies that drop white space.
+    vocabularies that drop white space and case.
     """
 
     def __init__(self, path: str, cut: str, known_bytes: int = KNOWN_BYTES):
@@ -87,12 +91,11 @@ class PieceEncoder:
         self.keep_space = cut == "space"
         self.known = Known(known_bytes)
         # bytes that each id of a byte-level vocabulary stands for
-        self.id_bytes = None
-        if self.keep_space:
-            vocabulary = self.tokenizer.get_vocab()
-            self.id_bytes = np.zeros(max(vocabulary.values()) + 1, "i8")
-            for token, i in vocabulary.items():
-                self.id_bytes[i] = len(token)
+        vocabulary = self.tokenizer.get_vocab()
+        end = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        self.id_bytes = np.zeros(max(vocabulary.values()) + 1, "i8")
+        for token, i in vocabulary.items():
+            self.id_bytes[i] = len(token.removesuffix(end))
 
     def _blanks(self, text: str) -> str | None:
         """``text`` with a blank between its pieces; None if it has to be cut one by
@@ -117,14 +120,28 @@ class PieceEncoder:
         return _split(ids, np.searchsorted(np.array(found.word_ids, "i8"),
                                            np.arange(1, len(new) + 1)))
 
+    def _sizes(self, words: list[str]) -> list[int] | None:
+        """Bytes of each word that its ids stand for; None if that cannot be told."""
+        if self.keep_space:
+            return [1 + len(w.encode()) for w in words]
+        text = " ".join(words)
+        if not text.isascii() and self.tokenizer.normalizer is not None:
+            words = self.tokenizer.normalizer.normalize_str(text).split(" ")
+            if len(words) != text.count(" ") + 1:
+                return None
+        return [len(w.encode()) for w in words]
+
     def _encode_words(self, words: list[str]) -> list[bytes] | None:
         """The same for words without white space in them, as one text: the tokenizer
         cuts before each blank.  None if the ids do not fit the words."""
         text = " " + " ".join(words)
+        sizes = self._sizes(words)
+        if sizes is None:
+            return None
         ids = np.array(self.tokenizer.encode_batch_fast(
             [text], add_special_tokens=False)[0].ids, "<u4")
         covered = np.cumsum(self.id_bytes[ids])
-        ends = np.cumsum([1 + len(w.encode()) for w in words])
+        ends = np.cumsum(sizes)
         at = np.searchsorted(covered, ends)
         if len(ids) and at[-1] == len(ids) - 1 and np.array_equal(covered[at], ends):
             return _split(ids, at + 1)
@@ -132,12 +149,11 @@ class PieceEncoder:
 
     def _learn(self, new: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(new)
-        if self.keep_space:
-            plain = [i for i, p in enumerate(new) if p.split() == [p]]
-            if plain:
-                found = self._encode_words([new[i] for i in plain])
-                for i, ids in zip(plain, found or (), strict=False):
-                    out[i] = ids
+        plain = [i for i, p in enumerate(new) if p.split() == [p]]
+        if plain:
+            found = self._encode_words([new[i] for i in plain])
+            for i, ids in zip(plain, found or (), strict=False):
+                out[i] = ids
         rest = [i for i, ids in enumerate(out) if ids is None]
         if rest:
             for i, ids in zip(rest, self._encode([new[i] for i in rest]), strict=True):
@@ -149,18 +165,25 @@ class PieceEncoder:
         spaced = [self._blanks(t) for t in texts]
         whole = [i for i, s in enumerate(spaced) if s is not None]
         odd = [i for i, s in enumerate(spaced) if s is None]
-        lists = pc.split_pattern(pa.array([spaced[i] for i in whole], pa.large_string()), " ")
+        lines = pa.array([spaced[i] for i in whole], pa.large_string())
+        if not self.keep_space:
+            lines = pc.replace_substring_regex(lines, _MARK, r"\1 \2")
+        lists = pc.split_pattern(lines, " ")
         cut = [["\n" + p for p in _CUT.split(texts[i]) if p] for i in odd]
         words = pa.concat_arrays([lists.flatten(), pa.array([p for c in cut for p in c],
                                                             pa.large_string())])
         counts = np.zeros(len(texts), "i8")
         counts[whole] = np.diff(lists.offsets.to_numpy())
         counts[odd] = [len(c) for c in cut]
-        del spaced, lists, cut
+        del spaced, lines, lists, cut
         numbered = words.dictionary_encode()
-        place = numbered.indices.to_numpy()
-        del words
-        blobs = self.known.look_up(numbered.dictionary.to_pylist(), self._learn)
+        place, names = numbered.indices.to_numpy(), numbered.dictionary
+        del words, numbered
+        if not self.keep_space:  # other letters may join marks that follow them
+            folded = pc.if_else(pc.string_is_ascii(names), pc.ascii_lower(names),
+                                names).dictionary_encode()
+            place, names = folded.indices.to_numpy()[place], folded.dictionary
+        blobs = self.known.look_up(names.to_pylist(), self._learn)
         size = np.fromiter(map(len, blobs), "i8", len(blobs)) // 4
         ids = np.frombuffer(b"".join(blobs), "<u4")
         first = np.cumsum(size) - size

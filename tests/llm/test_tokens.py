@@ -24,3 +24,27 @@ def test_pieces_give_the_ids_of_whole_texts(name, cut):
     for text, ids in zip(texts, got):
         assert np.frombuffer(ids, "<u4").tolist() == whole.encode(
             text, add_special_tokens=False).ids, repr(text)
+
+
+def test_case_and_marks_after_a_word_cost_no_further_piece():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    enc, whole = PieceEncoder(path, "drop"), Tokenizer.from_file(path)
+    words = ["thanentre", "éouxreé", "straßeon"]
+    texts = [f"{w}{m} {w.capitalize()}{m}\n{w.upper()}{m}" for w in words
+             for m in (".", ",", "!!", "&&&", "$$$")]
+    got = enc.encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [
+        whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(enc.known.young) <= 1 + 3 + 3 + 5  # one ASCII word, two others, five marks
+
+
+@pytest.mark.parametrize("end", ["", ".", "'s,", ".'s", "&&&a", "≠", "̱.", "</w>", "\x85."])
+def test_letters_that_change_case_or_join_marks(end):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    enc, whole = PieceEncoder(path, "drop"), Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    texts = [a + b + end for a in ("", "x", "H", "É") for b in
+             ("İ", "İ", "H̱", "É", "ẞ", "Σ", "K", "Ⅷ", "ª", "ÿ", "×", "Ǆ", "﻿")]
+    for text, ids in zip(texts, enc.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(
+            text, add_special_tokens=False).ids, repr(text)
