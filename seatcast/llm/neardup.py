@@ -14,11 +14,13 @@
    verified on the full sets, read again from the texts.
 6. Connected components.  Keys whose members still lie in different components
    are opened: in small keys, pairs of different components with promising
-   registers are verified like the centre's.  A large key is cut into blocks of
-   bounded size, and every two blocks meet with their full sets: products of
-   0/1 matrices give all intersections, and only the links that join components
-   leave the block.  So a link that the centres do not see is found as well, and
-   what a key emits grows with its members, not with their pairs.
+   registers are verified like the centre's.  Of large keys, a member stays only
+   if members of other components hold enough of its shingles, all together, for
+   a link: one pass over the shingles, which no link can fail.  What is left of a
+   large key is cut into blocks of bounded size, and every two blocks meet with
+   their full sets: products of 0/1 matrices give all intersections, and only the
+   links that join components leave the block.  So a link that the centres do not
+   see is found as well.
 
 Linked means 100 * intersection >= 85 * union.  Documents without words are
 linked with nothing.
@@ -35,6 +37,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -223,6 +226,32 @@ def _meetings(members: DataFrame) -> DataFrame:
                     F.col("p.few").alias("few"), "rep", "label"))
 
 
+def _backed(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The reps of members (rep, label, n_shingles) that may have a link to another
+    label, by their full sets (rep, hashes).  Linked sets share ``percent`` of a hundred
+    shingles of each, so members of other labels hold that many, all together."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                n = pc.binary_length(part.column("hashes")).to_numpy() // 8
+                raw = b"".join(part.column("hashes").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(raw, "i8")),
+                     *(pa.array(np.repeat(part.column(c).to_numpy(), n))
+                       for c in ("rep", "label", "n_shingles"))],
+                    names=["hash", "rep", "label", "n_shingles"])
+
+    held = full.join(members.select("rep", "label", "n_shingles").distinct(), "rep").select(
+        "rep", "label", "n_shingles", "hashes").mapInArrow(
+            tidy(run), "hash long, rep long, label long, n_shingles long")
+    several = held.groupBy("hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return (held.join(several.where("lo <> hi").select("hash"), "hash", "left_semi")
+            .groupBy("rep", "n_shingles").agg(F.count(F.lit(1)).alias("n"))
+            .where(100 * F.col("n") >= percent * F.col("n_shingles")).select("rep"))
+
+
 def _large_keys(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between labels within large keys (key, rep, label,
     n_shingles, n), on full sets; from each two blocks at most a forest."""
@@ -238,7 +267,8 @@ def _large_keys(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     full = materialize(lookup(docs, ids, "doc_id").dropDuplicates(["doc_id"])
                        .select("doc_id", "text").mapInArrow(tidy(sets), "rep long, hashes binary"),
                        "open-sets")
-    meet = _meetings(members).join(full, "rep")
+    backed = materialize(_backed(members, full, percent), "open-backed")
+    meet = _meetings(_mixed(lookup(members, backed, "rep"))).join(full, "rep")
 
     def run(table):
         few, rep, label = (table.column(c).to_numpy() for c in ("few", "rep", "label"))
@@ -258,13 +288,18 @@ def _large_keys(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return meet.groupBy("grp").applyInArrow(run, "a long, b long").distinct()
 
 
+def _mixed(members: DataFrame) -> DataFrame:
+    """The members of keys whose members have more than one label."""
+    many = members.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    return members.join(many.where("lo <> hi").select("key"), "key")
+
+
 def _open_keys(shared: DataFrame, labels: DataFrame, size) -> DataFrame:
     """(key, rep, n, label) of keys, of a size that ``size`` accepts, whose
     members have more than one label."""
     placed = (shared.where(size).join(labels.withColumnRenamed("node", "rep"), "rep", "left")
               .select("key", "rep", "n", F.coalesce("label", "rep").alias("label")))
-    many = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    return placed.join(many.where("lo <> hi").select("key"), "key")
+    return _mixed(placed)
 
 
 def _open_small(docs, reps, shared, labels, tried, percent) -> DataFrame | None:

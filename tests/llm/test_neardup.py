@@ -79,6 +79,42 @@ def test_a_stranger_among_many_near_copies_sends_each_once(spark, docs_df):
     assert {(1, 0), (0, 1), (2, 0), (2, 1)} <= pairs
 
 
+def test_members_that_no_other_label_can_link_with_do_not_meet(spark, docs_df, monkeypatch):
+    # copies whose own words take more than 15 % of their shingles share keys only
+    monkeypatch.setattr(neardup, "SMALL_KEY", 4)
+    met = []
+    meetings = neardup._meetings
+    monkeypatch.setattr(neardup, "_meetings",
+                        lambda members: met.append(members.localCheckpoint()) or meetings(met[-1]))
+    rnd = random.Random(8)
+    base = [word(rnd) for _ in range(300)]
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for k in rnd.sample(range(0, 300, 6), 14 if i % 4 else 2):
+            w[k] = f"own{i}x{k}"
+        rows.append((i, " ".join(w)))
+    got = neardup.near_duplicates(docs_df(rows)).collect()
+    want = brute.near(rows)
+    assert {r.doc_id: r.component_id for r in got} == {d: v[1] for d, v in want.items()}
+    assert sum(v[1] == d for d, v in want.items()) == 61  # the 60, and one for the others
+    assert not met[0].count()
+
+
+def test_backed_members(spark):
+    def row(rep, label, hashes):
+        return rep, label, len(hashes), np.array(hashes, "u8").tobytes()
+
+    rows = [row(1, 1, range(20)), row(2, 1, range(20)), row(3, 3, range(3, 20)),
+            row(4, 4, [*range(17), 31, 32, 33]), row(5, 5, [*range(16), 41, 42, 43, 44]),
+            row(6, 6, [51, 52]), row(7, 6, [51, 52])]
+    df = spark.createDataFrame(rows, "rep long, label long, n_shingles long, hashes binary")
+    members = df.select("rep", "label", "n_shingles").crossJoin(
+        spark.range(3).withColumnRenamed("id", "key"))
+    got = neardup._backed(members, df.select("rep", "hashes"), 85).collect()
+    assert sorted(r.rep for r in got) == [1, 2, 3, 4]
+
+
 def test_matrix_products_count_intersections():
     rnd = np.random.default_rng(6)
     sets = [np.unique(rnd.integers(0, 9000, n).astype("u8")) for n in (0, 1, 50, 6000, 6000, 9)]
